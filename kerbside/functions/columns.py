@@ -5,6 +5,16 @@ from pyspark.sql import Column, functions as F
 from kerbside import contract as C
 
 
+def rounded(col, digits) -> Column:
+    """Half up on the decimal value.
+
+    Sums of doubles differ in the last bits with the order of the rows; that
+    noise is rounded off first, so ties do not depend on the partitioning.
+    """
+    col = F.col(col) if isinstance(col, str) else col
+    return F.round(F.round(col, digits + 6), digits)
+
+
 def lookup(key: Column, mapping: dict, default=None) -> Column:
     """Literal mapping as a CASE; unmapped and null keys give ``default``."""
     out = None

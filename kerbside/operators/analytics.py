@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from kerbside import contract as C
+from kerbside.functions import columns as X
 
 
 def _share(part, whole):
@@ -19,12 +20,12 @@ def zone_type_summary(df: DataFrame) -> DataFrame:
     speed = F.avg("speed_kmh") if "speed_kmh" in df.columns else F.lit(None).cast("double")
     aggs = [
         F.count(known).alias("total_violations"),
-        F.round(F.avg("fine_amount"), 2).alias("avg_fine"),
-        F.round(F.max("fine_amount"), 2).alias("max_fine"),
-        F.round(F.min("fine_amount"), 2).alias("min_fine"),
-        F.round(F.sum("fine_amount"), 2).alias("total_revenue"),
-        F.round(speed, 2).alias("avg_speed"),
-        F.round(_share(F.count_if(F.col("severity") == "High"), F.count(known)), 1).alias("pct_high_severity"),
+        X.rounded(F.avg("fine_amount"), 2).alias("avg_fine"),
+        X.rounded(F.max("fine_amount"), 2).alias("max_fine"),
+        X.rounded(F.min("fine_amount"), 2).alias("min_fine"),
+        X.rounded(F.sum("fine_amount"), 2).alias("total_revenue"),
+        X.rounded(speed, 2).alias("avg_speed"),
+        X.rounded(_share(F.count_if(F.col("severity") == "High"), F.count(known)), 1).alias("pct_high_severity"),
     ]
     if "hour" in df.columns:
         aggs.append(F.mode("hour", True).alias("peak_hour"))
@@ -37,8 +38,8 @@ def hourly_summary(df: DataFrame) -> DataFrame:
     speed = F.avg("speed_kmh") if "speed_kmh" in df.columns else F.lit(None).cast("double")
     return df.na.drop(subset=["hour"]).groupBy("hour").agg(
         F.count("*").alias("count"),
-        F.round(F.avg("fine_amount"), 2).alias("avg_fine"),
-        F.round(speed, 2).alias("avg_speed"),
+        X.rounded(F.avg("fine_amount"), 2).alias("avg_fine"),
+        X.rounded(speed, 2).alias("avg_speed"),
     )
 
 
@@ -48,10 +49,10 @@ def zone_type_report(df: DataFrame) -> DataFrame:
         .groupBy("zone", "violation_type")
         .agg(
             F.count("*").alias("total_violations"),
-            F.round(F.avg("fine_amount"), 2).alias("avg_fine"),
-            F.round(F.sum("fine_amount"), 2).alias("total_revenue"),
-            F.round(F.max("fine_amount"), 2).alias("max_fine"),
-            F.round(F.avg("speed_kmh"), 2).alias("avg_speed"),
+            X.rounded(F.avg("fine_amount"), 2).alias("avg_fine"),
+            X.rounded(F.sum("fine_amount"), 2).alias("total_revenue"),
+            X.rounded(F.max("fine_amount"), 2).alias("max_fine"),
+            X.rounded(F.avg("speed_kmh"), 2).alias("avg_speed"),
         )
         .orderBy(F.desc("total_revenue"), "zone", "violation_type")
     )
@@ -62,7 +63,7 @@ def hourly_trend(df: DataFrame) -> DataFrame:
         df.groupBy("hour")
         .agg(
             F.count("*").alias("violations_count"),
-            F.round(F.avg("fine_amount"), 2).alias("avg_fine"),
+            X.rounded(F.avg("fine_amount"), 2).alias("avg_fine"),
             F.count_if(F.col("severity") == "High").alias("high_severity_count"),
             F.count_if(F.col("is_peak")).alias("peak_hour_count"),
         )
@@ -82,8 +83,8 @@ def severity_share(df: DataFrame) -> DataFrame:
         groups.crossJoin(F.broadcast(total))
         .select(
             "severity", "count",
-            F.round("__avg", 2).alias("avg_fine"),
-            F.round(_share(F.col("count"), F.col("__total")), 1).alias("pct_share"),
+            X.rounded("__avg", 2).alias("avg_fine"),
+            X.rounded(_share(F.col("count"), F.col("__total")), 1).alias("pct_share"),
         )
         .orderBy(F.desc("avg_fine"), "severity")
     )
@@ -94,8 +95,8 @@ def zone_type_severity_summary(df: DataFrame) -> DataFrame:
         df.groupBy("zone", "violation_type", "severity")
         .agg(
             F.count("*").alias("count"),
-            F.round(F.avg("fine_amount"), 2).alias("avg_fine"),
-            F.round(F.sum("fine_amount"), 2).alias("total_revenue"),
+            X.rounded(F.avg("fine_amount"), 2).alias("avg_fine"),
+            X.rounded(F.sum("fine_amount"), 2).alias("total_revenue"),
         )
         .orderBy(F.desc("total_revenue"), "zone", "violation_type", "severity")
     )
@@ -160,7 +161,7 @@ def kpi_cards(df: DataFrame, approximate=False) -> DataFrame:
         F.sum("fine_amount").alias("total_revenue"),
         F.avg("fine_amount").alias("avg_fine"),
         high.alias("high_severity"),
-        F.round(_share(high, F.count("*")), 1).alias("pct_high"),
+        X.rounded(_share(high, F.count("*")), 1).alias("pct_high"),
         officers.alias("officers_active"),
     )
 

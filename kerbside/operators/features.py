@@ -67,7 +67,7 @@ def add_risk_score(df: DataFrame, spread: Spread | None = None) -> DataFrame:
         drops.append("__top")
     mix = C.RISK_MIX
     score = severity * mix["severity"] + speed * mix["speed"] + fine * mix["fine"]
-    return df.withColumn("risk_score", F.round(score, 1)).drop(*drops)
+    return df.withColumn("risk_score", X.rounded(score, 1)).drop(*drops)
 
 
 def add_tiers(df: DataFrame) -> DataFrame:

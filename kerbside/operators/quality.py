@@ -103,7 +103,7 @@ def dq_score(checks: DataFrame, run_at="") -> DataFrame:
     good = F.count_if(F.col("status") == "PASS")
     bad = F.count_if(F.col("status").isin("FAIL", "WARN"))
     return checks.agg(
-        F.coalesce(F.round(F.try_divide(good * 100.0, good + bad), 1), F.lit(0.0)).alias("score"),
+        F.coalesce(X.rounded(F.try_divide(good * 100.0, good + bad), 1), F.lit(0.0)).alias("score"),
         (bad == 0).alias("passed"),
         good.alias("n_pass"),
         bad.alias("n_fail"),
@@ -263,4 +263,4 @@ def run_summary(raw: DataFrame, clean: DataFrame, score: DataFrame, anomalies: D
     three = anomalies.agg(F.count("*").alias("anomalies"))
     drop = (1 - F.col("clean_rows") / F.greatest(F.col("raw_rows"), F.lit(1))) * 100
     return one.crossJoin(two).crossJoin(score.select("score")).crossJoin(three).select(
-        "raw_rows", "clean_rows", F.round(drop, 1).alias("drop_pct"), F.col("score").alias("dq_score"), "anomalies")
+        "raw_rows", "clean_rows", X.rounded(drop, 1).alias("drop_pct"), F.col("score").alias("dq_score"), "anomalies")

@@ -177,7 +177,7 @@ def exact_quantiles(spark, folder):
     return quantiles(
         value_counts(df, "fine_amount", ["zone"]), "fine_amount", {"q1": 0.25, "q2": 0.5, "q3": 0.75}, ["zone"],
         spreads(df, ["fine_amount"])["fine_amount"],
-    ).select("zone", *[F.round(q, 6).alias(q) for q in ("q1", "q2", "q3")])
+    ).select("zone", *[X.rounded(q, 6).alias(q) for q in ("q1", "q2", "q3")])
 
 
 @query
@@ -187,7 +187,7 @@ def price_quantiles(spark, folder):
     found = quantiles(
         value_counts(df, "l_extendedprice", ["l_returnflag"]), "l_extendedprice",
         {"p10": 0.1, "p50": 0.5, "p90": 0.9}, ["l_returnflag"], spreads(df, ["l_extendedprice"])["l_extendedprice"])
-    return found.select("l_returnflag", *[F.round(q, 4).alias(q) for q in ("p10", "p50", "p90")])
+    return found.select("l_returnflag", *[X.rounded(q, 4).alias(q) for q in ("p10", "p50", "p90")])
 
 
 @query
@@ -202,7 +202,7 @@ def clean_records(spark, folder):
 def _scaled(method):
     def run(spark, folder):
         df = clean_table(spark, folder).select("violation_id", "speed_kmh")
-        return features.normalise(df, "speed_kmh", method, "scaled").withColumn("scaled", F.round("scaled", 6))
+        return features.normalise(df, "speed_kmh", method, "scaled").withColumn("scaled", X.rounded("scaled", 6))
     return run
 
 
@@ -221,7 +221,7 @@ def risk_score(spark, folder):
 def price_rank(spark, folder):
     """Average percentile rank of every order's total."""
     df = read_table(spark, folder, "orders").select("o_orderkey", "o_totalprice")
-    return features.percent_rank_average(df, "o_totalprice", "pct_rank").withColumn("pct_rank", F.round("pct_rank", 8))
+    return features.percent_rank_average(df, "o_totalprice", "pct_rank").withColumn("pct_rank", X.rounded("pct_rank", 8))
 
 
 @query
@@ -324,12 +324,12 @@ def top5_per_zone(spark, folder):
 def rolling_hourly(spark, folder):
     hourly = windows.hourly_counts(clean_table(spark, folder), timeline=True)
     return windows.rolling(hourly, 9).select(
-        "hour", "count", F.round("rolling_mean", 6).alias("rolling_mean"), F.round("rolling_std", 6).alias("rolling_std"))
+        "hour", "count", X.rounded("rolling_mean", 6).alias("rolling_mean"), X.rounded("rolling_std", 6).alias("rolling_std"))
 
 
 @query
 def zone_share(spark, folder):
-    return windows.zone_share(clean_table(spark, folder)).withColumn("pct_of_zone", F.round("pct_of_zone", 8))
+    return windows.zone_share(clean_table(spark, folder)).withColumn("pct_of_zone", X.rounded("pct_of_zone", 8))
 
 
 @query
@@ -350,7 +350,7 @@ def hash_sample(spark, folder):
 @query
 def dq_checks(spark, folder):
     """On uncleaned records, so that checks fail."""
-    return quality.dq_checks(prepared(spark, folder), AS_OF).withColumn("metric", F.round("metric", 8))
+    return quality.dq_checks(prepared(spark, folder), AS_OF).withColumn("metric", X.rounded("metric", 8))
 
 
 @query
@@ -359,7 +359,7 @@ def dq_checks_dashboard(spark, folder):
     few = {c: C.COMPLETENESS[c] for c in ("violation_type", "zone", "severity", "fine_amount")}
     checks = quality.dq_checks(
         clean_table(spark, folder), AS_OF, few, ["speed_kmh", "fine_amount"], freshness=False)
-    return checks.withColumn("metric", F.round("metric", 8))
+    return checks.withColumn("metric", X.rounded("metric", 8))
 
 
 @query
@@ -369,7 +369,7 @@ def dq_score(spark, folder):
 
 @query
 def schema_report(spark, folder):
-    return quality.schema_report(prepared(spark, folder)).withColumn("n", F.round("n", 6))
+    return quality.schema_report(prepared(spark, folder)).withColumn("n", X.rounded("n", 6))
 
 
 @query

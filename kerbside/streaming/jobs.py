@@ -10,9 +10,9 @@ from kerbside.operators.messages import envelope
 def _measures():
     return [
         F.count("*").alias("violation_count"),
-        F.round(F.avg("fine_amount"), 2).alias("avg_fine"),
-        F.round(F.sum("fine_amount"), 2).alias("revenue"),
-        F.round(F.avg("speed_kmh"), 2).alias("avg_speed"),
+        X.rounded(F.avg("fine_amount"), 2).alias("avg_fine"),
+        X.rounded(F.sum("fine_amount"), 2).alias("revenue"),
+        X.rounded(F.avg("speed_kmh"), 2).alias("avg_speed"),
     ]
 
 
