@@ -186,13 +186,15 @@ def day_hour_pivot(df: DataFrame) -> DataFrame:
 
 
 def explore(df: DataFrame, zone="All", violation_type="All", severity="All", n=500) -> DataFrame:
-    """First ``n`` records, in id order, under optional equality filters."""
+    """First ``n`` records, in id order, under optional equality filters; all
+    of them, unordered, for ``n=None`` (the download behind the page)."""
     for column, chosen in (("zone", zone), ("violation_type", violation_type), ("severity", severity)):
         if chosen != "All":
             df = df.filter(F.col(column) == chosen)
     show = ["violation_id", "violation_type", "zone", "speed_kmh", "fine_amount", "severity", "hour",
             "vehicle_type", "officer_id"]
-    return df.select(*[c for c in show if c in df.columns]).orderBy("violation_id").limit(n)
+    page = df.select(*[c for c in show if c in df.columns])
+    return page if n is None else page.orderBy("violation_id").limit(n)
 
 
 def hash_sample(df: DataFrame, key, n, seed="0") -> DataFrame:

@@ -1,0 +1,165 @@
+"""A table kept as versions of parquet folders, with a commit log.
+
+A version is the list of data folders that make it up. Appending writes the
+new rows only and shares the older folders; overwrite and compaction write new
+ones. The log has one small JSON folder per version, created with
+``errorifexists``, so two writers cannot both commit the same version.
+"""
+
+from functools import reduce
+
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+
+LOG_SCHEMA = ("version long, timestamp string, operation string, operationParameters map<string,string>, "
+              "readVersion long, parts array<string>")
+
+
+class SnapshotTable:
+    def __init__(self, spark: SparkSession, path):
+        self.spark, self.path = spark, str(path).rstrip("/")
+
+    # --- log ---
+
+    def _fs(self):
+        jvm = self.spark._jvm
+        target = jvm.org.apache.hadoop.fs.Path(self.path)
+        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), jvm.org.apache.hadoop.fs.Path
+
+    def _exists(self, path):
+        fs, Path = self._fs()
+        return fs.exists(Path(path))
+
+    def history(self) -> DataFrame:
+        """All commits, oldest first."""
+        if not self._exists(f"{self.path}/_log"):
+            return self.spark.createDataFrame([], LOG_SCHEMA)
+        return self.spark.read.schema(LOG_SCHEMA).json(f"{self.path}/_log/*").orderBy("version")
+
+    def _latest(self, version=None):
+        """The newest commit with data at or before ``version``."""
+        log = self.history().filter(F.size("parts") > 0)
+        if version is not None:
+            log = log.filter(F.col("version") <= version)
+        return log.orderBy(F.desc("version")).limit(1).first()
+
+    def _next(self):
+        last = self.history().agg(F.max("version")).first()[0]
+        return 0 if last is None else last + 1
+
+    def _commit(self, version, operation, parameters, parts, at):
+        stamp = F.date_format(F.current_timestamp() if at is None else F.lit(at).cast("timestamp"),
+                              "yyyy-MM-dd'T'HH:mm:ss")
+        parameters = {k: str(v) for k, v in parameters.items()}
+        row = self.spark.createDataFrame(
+            [(version, None, operation, parameters, version - 1, parts)], LOG_SCHEMA).withColumn("timestamp", stamp)
+        row.coalesce(1).write.mode("errorifexists").json(f"{self.path}/_log/{version:020d}")
+        return version
+
+    # --- reads and writes ---
+
+    def read(self, version=None) -> DataFrame:
+        """The table as of a version, by default the latest."""
+        commit = self._latest(version)
+        if commit is None:
+            raise FileNotFoundError(f"no version {'' if version is None else version} of {self.path}")
+        gone = [p for p in commit["parts"] if not self._exists(f"{self.path}/{p}")]
+        if gone:
+            raise FileNotFoundError(f"version {commit['version']} of {self.path} was vacuumed")
+        return self._load(commit["parts"])
+
+    def _load(self, parts):
+        return self.spark.read.option("mergeSchema", True).parquet(*[f"{self.path}/{p}" for p in parts])
+
+    def write(self, df: DataFrame, mode="append", key=None, at=None) -> int:
+        """Append, overwrite, or merge (rows with a known key are replaced)."""
+        if mode not in ("append", "overwrite", "merge"):
+            raise ValueError(f"unknown mode {mode!r}")
+        version, before = self._next(), self._latest()
+        part = f"version={version}"
+        parts = [part]
+        if before is not None and mode == "append":
+            parts = [*before["parts"], part]
+        if before is not None and mode == "merge":
+            if not key:
+                raise ValueError("merge needs a key")
+            kept = self._load(before["parts"]).join(df.select(*_names(key)), _names(key), "left_anti")
+            df = kept.unionByName(df, allowMissingColumns=True)
+        df.write.mode("errorifexists").parquet(f"{self.path}/{part}")
+        return self._commit(version, f"WRITE ({mode})", {"mode": mode, "path": part}, parts, at)
+
+    def vacuum(self, retain_versions=7, at=None) -> int:
+        """Delete the folders that none of the newest data versions uses."""
+        newest = Window.orderBy(F.desc("version"))
+        data = self.history().filter(F.size("parts") > 0)
+        # The log has one row per commit.
+        kept = data.withColumn("rn", F.row_number().over(newest)).filter(F.col("rn") <= retain_versions)
+        used = {p for row in kept.select("parts").collect() for p in row["parts"]}
+        all_parts = {p for row in data.select("parts").collect() for p in row["parts"]}
+        fs, Path = self._fs()
+        removed = [p for p in sorted(all_parts - used) if fs.delete(Path(f"{self.path}/{p}"), True)]
+        self._commit(self._next(), "VACUUM", {"retainVersions": retain_versions, "deletedVersions": len(removed)}, [], at)
+        return len(removed)
+
+    # --- layout ---
+
+    def _rewrite(self, operation, parameters, arrange, at):
+        commit = self._latest()
+        version = self._next()
+        part = f"version={version}"
+        arrange(self._load(commit["parts"])).write.mode("errorifexists").parquet(f"{self.path}/{part}")
+        return self._commit(version, operation, parameters, [part], at)
+
+    def optimize(self, target_files=None, at=None) -> int:
+        """Compact: few large files instead of many small ones.
+
+        Without a number the rebalance hint lets AQE choose files of the
+        advised size.
+        """
+        def arrange(df):
+            return df.coalesce(target_files) if target_files else df.hint("rebalance")
+        return self._rewrite("OPTIMIZE", {"type": "compaction"}, arrange, at)
+
+    def z_order_by(self, columns, files=None, bits=8, at=None) -> int:
+        """Cluster by several columns at once, so that file min/max statistics
+        skip files for a filter on any of them."""
+        return self._rewrite(
+            "OPTIMIZE (Z-ORDER)", {"zOrderBy": ",".join(columns)}, lambda df: z_order(df, columns, files, bits), at)
+
+
+def _names(key):
+    return [key] if isinstance(key, str) else list(key)
+
+
+def _as_number(df, column):
+    """An order-preserving number: strings by their first six bytes."""
+    if dict(df.dtypes)[column] == "string":
+        return F.conv(F.hex(F.rpad(F.substring(column, 1, 6), 6, "\0")), 16, 10).cast("double")
+    if dict(df.dtypes)[column] == "date":
+        return F.unix_date(column).cast("double")
+    return F.col(column).cast("double")
+
+
+def z_order(df: DataFrame, columns, files=None, bits=8) -> DataFrame:
+    """Range-partition by the interleaved bits of each column's quantile rank.
+
+    The quantile sketches balance the ranks; they do not affect the content.
+    """
+    names = [f"__z{i}" for i in range(len(columns))]
+    ready = df.withColumns({z: _as_number(df, c) for z, c in zip(names, columns)})
+    marks = [i / 2**bits for i in range(1, 2**bits)]
+    cuts = ready.agg(*[F.percentile_approx(z, marks, 10_000).alias(z) for z in names]).first()
+    for z in names:
+        inner = sorted(set(cuts[z] or []))
+        finder = Bucketizer(
+            splits=[float("-inf"), *inner, float("inf")], inputCol=z, outputCol=f"{z}b", handleInvalid="keep")
+        ready = finder.transform(ready.withColumn(z, F.coalesce(z, F.lit(float("-inf")))))
+        ready = ready.withColumn(f"{z}b", F.least(F.col(f"{z}b").cast("long"), F.lit(2**bits - 1)))
+    spread = []
+    for bit in range(bits):
+        for i, z in enumerate(names):
+            one = F.shiftright(F.col(f"{z}b"), bit).bitwiseAND(F.lit(1))
+            spread.append(F.shiftleft(one, bit * len(names) + i))
+    ready = ready.withColumn("__zvalue", reduce(lambda a, b: a.bitwiseOR(b), spread))
+    ranged = ready.repartitionByRange(files, "__zvalue") if files else ready.repartitionByRange("__zvalue")
+    return ranged.sortWithinPartitions("__zvalue").select(*df.columns)
