@@ -16,11 +16,13 @@ def rounded(col, digits) -> Column:
 
 
 def lookup(key: Column, mapping: dict, default=None) -> Column:
-    """Literal mapping as a CASE; unmapped and null keys give ``default``."""
-    out = None
-    for source, target in mapping.items():
-        out = F.when(key == F.lit(source), F.lit(target)) if out is None else out.when(key == F.lit(source), F.lit(target))
-    return out.otherwise(F.lit(default))
+    """Value of a literal map; unmapped and null keys give ``default``.
+
+    A map, not a CASE, so that the key expression is evaluated once.
+    """
+    pairs = F.create_map(*[F.lit(x) for pair in mapping.items() for x in pair])
+    found = F.try_element_at(pairs, key)
+    return found if default is None else F.coalesce(found, F.lit(default))
 
 
 def canonical_type(col: Column) -> Column:

@@ -32,9 +32,10 @@ _SLAB = "__slab"
 
 @dataclass(frozen=True)
 class Spread:
-    """How a numeric column spreads: an upper bound of its distinct values,
-    and cut points that split them evenly (empty when one slab will do)."""
+    """How a numeric column spreads: its rows, an upper bound of its distinct
+    values, and cut points that split them evenly (none if one slab will do)."""
 
+    rows: int
     distinct: int
     cuts: tuple = ()
 
@@ -46,7 +47,7 @@ def spreads(df: DataFrame, columns, slab_rows=SLAB_ROWS) -> dict:
     """
     rows = df.count()
     if rows <= slab_rows:
-        return {c: Spread(rows) for c in columns}
+        return {c: Spread(rows, rows) for c in columns}
     marks = [i / MAX_SLABS for i in range(1, MAX_SLABS)]
     sketch = df.agg(
         *[F.approx_count_distinct(c, 0.02).alias(f"d_{c}") for c in columns],
@@ -59,7 +60,7 @@ def spreads(df: DataFrame, columns, slab_rows=SLAB_ROWS) -> dict:
         slabs = min(MAX_SLABS, math.ceil(distinct / slab_rows))
         every = sketch[f"q_{c}"] or []
         picked = [every[(len(every) * i) // slabs] for i in range(1, slabs)] if every else []
-        out[c] = Spread(distinct, tuple(sorted(set(picked))))
+        out[c] = Spread(rows, distinct, tuple(sorted(set(picked))))
     return out
 
 
@@ -83,14 +84,14 @@ def value_counts(df: DataFrame, value, by=()) -> DataFrame:
     return df.groupBy(*by, value).agg(F.count("*").alias("n"))
 
 
-def cumulate(counts: DataFrame, value, by=(), spread: Spread | None = None) -> DataFrame:
+def cumulate(counts: DataFrame, value, by, spread: Spread) -> DataFrame:
     """Per distinct value: rows and distinct values below it, and group totals.
 
     ``counts`` has columns (by..., value, n). Adds ``below``, ``distinct_below``,
     ``total`` and ``distinct_total``. A null value sorts lowest.
     """
     by = list(by)
-    if spread is None or not spread.cuts:
+    if not spread.cuts:
         group = Window.partitionBy(*[F.col(c) for c in by])
         running = group.orderBy(F.col(value).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
         return counts.select(
@@ -137,25 +138,41 @@ def _with_slab(counts, value, cuts):
     return finder.transform(ready).drop(helper).withColumn(_SLAB, F.col(_SLAB).cast("int"))
 
 
-def quantiles(counts: DataFrame, value, probs: dict, by=(), spread: Spread | None = None) -> DataFrame:
-    """Exact quantiles with linear interpolation, from value counts.
+def quantiles(df: DataFrame, value, probs: dict, by=(), spread: Spread | None = None, weight=None,
+              slab_rows=SLAB_ROWS) -> DataFrame:
+    """Exact quantiles with linear interpolation; nulls are ignored.
 
-    ``probs`` maps output column -> probability. Null values are ignored.
-    One row per group (one row in all without ``by``).
+    ``probs`` maps output column -> probability; ``weight`` names a count
+    column. One row per group (one row in all without ``by``). Few rows go
+    through the built-in aggregate; more are folded to value counts first.
     """
-    table = cumulate(counts.filter(F.col(value).isNotNull()), value, by, spread)
+    by = list(by)
+    spread = spread or spreads(df, [value], slab_rows)[value]
+    marks = [float(p) for p in probs.values()]
+    if not spread.cuts and spread.rows <= slab_rows:
+        all_marks = F.array(*[F.lit(p) for p in marks])
+        found = df.groupBy(*by).agg(F.percentile(
+            F.col(value).cast("double"), all_marks, F.col(weight) if weight else F.lit(1)).alias("__q"))
+        return found.select(*by, *[F.col("__q")[i].alias(name) for i, name in enumerate(probs)])
+    known = df.filter(F.col(value).isNotNull())
+    counts = known.groupBy(*by, value).agg((F.sum(weight) if weight else F.count("*")).alias("n"))
+    table = cumulate(counts, value, by, spread)
     picks = []
-    for name, p in probs.items():
-        position = F.lit(float(p)) * (F.col("total") - 1)
+    for i, p in enumerate(marks):
+        position = F.lit(p) * (F.col("total") - 1)
         for suffix, at in (("lo", F.floor(position)), ("hi", F.ceil(position))):
             here = (F.col("below") <= at) & (at < F.col("below") + F.col("n"))
-            picks.append(F.max(F.when(here, F.col(value).cast("double"))).alias(f"{name}__{suffix}"))
+            picks.append(F.max(F.when(here, F.col(value).cast("double"))).alias(f"__{suffix}{i}"))
     found = table.groupBy(*by).agg(*picks, F.max("total").alias("__total"))
+    if by:
+        # Groups with nothing but nulls keep their row.
+        found = attach(df.select(*by).distinct(), found, by, "left")
     out = []
-    for name, p in probs.items():
-        position = F.lit(float(p)) * (F.col("__total") - 1)
-        low, high = F.col(f"{name}__lo"), F.col(f"{name}__hi")
-        out.append((low + (high - low) * (position - F.floor(position))).alias(name))
+    for i, (name, p) in enumerate(zip(probs, marks)):
+        position = F.lit(p) * (F.col("__total") - 1)
+        low, high, floor, ceil = F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.floor(position), F.ceil(position)
+        between = (ceil - position) * low + (position - floor) * high
+        out.append(F.when(floor == ceil, low).otherwise(between).alias(name))
     return found.select(*by, *out)
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, functions as F
 
 from kerbside.functions import columns as X
-from kerbside.functions.ordered import Spread, quantiles, spreads, value_counts
+from kerbside.functions.ordered import Spread, quantiles
 from kerbside.operators.windows import centred, hourly_counts, rolling
 
 METHODS = ("combined", "zscore", "iqr")
@@ -24,8 +24,7 @@ def _flags(df, column, method, z_threshold, reach, spread):
         by_z = F.coalesce(F.col("__z") > z_threshold, no)
         drops += ["__mean", "__std", "__z"]
     if method != "zscore":
-        spread = spread or spreads(df, [column])[column]
-        q = quantiles(value_counts(rows, "__value"), "__value", {"__q1": 0.25, "__q3": 0.75}, spread=spread)
+        q = quantiles(rows.select("__value"), "__value", {"__q1": 0.25, "__q3": 0.75}, spread=spread)
         width = (F.col("__q3") - F.col("__q1")) * reach
         rows = rows.crossJoin(F.broadcast(q))
         by_iqr = F.coalesce(

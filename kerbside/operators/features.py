@@ -26,10 +26,7 @@ def normalise(df: DataFrame, column, method="minmax", alias=None, spread: Spread
     elif method == "zscore":
         stats = df.agg(F.avg(value).alias("__mid"), F.stddev_samp(value).alias("__width"))
     else:
-        spread = spread or spreads(df, [column])[column]
-        stats = quantiles(
-            value_counts(df, column), column, {"__mid": 0.5, "__q1": 0.25, "__q3": 0.75}, spread=spread,
-        ).select("__mid", (F.col("__q3") - F.col("__q1")).alias("__width"))
+        stats = quantiles(df, column, {"__mid": 0.5, "__q1": 0.25, "__q3": 0.75}, spread=spread).select("__mid", (F.col("__q3") - F.col("__q1")).alias("__width"))
     scaled = (value - F.col("__mid")) / F.when(F.col("__width") > 0, F.col("__width"))
     return (
         df.crossJoin(F.broadcast(stats))
@@ -38,6 +35,20 @@ def normalise(df: DataFrame, column, method="minmax", alias=None, spread: Spread
     )
 
 
+def normalise_minmax(df: DataFrame, names: dict) -> DataFrame:
+    """Min-max scale several columns (column -> alias) with one statistics pass."""
+    names = {c: alias for c, alias in names.items() if c in df.columns}
+    stats = df.agg(*[
+        agg for c in names for agg in (
+            F.min(F.col(c).cast("double")).alias(f"__lo_{c}"), F.max(F.col(c).cast("double")).alias(f"__hi_{c}"))])
+    out = {}
+    for c, alias in names.items():
+        width = F.col(f"__hi_{c}") - F.col(f"__lo_{c}")
+        scaled = (F.col(c).cast("double") - F.col(f"__lo_{c}")) / F.when(width > 0, width)
+        out[alias] = F.when(width > 0, scaled).otherwise(F.lit(0.0))
+    return df.crossJoin(F.broadcast(stats)).withColumns(out).drop(*stats.columns)
+
+
 def percent_rank_average(df: DataFrame, column, name, spread: Spread | None = None) -> DataFrame:
     """Average rank over the non-null count, ties sharing their mean rank.
 
@@ -45,7 +56,7 @@ def percent_rank_average(df: DataFrame, column, name, spread: Spread | None = No
     """
     spread = spread or spreads(df, [column])[column]
     counts = value_counts(df.filter(F.col(column).isNotNull()), column)
-    ranks = cumulate(counts, column, spread=spread).select(
+    ranks = cumulate(counts, column, [], spread).select(
         column, ((F.col("below") + (F.col("n") + 1) / 2) / F.col("total")).alias(name))
     return attach(df, ranks, [column], "left", rows=spread.distinct)
 

@@ -4,6 +4,8 @@ All statistics come from value counts, which are small next to the rows: the
 data is read once for the counts and once to apply them.
 """
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from kerbside import contract as C
@@ -11,6 +13,7 @@ from kerbside.functions import columns as X
 from kerbside.functions.ordered import attach, quantiles, spreads, value_counts
 
 COORDINATES = ("latitude", "longitude")
+_PAIR = ["zone", "violation_type"]
 
 
 def numeric_spreads(df: DataFrame) -> dict:
@@ -22,43 +25,21 @@ def _one_row(df, row):
     return df.crossJoin(F.broadcast(row))
 
 
-def fine_statistics(df: DataFrame, spread=None):
-    """Group medians, the overall median of the filled column, and the
-    quartiles of the filled and capped column, all from one set of counts."""
-    by = ["zone", "violation_type"]
-    counts = value_counts(df, "fine_amount", by)
-    medians = quantiles(counts, "fine_amount", {"fine_median": 0.5}, by, spread)
+def _fine_statistics(df, spread):
+    """From one set of value counts: the median per (zone, type); the overall
+    median of the column so filled; its quartiles once capped."""
+    counts = value_counts(df, "fine_amount", _PAIR)
+    medians = quantiles(counts, "fine_amount", {"__fine": 0.5}, _PAIR, spread, "n")
     filled = (
-        attach(counts, medians, by, "left", C.MAX_ZONE_TYPE_GROUPS)
-        .select(F.coalesce("fine_amount", "fine_median").alias("fine_amount"), "n")
-        .groupBy("fine_amount").agg(F.sum("n").alias("n"))
+        attach(counts, medians, _PAIR, "left", C.MAX_ZONE_TYPE_GROUPS)
+        .groupBy(F.coalesce("fine_amount", "__fine").alias("fine_amount")).agg(F.sum("n").alias("n"))
     )
-    overall = quantiles(filled, "fine_amount", {"fine_overall": 0.5}, spread=spread)
+    overall = quantiles(filled, "fine_amount", {"__fine_all": 0.5}, [], spread, "n")
     low, high = C.BOUNDS["fine_amount"]
-    capped = (
-        _one_row(filled, overall)
-        .select(X.clip(F.coalesce("fine_amount", "fine_overall"), low, high).alias("fine_amount"), "n")
-        .groupBy("fine_amount").agg(F.sum("n").alias("n"))
-    )
-    quartiles = quantiles(capped, "fine_amount", {"fine_q1": 0.25, "fine_q3": 0.75}, spread=spread)
-    return medians, overall, quartiles
-
-
-def impute_fine(df: DataFrame, medians, overall) -> DataFrame:
-    """Median of the (zone, type) group, else the median of the filled column."""
-    df = attach(df, medians, ["zone", "violation_type"], "left", C.MAX_ZONE_TYPE_GROUPS)
-    df = _one_row(df, overall)
-    return df.withColumn("fine_amount", F.coalesce("fine_amount", "fine_median", "fine_overall")).drop(
-        "fine_median", "fine_overall")
-
-
-def impute_speed(df: DataFrame, spread=None, source=None) -> DataFrame:
-    """Median of the violation type, else 0."""
-    by = ["violation_type"]
-    counts = value_counts(df if source is None else source, "speed_kmh", by)
-    medians = quantiles(counts, "speed_kmh", {"speed_median": 0.5}, by, spread)
-    df = attach(df, medians, by, "left", C.MAX_ZONE_TYPE_GROUPS)
-    return df.withColumn("speed_kmh", F.coalesce("speed_kmh", "speed_median", F.lit(0.0))).drop("speed_median")
+    capped = _one_row(filled, overall).select(
+        X.clip(F.coalesce("fine_amount", "__fine_all"), low, high).alias("fine_amount"), "n")
+    quartiles = quantiles(capped, "fine_amount", {"fine_q1": 0.25, "fine_q3": 0.75}, [], spread, "n")
+    return medians, overall.crossJoin(quartiles)
 
 
 def most_common(df: DataFrame, column, name) -> DataFrame:
@@ -67,25 +48,51 @@ def most_common(df: DataFrame, column, name) -> DataFrame:
     return counts.agg(F.min_by(column, F.struct(-F.col("n"), F.col(column))).alias(name))
 
 
-def impute_labels(df: DataFrame, spread=None, source=None) -> DataFrame:
-    """Officer -> 'UNKNOWN', vehicle -> most common, coordinates -> median."""
-    source = df if source is None else source
-    spread = spread or {}
-    fills = {}
-    if "officer_id" in df.columns:
-        fills["officer_id"] = F.coalesce("officer_id", F.lit(C.UNKNOWN_OFFICER))
-    drops = []
+def statistics(df: DataFrame, spread=None):
+    """What filling needs: a table per (zone, type) and a table of one row.
+
+    Categories must be standardised, which bounds the first by the contract.
+    Either is None if its columns are absent.
+    """
+    spread = numeric_spreads(df) if spread is None else spread
+    groups, singles = None, []
+    if {"fine_amount", *_PAIR} <= set(df.columns):
+        groups, fine_row = _fine_statistics(df, spread["fine_amount"])
+        singles.append(fine_row)
+    if {"speed_kmh", "violation_type"} <= set(df.columns):
+        speeds = quantiles(df, "speed_kmh", {"__speed": 0.5}, ["violation_type"], spread["speed_kmh"])
+        groups = speeds if groups is None else attach(groups, speeds, ["violation_type"], "left", C.MAX_ZONE_TYPE_GROUPS)
     if "vehicle_type" in df.columns:
-        df = _one_row(df, most_common(source, "vehicle_type", "__vehicle"))
-        fills["vehicle_type"] = F.coalesce("vehicle_type", "__vehicle", F.lit(C.UNKNOWN))
-        drops.append("__vehicle")
-    for c in COORDINATES:
-        if c in df.columns:
-            middle = quantiles(value_counts(source, c), c, {f"__{c}": 0.5}, spread=spread.get(c))
-            df = _one_row(df, middle)
-            fills[c] = F.coalesce(c, f"__{c}")
-            drops.append(f"__{c}")
-    return df.withColumns(fills).drop(*drops)
+        singles.append(most_common(df, "vehicle_type", "__vehicle"))
+    singles += [quantiles(df, c, {f"__{c}": 0.5}, [], spread[c]) for c in COORDINATES if c in df.columns]
+    return groups, reduce(DataFrame.crossJoin, singles) if singles else None
+
+
+def impute(df: DataFrame, spread=None, keep_quartiles=False) -> DataFrame:
+    """Fill the gaps of whichever columns are present.
+
+    Fine: median of the (zone, type) group, else of the filled column. Speed:
+    median of the type, else 0. Officer: 'UNKNOWN'. Vehicle: most common.
+    Coordinates: median. The rows meet two broadcast tables, nothing more.
+    """
+    have = set(df.columns)
+    groups, single = statistics(df, spread)
+    names = list(df.columns)
+    if groups is not None:
+        on = [c for c in _PAIR if c in groups.columns]
+        df = attach(df, groups, on, "left", C.MAX_ZONE_TYPE_GROUPS)
+    if single is not None:
+        df = _one_row(df, single)
+    fills = {
+        "fine_amount": ["__fine", "__fine_all"] if _PAIR[0] in have else None,
+        "speed_kmh": ["__speed", F.lit(0.0)],
+        "officer_id": [F.lit(C.UNKNOWN_OFFICER)],
+        "vehicle_type": ["__vehicle", F.lit(C.UNKNOWN)],
+        "latitude": ["__latitude"],
+        "longitude": ["__longitude"],
+    }
+    out = [F.coalesce(c, *fills[c]).alias(c) if fills.get(c) else F.col(c) for c in names]
+    return df.select(*out, *(["fine_q1", "fine_q3"] if keep_quartiles else []))
 
 
 def cap_values(df: DataFrame) -> DataFrame:
@@ -94,14 +101,16 @@ def cap_values(df: DataFrame) -> DataFrame:
         c: X.clip(F.col(c), *C.BOUNDS[c]) for c in ("speed_kmh", "fine_amount") if c in df.columns})
 
 
-def flag_fine_outliers(df: DataFrame, quartiles=None, spread=None) -> DataFrame:
-    """True when the capped fine is outside Q1 - 3 IQR .. Q3 + 3 IQR, or null."""
-    if quartiles is None:
-        quartiles = quantiles(
-            value_counts(df, "fine_amount"), "fine_amount", {"fine_q1": 0.25, "fine_q3": 0.75}, spread=spread)
+def flag_fine_outliers(df: DataFrame, spread=None) -> DataFrame:
+    """True when the capped fine is outside Q1 - 3 IQR .. Q3 + 3 IQR, or null.
+
+    Quartiles already at hand as ``fine_q1`` and ``fine_q3`` are used up.
+    """
+    if "fine_q1" not in df.columns:
+        df = _one_row(df, quantiles(df, "fine_amount", {"fine_q1": 0.25, "fine_q3": 0.75}, spread=spread))
     reach = (F.col("fine_q3") - F.col("fine_q1")) * 3
     inside = X.within(F.col("fine_amount"), F.col("fine_q1") - reach, F.col("fine_q3") + reach)
-    return _one_row(df, quartiles).withColumn("fine_is_outlier", ~inside).drop("fine_q1", "fine_q3")
+    return df.withColumn("fine_is_outlier", ~inside).drop("fine_q1", "fine_q3")
 
 
 def narrow_numbers(df: DataFrame) -> DataFrame:

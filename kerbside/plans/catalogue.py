@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from kerbside import contract as C
 from kerbside.functions import columns as X
-from kerbside.functions.ordered import quantiles, spreads, value_counts
+from kerbside.functions.ordered import quantiles
 from kerbside.operators import (
     analytics, anomalies, conform, features, impute, layout, messages, quality, star, windows)
 from kerbside.plans import cleaning
@@ -153,40 +153,34 @@ def derive_severity(spark, folder):
 @query
 def impute_group_median(spark, folder):
     df = prepared(spark, folder).select("row_seq", "violation_id", "zone", "violation_type", "fine_amount", "speed_kmh")
-    spread = spreads(df, ["fine_amount", "speed_kmh"])
-    medians, overall, _ = impute.fine_statistics(df, spread["fine_amount"])
-    return impute.impute_speed(impute.impute_fine(df, medians, overall), spread["speed_kmh"], source=df)
+    return impute.impute(df)
 
 
 @query
 def impute_mode(spark, folder):
     df = prepared(spark, folder).select("row_seq", "vehicle_type", "officer_id", "latitude", "longitude")
-    return impute.impute_labels(df, spreads(df, list(impute.COORDINATES)))
+    return impute.impute(df)
 
 
 @query
 def cap_outliers(spark, folder):
     df = raw(spark, folder).select("row_seq", "speed_kmh", "fine_amount")
-    return impute.flag_fine_outliers(impute.cap_values(df), spread=spreads(df, ["fine_amount"])["fine_amount"])
+    return impute.flag_fine_outliers(impute.cap_values(df))
 
 
 @query
 def exact_quantiles(spark, folder):
     """Quartiles of the fine by zone."""
     df = prepared(spark, folder).select("zone", "fine_amount")
-    return quantiles(
-        value_counts(df, "fine_amount", ["zone"]), "fine_amount", {"q1": 0.25, "q2": 0.5, "q3": 0.75}, ["zone"],
-        spreads(df, ["fine_amount"])["fine_amount"],
-    ).select("zone", *[X.rounded(q, 6).alias(q) for q in ("q1", "q2", "q3")])
+    return quantiles(df, "fine_amount", {"q1": 0.25, "q2": 0.5, "q3": 0.75}, ["zone"]).select(
+        "zone", *[X.rounded(q, 6).alias(q) for q in ("q1", "q2", "q3")])
 
 
 @query
 def price_quantiles(spark, folder):
     """Exact deciles of the line price by return flag, on the widest table."""
     df = read_table(spark, folder, "lineitem").select("l_returnflag", "l_extendedprice")
-    found = quantiles(
-        value_counts(df, "l_extendedprice", ["l_returnflag"]), "l_extendedprice",
-        {"p10": 0.1, "p50": 0.5, "p90": 0.9}, ["l_returnflag"], spreads(df, ["l_extendedprice"])["l_extendedprice"])
+    found = quantiles(df, "l_extendedprice", {"p10": 0.1, "p50": 0.5, "p90": 0.9}, ["l_returnflag"])
     return found.select("l_returnflag", *[X.rounded(q, 4).alias(q) for q in ("p10", "p50", "p90")])
 
 

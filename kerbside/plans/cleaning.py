@@ -33,18 +33,15 @@ def deduplicate(raw: DataFrame) -> DataFrame:
 def clean(raw: DataFrame, slab_spreads=None, cut=stage) -> DataFrame:
     """Deduplicate, fill, cap, flag, parse times, derive severity.
 
-    The deduplicated rows feed six small statistics and the final pass, so
-    they are written once (``cut``) instead of being shuffled seven times.
+    The deduplicated rows feed five small statistics and the final pass, so
+    they are written once (``cut``) instead of being shuffled six times.
     """
     spread = impute.numeric_spreads(raw) if slab_spreads is None else slab_spreads
     rows = cut(deduplicate(raw))
-    medians, overall, quartiles = impute.fine_statistics(rows, spread.get("fine_amount"))
     return (
-        impute.impute_fine(rows, medians, overall)
-        .transform(lambda d: impute.impute_speed(d, spread.get("speed_kmh"), source=rows))
-        .transform(lambda d: impute.impute_labels(d, spread, source=rows))
+        impute.impute(rows, spread, keep_quartiles=True)
         .transform(impute.cap_values)
-        .transform(lambda d: impute.flag_fine_outliers(d, quartiles))
+        .transform(impute.flag_fine_outliers)
         .transform(conform.add_time_features)
         .transform(conform.add_severity)
     )

@@ -6,8 +6,5 @@ from kerbside.operators import features
 
 
 def enrich(clean: DataFrame, fine_spread=None) -> DataFrame:
-    return (
-        clean.transform(lambda d: features.normalise(d, "speed_kmh", "minmax", "speed_norm"))
-        .transform(lambda d: features.normalise(d, "fine_amount", "minmax", "fine_norm"))
-        .transform(lambda d: features.add_risk_score(d, fine_spread))
-    )
+    scaled = features.normalise_minmax(clean, {"speed_kmh": "speed_norm", "fine_amount": "fine_norm"})
+    return features.add_risk_score(scaled, fine_spread)

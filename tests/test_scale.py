@@ -15,6 +15,9 @@ from kerbside.plans.catalogue import clean_table, enriched_table
 from kerbside.sources.incidents import raw_incidents, read_table
 
 
+ONE = Spread(0, 0)
+
+
 def same(a, b):
     b = b.select(*a.columns)
     return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
@@ -45,9 +48,12 @@ def test_cumulate_in_slabs(spark, folder):
     spread = spreads(df, ["value"], slab_rows=20)["value"]
     for by in ([], ["event_type"]):
         counts = value_counts(df, "value", by)
-        assert same(cumulate(counts, "value", by, spread), cumulate(counts, "value", by))
+        assert same(cumulate(counts, "value", by, spread), cumulate(counts, "value", by, ONE))
         probs = {"a": 0.05, "b": 0.5, "c": 0.99}
-        assert same(quantiles(counts, "value", probs, by, spread), quantiles(counts, "value", probs, by))
+        built_in = quantiles(df, "value", probs, by)
+        for how in (spread, Spread(10**9, 10**9)):
+            assert same(quantiles(df, "value", probs, by, how), built_in)
+            assert same(quantiles(counts, "value", probs, by, how, "n"), built_in)
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -56,8 +62,8 @@ def test_cumulate_in_slabs(spark, folder):
 def test_any_cuts_give_the_same_ranks(spark, data, cuts):
     df = spark.createDataFrame([(v,) for v in data], "v int")
     counts = value_counts(df, "v")
-    spread = Spread(len(data), tuple(float(c) for c in sorted(cuts)))
-    assert same(cumulate(counts, "v", spread=spread), cumulate(counts, "v"))
+    spread = Spread(len(data), len(data), tuple(float(c) for c in sorted(cuts)))
+    assert same(cumulate(counts, "v", [], spread), cumulate(counts, "v", [], ONE))
 
 
 def test_numbering_in_slabs(spark, folder):
