@@ -15,6 +15,12 @@ def rounded(col, digits) -> Column:
     return F.round(F.round(col, digits + 6), digits)
 
 
+def padded(number: Column, width) -> Column:
+    """Zero-padded digits; longer numbers keep all of theirs."""
+    digits = number.cast("string")
+    return F.lpad(digits, F.greatest(F.length(digits), F.lit(width)), F.lit("0"))
+
+
 def lookup(key: Column, mapping: dict, default=None) -> Column:
     """Value of a literal map; unmapped and null keys give ``default``.
 

@@ -58,13 +58,16 @@ def mark(df: DataFrame, column="fine_amount", method="combined", z_threshold=3.0
 
 
 def exclude_by_key(df: DataFrame, members: DataFrame, key="violation_id") -> DataFrame:
-    """Rows whose key is not among the members (anti-join)."""
-    return df.join(members.select(key), key, "left_anti")
+    """Rows whose key is not among the members (anti-join).
+
+    Members are made distinct first, so a hot key does not pile up.
+    """
+    return df.join(members.select(key).distinct(), key, "left_anti")
 
 
 def keep_by_key(df: DataFrame, members: DataFrame, key="violation_id") -> DataFrame:
     """Rows whose key is among the members (semi-join)."""
-    return df.join(members.select(key), key, "left_semi")
+    return df.join(members.select(key).distinct(), key, "left_semi")
 
 
 def temporal_spikes(df: DataFrame, window=3, k=2.0, timeline=False, exclude_current=False) -> DataFrame:

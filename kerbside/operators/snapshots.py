@@ -83,7 +83,7 @@ class SnapshotTable:
         if before is not None and mode == "merge":
             if not key:
                 raise ValueError("merge needs a key")
-            kept = self._load(before["parts"]).join(df.select(*_names(key)), _names(key), "left_anti")
+            kept = self._load(before["parts"]).join(df.select(*_names(key)).distinct(), _names(key), "left_anti")
             df = kept.unionByName(df, allowMissingColumns=True)
         df.write.mode("errorifexists").parquet(f"{self.path}/{part}")
         return self._commit(version, f"WRITE ({mode})", {"mode": mode, "path": part}, parts, at)

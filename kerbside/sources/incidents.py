@@ -7,15 +7,13 @@ event's own columns. One scan gives the whole relation.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from kerbside.functions import columns as X
+
 
 def read_table(spark: SparkSession, folder, name) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _id(col):
-    return F.lpad(col.cast("string"), 6, "0")
-
-
 def incident_columns():
     """Select list over an ``events`` table, batch or streaming."""
     event, user, value = F.col("event_id"), F.col("user_id"), F.col("value")
@@ -24,7 +22,7 @@ def incident_columns():
     carrier = F.pmod(user, F.lit(6))
     return [
         event.alias("row_seq"),
-        F.concat(F.lit("TRF-"), _id(event)).alias("violation_id"),
+        F.concat(F.lit("TRF-"), X.padded(event, 6)).alias("violation_id"),
         F.when(event % 101 == 0, "not-a-date").otherwise(F.col("ts").cast("string")).alias("timestamp"),
         F.when(kind == 0, "Speeding").when(kind == 1, " speeding").when(kind == 2, "RED-LIGHT").when(kind == 3, "DUI")
         .when(kind == 4, "illegal park").when(kind == 5, "Reckless").when(kind == 6, "Mobile Use")
@@ -38,7 +36,7 @@ def incident_columns():
         .otherwise((F.lit(75) + F.lit(25) * (event % 37)).cast("double")).alias("fine_amount"),
         F.when(carrier == 0, "car").when(carrier == 1, "Truck").when(carrier == 2, "Motorcycle")
         .when(carrier == 3, " bus").when(carrier == 4, "VAN").alias("vehicle_type"),
-        F.when(event % 50 != 7, F.concat(F.lit("OFF-"), F.lpad((user % 49 + 1).cast("string"), 3, "0")))
+        F.when(event % 50 != 7, F.concat(F.lit("OFF-"), X.padded(user % 49 + 1, 3)))
         .alias("officer_id"),
         F.when(event % 61 != 0, (F.lit(28400) + event % 500).cast("double") / 1000).alias("latitude"),
         ((F.lit(77000) + user % 400).cast("double") / 1000).alias("longitude"),

@@ -21,7 +21,7 @@ def synthetic_records(spark: SparkSession, n=100_000, start="2024-01-01", missin
         .withColumn("speed_kmh", speed.cast("double"))
         .select(
             k.alias("row_seq"),
-            F.concat(F.lit("TRF-"), F.lpad(k.cast("string"), 6, "0")).alias("violation_id"),
+            F.concat(F.lit("TRF-"), X.padded(k, 6)).alias("violation_id"),
             F.timestamp_add("MINUTE", ((k - 1) * 5).cast("int"), F.lit(start).cast("timestamp")).cast("string")
             .alias("timestamp"),
             "violation_type", "zone", "speed_kmh",

@@ -16,7 +16,8 @@ class UpsertTable:
         self.path, self.keys = path, list(keys)
 
     def write_batch(self, changed: DataFrame, batch_id: int):
-        changed.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        # Rebalanced, so that a small batch makes one file, not one per task.
+        changed.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
     def start(self, stream: DataFrame, checkpoint, every="30 seconds", drain=False, name=None):
         """Start the query; ``drain`` processes what is there and stops."""

@@ -70,6 +70,8 @@ def test_synthetic_is_repeatable(spark):
                 F.count_distinct("violation_id").alias("ids"), F.max("timestamp").alias("last"),
                 F.min("latitude").alias("lat"), F.count_distinct("zone", "violation_type").alias("pairs")).first()
     assert row.n == row.ids == 2000 and 0.03 < row.gap < 0.07 and row.pairs == 35
+    far = synthetic_records(spark, 1_000_002).filter("row_seq > 999998")
+    assert sorted(r.violation_id for r in far.collect())[:2] == ["TRF-1000000", "TRF-1000001"]
     assert row.last == "2024-01-07 22:35:00" and row.lat >= 28.4
 
 
