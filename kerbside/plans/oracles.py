@@ -8,7 +8,7 @@ def _r(expression, digits):
 
 _EVENT_COLUMNS = """
     event_id AS row_seq,
-    'TRF-' || lpad(CAST(event_id AS VARCHAR), greatest(6, length(CAST(event_id AS VARCHAR))), '0') AS violation_id,
+    'TRF-' || lpad(CAST(event_id AS VARCHAR), CAST(greatest(6, length(CAST(event_id AS VARCHAR))) AS INTEGER), '0') AS violation_id,
     CASE WHEN event_id % 101 = 0 THEN 'not-a-date' ELSE CAST(ts AS VARCHAR) END AS "timestamp",
     CASE event_id % 10
         WHEN 0 THEN 'Speeding' WHEN 1 THEN ' speeding' WHEN 2 THEN 'RED-LIGHT' WHEN 3 THEN 'DUI'
