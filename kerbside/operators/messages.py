@@ -1,10 +1,10 @@
 """Log-shaped data: envelopes, partitions, offsets, lag, batches."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from kerbside import contract as C
 from kerbside.functions import columns as X
-from kerbside.functions.ordered import SLAB_ROWS, number_rows
+from kerbside.functions.ordered import SLAB_ROWS, attach, number_rows
 
 
 def envelope(df: DataFrame, key="zone", topic=C.TOPIC, columns=None) -> DataFrame:
@@ -45,13 +45,20 @@ def consumer_lag(ends: DataFrame, committed: DataFrame) -> DataFrame:
     )
 
 
-def fair_batch(df: DataFrame, max_messages, n=C.PARTITIONS) -> DataFrame:
-    """The next batch: an equal share of ``max_messages`` per partition.
+def fair_batch(df: DataFrame, max_messages, n=C.PARTITIONS, committed: DataFrame | None = None) -> DataFrame:
+    """The next batch: an equal share of ``max_messages`` per partition, from
+    its committed offset or, without one, from its first.
 
-    The filter on ``row_number`` cuts each partition before the shuffle.
+    Offsets are contiguous, so a range of offsets is a number of messages and
+    no partition has to be sorted.
     """
-    turn = Window.partitionBy("partition").orderBy("offset")
-    return df.withColumn("__turn", F.row_number().over(turn)).filter(F.col("__turn") <= max_messages // n).drop("__turn")
+    starts = df.groupBy("partition").agg(F.min("offset").alias("__start"))
+    if committed is not None:
+        starts = starts.join(committed, "partition", "left").select(
+            "partition", F.coalesce("committed", "__start").alias("__start"))
+    # The log has ``n`` partitions, hence so many rows.
+    return attach(df, starts, ["partition"], rows=n).filter(
+        (F.col("offset") >= F.col("__start")) & (F.col("offset") < F.col("__start") + max_messages // n)).drop("__start")
 
 
 def json_field(df: DataFrame, column, schema, *fields) -> DataFrame:

@@ -266,6 +266,8 @@ def test_lag_without_commits(spark):
 def test_fair_batch_short_partition(spark):
     df = frame(spark, [(0, i) for i in range(9)] + [(1, 0)], "partition int, offset long")
     assert sorted(values(messages.fair_batch(df, 10, 5), "partition", "offset")) == [(0, 0), (0, 1), (1, 0)]
+    done = frame(spark, [(0, 8)], "partition int, committed long")
+    assert sorted(values(messages.fair_batch(df, 10, 5, done), "partition", "offset")) == [(0, 8), (1, 0)]
 
 
 def test_clean_is_the_same_for_any_partitioning(spark, folder):

@@ -132,3 +132,22 @@ def test_progress_lag():
     class Query:
         lastProgress = {"sources": [{"latestOffset": {"t": {"0": 9, "1": 4}}, "endOffset": '{"t": {"0": 7}}'}]}
     assert runs.progress_lag(Query()) == {("t", 0): 2, ("t", 1): 4}
+
+
+def test_listener_and_console(spark, tmp_path):
+    from kerbside.streaming.listeners import BatchListener
+    from kerbside.streaming.upsert import console_sink
+    seen = []
+    listener = BatchListener(lambda name, batch, rows: seen.append((batch, rows)))
+    spark.streams.addListener(listener)
+    try:
+        put(spark, tmp_path / "in", "a", ["2024-01-01 00:30:00", "2024-01-01 00:31:00"])
+        query = console_sink(jobs.sliding_totals_by_zone(stream(spark, tmp_path / "in")), every="0 seconds")
+        query.processAllAvailable()
+        query.stop()
+        deadline = time.time() + 30
+        while time.time() < deadline and (0, 2) not in seen:
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(listener)
+    assert (0, 2) in seen
