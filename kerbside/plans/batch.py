@@ -7,7 +7,7 @@ repeats the work of another and a lost executor costs one stage at most.
 from pyspark.sql import SparkSession, functions as F
 
 from kerbside.functions.ordered import spreads
-from kerbside.operators import analytics, anomalies, quality, star
+from kerbside.operators import analytics, anomalies, features, quality, star, windows
 from kerbside.plans import cleaning
 from kerbside.plans.enriching import enrich
 from kerbside.sinks import files, tables
@@ -15,6 +15,24 @@ from kerbside.sources.csv_files import ingest
 from kerbside.sources.synthetic import synthetic_records
 
 
+def reports(records) -> dict:
+    """The standing reports over processed records, all lazy.
+
+    Persist the records (``layout.keep``) before running several of them on
+    anything but columnar files.
+    """
+    tiered = features.add_tiers(records)
+    return {
+        "zone_type_report": analytics.zone_type_report(tiered),
+        "hourly_trend": analytics.hourly_trend(tiered),
+        "severity_share": analytics.severity_share(tiered),
+        "zone_type_severity_summary": analytics.zone_type_severity_summary(tiered),
+        "top_per_zone": windows.top_per_zone(tiered),
+        "kpi_cards": analytics.kpi_cards(tiered),
+        "day_hour_pivot": analytics.day_hour_pivot(tiered),
+    }
+
+
 def run(spark: SparkSession, source, out, run_at, as_of=None, table_prefix="", synthetic_rows=100_000) -> dict:
     """Run all stages; returns the paths, the score and the row counts.
 

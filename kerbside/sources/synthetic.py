@@ -22,7 +22,7 @@ def synthetic_records(spark: SparkSession, n=100_000, start="2024-01-01", missin
         .select(
             k.alias("row_seq"),
             F.concat(F.lit("TRF-"), X.padded(k, 6)).alias("violation_id"),
-            F.timestamp_add("MINUTE", ((k - 1) * 5).cast("int"), F.lit(start).cast("timestamp")).cast("string")
+            F.timestamp_seconds(F.unix_timestamp(F.lit(start).cast("timestamp")) + (k - 1) * 300).cast("string")
             .alias("timestamp"),
             "violation_type", "zone", "speed_kmh",
             F.when(~dropped, _fine_for(F.col("zone"), X.severity(F.col("violation_type"), F.col("speed_kmh"))))

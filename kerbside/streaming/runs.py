@@ -2,13 +2,12 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kerbside import contract as C
 from kerbside.functions import columns as X
 from kerbside.operators.messages import with_partition
 from kerbside.session import shared_path
 from kerbside.streaming import jobs
-from kerbside.streaming.events import event_files
-from kerbside.streaming.upsert import UpsertTable, append_sink
+from kerbside.streaming.events import event_files, kafka_sink_options, parse_events, read_kafka_stream
+from kerbside.streaming.upsert import UpsertTable, append_sink, kafka_sink
 
 WINDOW_KEYS = ("window_start", "window_end")
 
@@ -71,6 +70,19 @@ def event_files_batch(spark: SparkSession, folder) -> DataFrame:
     )
 
 
+def run_kafka_job(spark: SparkSession, servers, out, every="30 seconds"):
+    """The deployed job: a topic of events -> sliding totals as an upsert table
+    and alerts as another topic. Returns when either query stops.
+
+    Needs the Kafka connector on the class path.
+    """
+    events = parse_events(read_kafka_stream(spark, servers=servers))
+    table = UpsertTable(f"{out}/sliding", [*WINDOW_KEYS, "zone", "violation_type"])
+    table.start(jobs.sliding_totals(events), f"{out}/checkpoints/sliding", every, name="sliding")
+    kafka_sink(jobs.alert_messages(events), kafka_sink_options(servers), f"{out}/checkpoints/alerts")
+    spark.streams.awaitAnyTermination()
+
+
 def progress_lag(query) -> dict:
     """Rows still to come, from the last progress of a running Kafka query:
     latest offset minus end offset by topic and partition."""

@@ -298,3 +298,32 @@ def test_explore_all(spark, folder):
     df = clean_table(spark, folder)
     assert analytics.explore(df, n=None).count() == df.count()
     assert analytics.explore(df, n=7).count() == 7
+
+
+def test_zone_ranks_with_nulls_and_ties(spark):
+    from pyspark.sql import Window
+    rows = [("A", 5.0), ("A", 5.0), ("A", 3.0), ("A", None), ("A", None), (None, 1.0), (None, None), ("B", None)]
+    df = frame(spark, [(f"v{i}", z, "t", f, "Low", i % 3) for i, (z, f) in enumerate(rows)],
+               "violation_id string, zone string, violation_type string, fine_amount double, severity string, hour int")
+    w = Window.partitionBy("zone").orderBy(F.desc("fine_amount"))
+    h = Window.partitionBy("zone").orderBy("hour")
+    want = df.select(
+        "*", F.rank().over(w).alias("rank_in_zone"), F.dense_rank().over(w).alias("dense_rank_zone"),
+        F.lag("fine_amount").over(Window.partitionBy("zone").orderBy("hour", "violation_id")).alias("prev_hour_fine"),
+        F.sum("fine_amount").over(h).alias("running_revenue"))
+    got = windows.zone_windows(df).select(*want.columns)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    top = windows.top_per_zone(df, 2).select(*want.columns)
+    assert top.exceptAll(want.filter("rank_in_zone <= 2")).isEmpty() and top.count() == 5
+
+
+def test_quantile_sketch_is_near(spark):
+    df = spark.range(1001).select(F.col("id").cast("double").alias("v"))
+    assert abs(quantiles(df, "v", {"q": 0.5}, accuracy=1000).first().q - 500) <= 2
+
+
+def test_reports(spark, folder):
+    from kerbside.plans.batch import reports
+    from kerbside.plans.catalogue import enriched_table
+    for name, df in reports(enriched_table(spark, folder)).items():
+        assert df.count() > 0, name
