@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Building a plan asks the JVM once per column instead of three times.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
 
