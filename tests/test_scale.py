@@ -5,11 +5,11 @@ import contextlib
 import io
 
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from kerbside.functions.ordered import (
     Spread, cumulate, number_rows, previous_value, quantiles, spreads, value_counts)
-from kerbside.operators import conform, features, impute, messages, star, windows
+from kerbside.operators import conform, features, messages, star, windows
 from kerbside.plans import cleaning
 from kerbside.plans.catalogue import clean_table, enriched_table
 from kerbside.sources.incidents import raw_incidents, read_table
