@@ -25,13 +25,13 @@ def _one_row(df, row):
     return df.crossJoin(F.broadcast(row))
 
 
-def _fine_statistics(df, spread):
+def _fine_statistics(df, spread, pairs):
     """From one set of value counts: the median per (zone, type); the overall
     median of the column so filled; its quartiles once capped."""
     counts = value_counts(df, "fine_amount", _PAIR)
     medians = quantiles(counts, "fine_amount", {"__fine": 0.5}, _PAIR, spread, "n")
     filled = (
-        attach(counts, medians, _PAIR, "left", C.MAX_ZONE_TYPE_GROUPS)
+        attach(counts, medians, _PAIR, "left", pairs)
         .groupBy(F.coalesce("fine_amount", "__fine").alias("fine_amount")).agg(F.sum("n").alias("n"))
     )
     overall = quantiles(filled, "fine_amount", {"__fine_all": 0.5}, [], spread, "n")
@@ -48,39 +48,41 @@ def most_common(df: DataFrame, column, name) -> DataFrame:
     return counts.agg(F.min_by(column, F.struct(-F.col("n"), F.col(column))).alias(name))
 
 
-def statistics(df: DataFrame, spread=None):
+def statistics(df: DataFrame, spread=None, pairs=C.MAX_ZONE_TYPE_GROUPS):
     """What filling needs: a table per (zone, type) and a table of one row.
 
-    Categories must be standardised, which bounds the first by the contract.
-    Either is None if its columns are absent.
+    ``pairs`` bounds the first; the default holds for standardised categories,
+    None stands for unknown. Either table is None if its columns are absent.
     """
     spread = numeric_spreads(df) if spread is None else spread
     groups, singles = None, []
     if {"fine_amount", *_PAIR} <= set(df.columns):
-        groups, fine_row = _fine_statistics(df, spread["fine_amount"])
+        groups, fine_row = _fine_statistics(df, spread["fine_amount"], pairs)
         singles.append(fine_row)
     if {"speed_kmh", "violation_type"} <= set(df.columns):
         speeds = quantiles(df, "speed_kmh", {"__speed": 0.5}, ["violation_type"], spread["speed_kmh"])
-        groups = speeds if groups is None else attach(groups, speeds, ["violation_type"], "left", C.MAX_ZONE_TYPE_GROUPS)
+        groups = speeds if groups is None else attach(groups, speeds, ["violation_type"], "left", pairs)
     if "vehicle_type" in df.columns:
         singles.append(most_common(df, "vehicle_type", "__vehicle"))
     singles += [quantiles(df, c, {f"__{c}": 0.5}, [], spread[c]) for c in COORDINATES if c in df.columns]
     return groups, reduce(DataFrame.crossJoin, singles) if singles else None
 
 
-def impute(df: DataFrame, spread=None, keep_quartiles=False) -> DataFrame:
+def impute(df: DataFrame, spread=None, keep_quartiles=False, pairs=C.MAX_ZONE_TYPE_GROUPS) -> DataFrame:
     """Fill the gaps of whichever columns are present.
 
     Fine: median of the (zone, type) group, else of the filled column. Speed:
     median of the type, else 0. Officer: 'UNKNOWN'. Vehicle: most common.
     Coordinates: median. The rows meet two broadcast tables, nothing more.
+    Categories that are not standardised need ``pairs=None``: the table per
+    (zone, type) then has no size bound and is joined by shuffle.
     """
     have = set(df.columns)
-    groups, single = statistics(df, spread)
+    groups, single = statistics(df, spread, pairs)
     names = list(df.columns)
     if groups is not None:
         on = [c for c in _PAIR if c in groups.columns]
-        df = attach(df, groups, on, "left", C.MAX_ZONE_TYPE_GROUPS)
+        df = attach(df, groups, on, "left", pairs)
     if single is not None:
         df = _one_row(df, single)
     fills = {

@@ -31,17 +31,26 @@ def running_revenue(df: DataFrame) -> DataFrame:
     return hours.select("zone", "hour", F.sum("__fine").over(w).alias("running_revenue"))
 
 
-def zone_windows(df: DataFrame, spread: Spread | None = None, slab_rows=SLAB_ROWS) -> DataFrame:
+def _times(bound, factor):
+    return None if bound is None else bound * factor
+
+
+def zone_windows(df: DataFrame, spread: Spread | None = None, slab_rows=SLAB_ROWS, zones=ZONE_BOUND) -> DataFrame:
     """Per row: ranks by fine in the zone, the fine of the row before it by
-    hour, and the running revenue by hour."""
+    hour, and the running revenue by hour.
+
+    ``zones`` bounds the number of zones; the default holds for standardised
+    ones, None stands for unknown and rules broadcasts out.
+    """
     spread = spread or spreads(df, ["fine_amount"], slab_rows)["fine_amount"]
     base = df.select("violation_id", "zone", "violation_type", "fine_amount", "severity", "hour")
     out = previous_value(base, "fine_amount", ["hour", "violation_id"], "prev_hour_fine", ["zone"], slab_rows)
-    out = attach(out, running_revenue(df), ["zone", "hour"], "left", rows=ZONE_BOUND * 25)
-    return attach(out, zone_ranks(df, spread), ["zone", "fine_amount"], "left", rows=spread.distinct * ZONE_BOUND)
+    out = attach(out, running_revenue(df), ["zone", "hour"], "left", rows=_times(zones, 25))
+    return attach(out, zone_ranks(df, spread), ["zone", "fine_amount"], "left", rows=_times(zones, spread.distinct))
 
 
-def top_per_zone(df: DataFrame, k=5, spread: Spread | None = None, slab_rows=SLAB_ROWS) -> DataFrame:
+def top_per_zone(df: DataFrame, k=5, spread: Spread | None = None, slab_rows=SLAB_ROWS,
+                 zones=ZONE_BOUND) -> DataFrame:
     """Rows whose fine ranks in the top ``k`` of their zone, ties included.
 
     At most ``k`` distinct fines per zone qualify; they are broadcast.
@@ -51,14 +60,14 @@ def top_per_zone(df: DataFrame, k=5, spread: Spread | None = None, slab_rows=SLA
     windows = previous_value(
         df.select("violation_id", "zone", "violation_type", "fine_amount", "severity", "hour"),
         "fine_amount", ["hour", "violation_id"], "prev_hour_fine", ["zone"], slab_rows)
-    top = attach(windows, best, ["zone", "fine_amount"], "inner", rows=k * ZONE_BOUND)
-    return attach(top, running_revenue(df), ["zone", "hour"], "left", rows=ZONE_BOUND * 25)
+    top = attach(windows, best, ["zone", "fine_amount"], "inner", rows=_times(zones, k))
+    return attach(top, running_revenue(df), ["zone", "hour"], "left", rows=_times(zones, 25))
 
 
-def zone_share(df: DataFrame) -> DataFrame:
+def zone_share(df: DataFrame, zones=ZONE_BOUND) -> DataFrame:
     """Each fine as a percentage of its zone's total."""
     totals = df.groupBy("zone").agg(F.sum("fine_amount").alias("__zone_total"))
-    return attach(df, totals, ["zone"], "left", rows=ZONE_BOUND).select(
+    return attach(df, totals, ["zone"], "left", rows=zones).select(
         "violation_id", "zone", "fine_amount",
         F.try_divide(F.col("fine_amount") * 100.0, F.col("__zone_total")).alias("pct_of_zone"),
     )

@@ -9,7 +9,7 @@ from kerbside.operators import (
     analytics, anomalies, conform, features, impute, layout, messages, quality, star, windows)
 from kerbside.plans import cleaning
 from kerbside.plans.enriching import enrich
-from kerbside.session import write_stage
+from kerbside.session import exists, write_stage
 from kerbside.sources.incidents import raw_incidents, read_table
 
 # Fixed clock: the events end on the evening before.
@@ -26,7 +26,7 @@ def _once(spark, folder, name, build):
     stages and reports read it.
     """
     key = (spark.sparkContext.applicationId, folder, name)
-    if key not in _tables:
+    if key not in _tables or not exists(spark, _tables[key][0]):
         df = build()
         _tables[key] = (write_stage(df, name), df.schema)
     path, schema = _tables[key]

@@ -60,9 +60,29 @@ def _local_dir():
     return tempfile.mkdtemp(prefix="kerbside-")
 
 
+def _own_dir(spark):
+    return f"{shared_dir(spark).rstrip('/')}/kerbside/{spark.sparkContext.applicationId}"
+
+
 def shared_path(spark, label):
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/kerbside/{label}-{uuid.uuid4().hex}"
+    """A fresh path below this application's part of the shared folder."""
+    return f"{_own_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def _file_system(spark, path):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def exists(spark, path) -> bool:
+    fs, target = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def drop_stages(spark) -> bool:
+    """Delete all that this application staged; call it when results are out."""
+    fs, target = _file_system(spark, _own_dir(spark))
+    return fs.delete(target, True)
 
 
 def write_stage(df: DataFrame, label="stage") -> str:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from kerbside.functions.ordered import (
     Spread, cumulate, number_rows, previous_value, quantiles, spreads, value_counts)
-from kerbside.operators import conform, features, messages, star, windows
+from kerbside.operators import conform, features, impute, messages, star, windows
 from kerbside.plans import cleaning
 from kerbside.plans.catalogue import clean_table, enriched_table
 from kerbside.sources.incidents import raw_incidents, read_table
@@ -157,3 +157,44 @@ def test_unsized_tables_are_not_broadcast(spark, folder):
     hinted = attach(a, a.withColumn("x", F.lit(1)), ["k"], rows=10)._jdf.queryExecution().analyzed().toString()
     unhinted = attach(a, a.withColumn("x", F.lit(1)), ["k"], rows=10**9)._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in hinted.lower() and "broadcast" not in unhinted.lower()
+
+
+def test_unbounded_categories_take_the_shuffle_join(spark, folder):
+    df = clean_table(spark, folder)
+    assert same(windows.zone_windows(df, zones=None), windows.zone_windows(df))
+    assert same(windows.zone_share(df, zones=None), windows.zone_share(df))
+    raw = cleaning.prepare(raw_incidents(spark, folder))
+    assert same(impute.impute(raw, pairs=None), impute.impute(raw))
+
+
+def test_stages_of_an_application_can_be_dropped(spark, folder):
+    import os
+    from kerbside import session as S
+    path = S.write_stage(spark.range(3), "drop-me")
+    assert spark.sparkContext.applicationId in path and S.exists(spark, path)
+    before = clean_table(spark, folder).count()
+    assert S.drop_stages(spark) and not os.path.exists(path)
+    # The catalogue builds its tables again.
+    assert clean_table(spark, folder).count() == before
+
+
+def test_cluster_without_shared_folder_is_an_error():
+    import pytest
+    from kerbside import session as S
+
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Spark:
+        conf = Conf()
+
+        class sparkContext:
+            master = "yarn"
+
+            @staticmethod
+            def getConf():
+                return Conf()
+
+    with pytest.raises(RuntimeError):
+        S.shared_dir(Spark())
