@@ -200,3 +200,10 @@ def explore(df: DataFrame, zone="All", violation_type="All", severity="All", n=5
 def hash_sample(df: DataFrame, key, n, seed="0") -> DataFrame:
     """A repeatable random sample of ``n`` rows: the lowest hashes win."""
     return df.orderBy(F.md5(F.concat_ws(":", F.col(key), F.lit(seed))), key).limit(n)
+
+
+def hash_fraction(df: DataFrame, key, fraction, seed="0") -> DataFrame:
+    """A repeatable share of the rows: those whose key hashes low. No shuffle,
+    and the same rows for any partitioning."""
+    head = F.conv(F.substring(F.md5(F.concat_ws(":", F.col(key), F.lit(seed))), 1, 8), 16, 10).cast("long")
+    return df.filter(head < int(fraction * 2**32))

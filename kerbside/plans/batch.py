@@ -4,6 +4,8 @@ Every stage writes its table once and the next one reads it, so no stage
 repeats the work of another and a lost executor costs one stage at most.
 """
 
+import time
+
 from pyspark.sql import SparkSession, functions as F
 
 from kerbside.functions.ordered import spreads
@@ -39,6 +41,7 @@ def run(spark: SparkSession, source, out, run_at, as_of=None, table_prefix="", s
     ``source`` is a CSV folder, a DataFrame of raw records, or None for
     generated ones. The warehouse is loaded only if the quality gate opens.
     """
+    started = time.monotonic()
     as_of = as_of or run_at
     rejected = None
     if source is None:
@@ -70,7 +73,8 @@ def run(spark: SparkSession, source, out, run_at, as_of=None, table_prefix="", s
     accepted, quarantined, alert = quality.gate(records, score)
     files.export_parquet(quarantined, paths["quarantine"])
     tables.append_record(alert, paths["log"] + "/alerts")
-    summary = quality.run_summary(raw, records, score, found).withColumn("run_at", F.lit(run_at))
+    summary = quality.run_summary(raw, records, score, found).withColumns({
+        "run_at": F.lit(run_at), "elapsed_sec": F.lit(round(time.monotonic() - started, 1))})
     tables.append_record(summary, paths["log"] + "/runs")
     verdict = score.first()
     result = {"paths": paths, "score": verdict["score"], "passed": verdict["passed"], "tables": {}}

@@ -338,6 +338,12 @@ def hash_sample(spark, folder):
     return analytics.hash_sample(df, "violation_id", 100)
 
 
+@query
+def hash_fraction(spark, folder):
+    df = clean_table(spark, folder).select("violation_id", "zone")
+    return analytics.hash_fraction(df, "violation_id", 0.25)
+
+
 # --- quality -----------------------------------------------------------------------
 
 

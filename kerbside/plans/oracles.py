@@ -340,6 +340,9 @@ FROM clean WHERE zone = 'Downtown' AND severity = 'High' ORDER BY violation_id L
 ORACLES["hash_sample"] = _ON_CLEAN + """
 SELECT violation_id, zone, fine_amount FROM clean ORDER BY md5(violation_id || ':0'), violation_id LIMIT 100"""
 
+ORACLES["hash_fraction"] = _ON_CLEAN + """
+SELECT violation_id, zone FROM clean WHERE ('0x' || substr(md5(violation_id || ':0'), 1, 8))::BIGINT < 1073741824"""
+
 # --- quality ------------------------------------------------------------------
 
 
