@@ -2,13 +2,19 @@
 
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, token_counts
+from kerbside.llm import bpe, pii, secret_scan, token_counts
 
 
 def table(spark, folder, name):
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def op1_pii_crf(spark, folder):
+    """Personal data in every document: base spans, and what the trained field adds."""
+    documents = table(spark, folder, "documents")
+    return pii.scan(documents, pii.train(documents))
+
+
 def op2_bpe_encoding(spark, folder):
     """Ids and decoded text of every document, as digests."""
     return bpe.round_trip(table(spark, folder, "documents"))
@@ -21,4 +27,9 @@ def op4_token_counts(spark, folder):
                          F.col("cuts")[0].alias("chars_within_limit"))
 
 
-QUERIES = {f.__name__: f for f in (op2_bpe_encoding, op4_token_counts)}
+def op9_secret_ownership(spark, folder):
+    """Secrets in every document, with verdicts from how many owners hold them."""
+    return secret_scan.scan(table(spark, folder, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii_crf, op2_bpe_encoding, op4_token_counts, op9_secret_ownership)}
