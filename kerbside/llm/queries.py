@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, pii, secret_scan, token_counts
+from kerbside.llm import bpe, langid, pii, secret_scan, token_counts
 
 
 def table(spark, folder, name):
@@ -27,9 +27,18 @@ def op4_token_counts(spark, folder):
                          F.col("cuts")[0].alias("chars_within_limit"))
 
 
+def op6_language_id(spark, folder):
+    """The language of every document, learned from two thirds of them."""
+    documents = table(spark, folder, "documents")
+    found = langid.identify(documents, langid.train(langid.learning_rows(documents)))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op9_secret_ownership(spark, folder):
     """Secrets in every document, with verdicts from how many owners hold them."""
     return secret_scan.scan(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii_crf, op2_bpe_encoding, op4_token_counts, op9_secret_ownership)}
+QUERIES = {f.__name__: f for f in (op1_pii_crf, op2_bpe_encoding, op4_token_counts, op6_language_id,
+                                     op9_secret_ownership)}
