@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, langid, pii, secret_scan, token_counts
+from kerbside.llm import bpe, decontaminate, langid, pii, secret_scan, sharding, token_counts
 
 
 def table(spark, folder, name):
@@ -35,10 +35,26 @@ def op6_language_id(spark, folder):
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op7_hilbert_shards(spark, folder):
+    """Eight shards of all documents along a Hilbert curve over language, source and size, equal in rows."""
+    documents = table(spark, folder, "documents")
+    text = F.coalesce("text", F.lit(""))
+    narrow = documents.select("doc_id", "lang", "source", (F.octet_length(text) + F.lit(1)).cast("long").alias("size"),
+                              F.crc32(text).alias("text_crc32"))
+    placed = sharding.place(narrow, 8, ["lang", "source", "size"], keep=["text_crc32", "doc_id"])
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op8_benchmark_leaks(spark, folder):
+    """The benchmark items in every document."""
+    return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op9_secret_ownership(spark, folder):
     """Secrets in every document, with verdicts from how many owners hold them."""
     return secret_scan.scan(table(spark, folder, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii_crf, op2_bpe_encoding, op4_token_counts, op6_language_id,
-                                     op9_secret_ownership)}
+QUERIES = {f.__name__: f for f in (op1_pii_crf, op2_bpe_encoding, op4_token_counts, op6_language_id, op7_hilbert_shards,
+                                     op8_benchmark_leaks, op9_secret_ownership)}
