@@ -1,3 +1,22 @@
 """DuckDB SQL of the queries that SQL can express."""
 
 ORACLES = {}
+
+ORACLES["op10_embedding_neighbours"] = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, embedding::DOUBLE[] AS e, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS norm
+    FROM embeddings WHERE embedding IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), link AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+    WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.93
+), reach(a, b) AS (
+    SELECT vec_id, vec_id FROM embeddings
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+), component AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+degree AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT e.vec_id, coalesce(d.n, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN component c ON e.vec_id = c.a LEFT JOIN degree d ON e.vec_id = d.a
+"""

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, decontaminate, langid, pii, secret_scan, sharding, token_counts
+from kerbside.llm import bpe, cover_tree, decontaminate, langid, pii, secret_scan, sharding, token_counts
 
 
 def table(spark, folder, name):
@@ -56,5 +56,10 @@ def op9_secret_ownership(spark, folder):
     return secret_scan.scan(table(spark, folder, "documents"))
 
 
+def op10_embedding_neighbours(spark, folder):
+    """Links, component and survivor of every embedding at cosine 0.93 within its label."""
+    return cover_tree.near_duplicates(table(spark, folder, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (op1_pii_crf, op2_bpe_encoding, op4_token_counts, op6_language_id, op7_hilbert_shards,
-                                     op8_benchmark_leaks, op9_secret_ownership)}
+                                     op8_benchmark_leaks, op9_secret_ownership, op10_embedding_neighbours)}
