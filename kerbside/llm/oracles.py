@@ -20,3 +20,28 @@ degree AS (SELECT a, count(*) AS n FROM link GROUP BY a)
 SELECT e.vec_id, coalesce(d.n, 0) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
 FROM embeddings e JOIN component c ON e.vec_id = c.a LEFT JOIN degree d ON e.vec_id = d.a
 """
+
+ORACLES["op5_ngram_jaccard"] = r"""
+WITH RECURSIVE word AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), shingle AS (
+    SELECT DISTINCT doc_id, list_slice(w, i, least(i + 4, len(w))) AS s
+    FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, least(len(w), 1)))) AS i FROM word)
+), size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+link AS (
+    SELECT a, b FROM (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+        FROM shingle x JOIN shingle y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL)
+    JOIN size m ON m.doc_id = a JOIN size n ON n.doc_id = b
+    WHERE 100 * common >= 75 * (m.n + n.n - common)
+), reach(a, b) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT r.a, l.b FROM reach r JOIN link l ON r.b = l.a
+)
+SELECT d.doc_id, coalesce(max(s.n), 0) AS n_shingles, min(r.b) AS component_id
+FROM documents d JOIN reach r ON r.a = d.doc_id LEFT JOIN size s ON s.doc_id = d.doc_id
+GROUP BY d.doc_id
+"""

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, cover_tree, decontaminate, langid, pii, secret_scan, sharding, token_counts
+from kerbside.llm import bpe, cover_tree, decontaminate, jaccard_join, langid, pii, secret_scan, sharding, token_counts
 
 
 def table(spark, folder, name):
@@ -27,6 +27,11 @@ def op4_token_counts(spark, folder):
                          F.col("cuts")[0].alias("chars_within_limit"))
 
 
+def op5_ngram_jaccard(spark, folder):
+    """Components of documents whose sets of five-word shingles have a Jaccard similarity of 0.75 or more."""
+    return jaccard_join.similar_components(table(spark, folder, "documents"), percent=75)
+
+
 def op6_language_id(spark, folder):
     """The language of every document, learned from two thirds of them."""
     documents = table(spark, folder, "documents")
@@ -61,5 +66,5 @@ def op10_embedding_neighbours(spark, folder):
     return cover_tree.near_duplicates(table(spark, folder, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii_crf, op2_bpe_encoding, op4_token_counts, op6_language_id, op7_hilbert_shards,
+QUERIES = {f.__name__: f for f in (op1_pii_crf, op2_bpe_encoding, op4_token_counts, op5_ngram_jaccard, op6_language_id, op7_hilbert_shards,
                                      op8_benchmark_leaks, op9_secret_ownership, op10_embedding_neighbours)}
