@@ -489,3 +489,23 @@ def similar_components(df, percent=75, id_col="doc_id", text_col="text"):
     some = out.where("n > 0").join(component, ["k1", "k2"]).select(F.explode("ids").alias("doc_id"), F.col("n").cast("long").alias("n_shingles"), "component_id")
     none = out.where("n = 0").select(F.explode("ids").alias("doc_id")).select("doc_id", F.lit(0).cast("long").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return some.unionByName(none)
+
+
+def keep_one(df, percent=75, id_col="doc_id", text_col="text"):
+    """All columns of one row of each component: that with the least id, rows without an id last.
+
+    Rows with equal id and text count as one. Texts without words stay, each on its own id.
+    """
+    own = {"x": F.col(f"`{id_col}`").isNull(), "d": F.col(f"`{id_col}`"), "h": F.xxhash64(F.col(f"`{text_col}`"))}
+    keyed = df.select(F.struct(*[c.alias(n) for n, c in own.items()]).alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    found = similar_components(keyed, percent)
+    chosen = stage(found.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("rows")).select("doc_id.*", "rows"), "chosen")
+
+    def rows(which):
+        some = chosen.where(which).select(F.col("d").alias("__d"), F.col("h").alias("__h"))
+        return df.join(some, own["d"].eqNullSafe(F.col("__d")) & own["h"].eqNullSafe(F.col("__h")), "left_semi")
+
+    once = rows("rows = 1")
+    if chosen.where("rows > 1").isEmpty():
+        return once
+    return once.unionByName(rows("rows > 1").dropDuplicates([id_col, text_col]))
