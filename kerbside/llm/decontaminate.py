@@ -71,7 +71,7 @@ def best_stretch(item, text, budget, masks=None):
     masks = masks or character_masks(item)
     m = len(item)
     full, high = (1 << m) - 1, 1 << (m - 1)
-    plus, minus, score, best = full, 0, m, (budget + 1, -1)
+    plus, minus, score, best = full, 0, m, min((budget + 1, -1), (m, 0))
     for j, c in enumerate(text):
         equal = masks.get(c, 0)
         vertical = equal | minus

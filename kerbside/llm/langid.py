@@ -19,6 +19,8 @@ from kerbside.llm.wordcache import code_points
 
 ORDER = 4
 UNKNOWN = "und"
+#: Nats a character above the usual that are never held against a text.
+LEAST_REACH = 0.5
 _BITS = np.uint64(16)
 
 
@@ -51,24 +53,25 @@ def stream(texts):
 
 
 def count_rows(batches):
-    """Arrow batches with ``lang, text`` to rows ``lang, gram, n``, folded within the task."""
-    schema = pa.schema([("lang", pa.string()), ("gram", pa.int64()), ("n", pa.int64())])
+    """Arrow batches with ``lang, half, text`` to rows ``lang, half, gram, n``, folded within the task."""
+    schema = pa.schema([("lang", pa.string()), ("half", pa.int32()), ("gram", pa.int64()), ("n", pa.int64())])
     held = {}
 
     def out():
-        for lang, parts in held.items():
+        for (lang, half), parts in held.items():
             grams, inverse = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
             n = np.bincount(inverse, weights=np.concatenate([c for _, c in parts])).astype(np.int64)
-            yield emit(schema, lang=pa.array([lang] * len(grams)), gram=grams.view(np.int64), n=n)
+            yield emit(schema, lang=pa.array([lang] * len(grams)), half=np.full(len(grams), half), gram=grams.view(np.int64), n=n)
         held.clear()
 
     size = 0
     for batch in chunks(batches):
-        langs, texts = batch.column(batch.schema.get_field_index("lang")).to_pylist(), texts_of(batch)
-        for lang in dict.fromkeys(langs):
-            keys, _, _ = stream([t for t, own in zip(texts, langs) if own == lang])
+        kinds = list(zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("lang", "half"))))
+        texts = texts_of(batch)
+        for kind in dict.fromkeys(kinds):
+            keys, _, _ = stream([t for t, own in zip(texts, kinds) if own == kind])
             grams, n = np.unique(keys, return_counts=True)
-            held.setdefault(lang, []).append((grams, n))
+            held.setdefault(kind, []).append((grams, n))
             size += len(grams)
         if size > 4_000_000:
             yield from out()
@@ -174,21 +177,25 @@ def train(df, sample=3000, reject=0.0005, slack=1.5, max_grams=4_000_000, id_col
     """Learn from all rows with a text and a language.
 
     n-gram counts cover every row. A model of more than ``max_grams`` n-grams keeps the most frequent; lower orders
-    stand in for the others, so what is sent to the executors is bounded. The limit of rejection is set on at most
-    ``sample`` rows, chosen by the hash of their id, so that a share ``reject`` of them lies beyond, and is then widened by ``slack``.
+    stand in for the others, so what is sent to the executors is bounded. The limit of rejection comes from models of
+    one half of the rows and at most ``sample`` rows of the other, chosen by the hash of their id: a share ``reject`` of
+    them lies beyond it, and it is then widened by ``slack``.
     """
     rows = pick(df, id_col, text_col, lang=lang_col).where("text IS NOT NULL AND lang IS NOT NULL")
-    counts = rows.select("lang", "text").mapInArrow(count_rows, "lang string, gram long, n long") \
-        .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    half = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(2)).cast("int")
+    counts = rows.select("lang", half.alias("half"), "text").mapInArrow(count_rows, "lang string, half int, gram long, n long") \
+        .groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("half") == 0, F.col("n")).otherwise(0)).alias("m"))
     table = counts.orderBy(F.desc("n"), "lang", "gram").limit(max_grams).toArrow()
-    langs, grams, n = (table.column(c).to_numpy(zero_copy_only=False) for c in ("lang", "gram", "n"))
+    langs, grams, n, m = (table.column(c).to_numpy(zero_copy_only=False) for c in ("lang", "gram", "n", "m"))
     grams = grams.astype(np.int64).view(np.uint64)
-    found = Identifier({str(k): kneser_ney(grams[langs == k], n[langs == k]) for k in sorted(set(langs))}, {})
-    if not found.models:
+    names = [str(k) for k in sorted(set(langs))]
+    found = Identifier({k: kneser_ney(grams[langs == k], n[langs == k]) for k in names}, dict.fromkeys(names, 0.0))
+    first = {k: kneser_ney(grams[own], m[own]) for k in names if (own := (langs == k) & (m > 0)).any()}
+    if not first:
         return found
-    found.usual = dict.fromkeys(found.models, 0.0)
-    chosen = [r[0] for r in rows.where("doc_id IS NOT NULL").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()]
-    shared = df.sparkSession.sparkContext.broadcast(found)
+    other = rows.where(half == 1).where("doc_id IS NOT NULL")
+    chosen = [r[0] for r in other.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()]
+    shared = df.sparkSession.sparkContext.broadcast(Identifier(first, dict.fromkeys(first, 0.0)))
 
     def figures(batches):
         for batch in chunks(batches):
@@ -197,14 +204,15 @@ def train(df, sample=3000, reject=0.0005, slack=1.5, max_grams=4_000_000, id_col
             use = letters > 0
             yield pa.RecordBatch.from_pydict({"best": best[use], "value": entropy[np.arange(len(best)), best][use], "size": size[use]})
 
-    seen = rows.where(F.col("doc_id").isin(chosen)).select("text").mapInArrow(figures, "best long, value double, size long").toPandas()
-    for j, name in enumerate(found.models):
+    seen = other.where(F.col("doc_id").isin(chosen)).select("text").mapInArrow(figures, "best long, value double, size long").toPandas()
+    seen["best"] = [names.index(list(first)[b]) for b in seen["best"]]
+    for j, name in enumerate(names):
         own = seen[(seen["best"] == j) & (seen["size"] >= 50)]
         own = own if len(own) else seen[seen["best"] == j] if (seen["best"] == j).any() else seen
         found.usual[name] = float(own["value"].median()) if len(own) else 0.0
     if len(seen):
         excess = found.excess(seen["best"].to_numpy(), seen["value"].to_numpy(), seen["size"].to_numpy())
-        found.reach = float(max(np.quantile(excess, 1 - reject), 0.1) * slack)
+        found.reach = float(max(np.quantile(excess, 1 - reject), LEAST_REACH) * slack)
     return found
 
 
