@@ -112,7 +112,8 @@ class Counter:
         borders = np.cumsum(word)[~word]
         starts, ends = starts[word], ends[word]
         numbers = self.cache.numbers(codes, starts, ends) if len(starts) else np.zeros(0, np.int64)
-        return [(numbers[a:b], (ends - starts)[a:b]) for a, b in zip(np.r_[0, borders[:-1]], borders)]
+        widths = ends - starts
+        return [(numbers[a:b], widths[a:b]) for a, b in zip(np.r_[0, borders[:-1]], borders)]
 
     def totals_and_cuts(self, texts, limits):
         """For each text its count, and for each limit the length of the longest prefix that keeps to it."""
