@@ -22,8 +22,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 from kerbside.session import stage
 
 SLAB_ROWS = 1_000_000
-MAX_SLABS = 4096
-SKETCH_ROWS = 10_000_000
+# Distinct values that cut points are taken from.
+SKETCH_VALUES = 1_000_000
 # Lookup tables up to this many rows are broadcast; larger ones are joined by
 # shuffle, where AQE splits skewed partitions.
 BROADCAST_ROWS = 100_000
@@ -46,8 +46,10 @@ def spreads(df: DataFrame, columns, slab_rows=SLAB_ROWS) -> dict:
 
     A count settles small inputs. Larger ones get a distinct-count sketch, and
     only columns with more distinct values than a slab holds get cut points.
-    Those come from a bounded sample, as Spark's own range partitioning does:
-    they balance the work, and any cut points give the same results.
+    Slabs hold distinct values, so the cuts are taken from those, however often
+    each occurs: a sample by the hash of the value, folded before it is ranked.
+    Cuts are finite; NaN and the infinities lie beyond all of them, as they do
+    in the order of values. Any cut points give the same results.
     """
     rows = df.count()
     if rows <= slab_rows:
@@ -55,17 +57,15 @@ def spreads(df: DataFrame, columns, slab_rows=SLAB_ROWS) -> dict:
     sketch = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in columns]).first()
     # 5 % standard error: 1.5 covers ten standard errors.
     distinct = {c: min(rows, math.ceil(sketch[c] * 1.5) + 1) for c in columns}
-    slabs = {c: min(MAX_SLABS, math.ceil(distinct[c] / slab_rows)) for c in columns}
-    wide = [c for c in columns if slabs[c] > 1]
+    slabs = {c: math.ceil(distinct[c] / slab_rows) for c in columns}
     cuts = {}
-    if wide:
-        some = df.select(*wide)
-        if rows > SKETCH_ROWS:
-            some = some.sample(SKETCH_ROWS / rows, seed=7)
-        marks = {c: F.array(*[F.lit(i / slabs[c]) for i in range(1, slabs[c])]) for c in wide}
-        cuts = some.agg(*[
-            F.percentile_approx(F.col(c).cast("double"), marks[c], F.lit(max(1000, 4 * slabs[c]))).alias(c)
-            for c in wide]).first().asDict()
+    for c in (c for c in columns if slabs[c] > 1):
+        number = F.col(c).try_cast("double")
+        share = F.lit(max(1, distinct[c] // max(SKETCH_VALUES, 20 * slabs[c])))
+        values = df.select(number.alias("v")).where(F.pmod(F.xxhash64("v"), share) == 0).distinct()
+        finite = values.where(F.abs("v") < math.inf)
+        marks = F.array(*[F.lit(i / slabs[c]) for i in range(1, slabs[c])])
+        cuts[c] = finite.agg(F.percentile_approx("v", marks, F.lit(max(10_000, 20 * slabs[c])))).first()[0]
     return {c: Spread(rows, distinct[c], tuple(sorted(set(cuts.get(c) or ())))) for c in columns}
 
 
@@ -115,7 +115,7 @@ def cumulate(counts: DataFrame, value, by, spread: Spread) -> DataFrame:
         F.coalesce(F.sum("n").over(local), F.lit(0)).alias("__below"),
         F.coalesce(F.count(F.lit(1)).over(local), F.lit(0)).alias("__distinct_below"),
     )
-    # At most MAX_SLABS rows per group from here on.
+    # One row per slab and group from here on.
     totals = slabbed.groupBy(*by, _SLAB).agg(F.sum("n").alias("__n"), F.count("*").alias("__d"))
     group = Window.partitionBy(*[F.col(c) for c in by])
     before = group.orderBy(_SLAB).rowsBetween(Window.unboundedPreceding, -1)
@@ -139,7 +139,7 @@ def _with_slab(counts, value, cuts):
     """Slab number by binary search over the cut points, on the JVM."""
     helper = "__as_double"
     finder = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol=helper, outputCol=_SLAB, handleInvalid="keep")
-    ready = counts.withColumn(helper, F.coalesce(F.col(value).cast("double"), F.lit(-math.inf)))
+    ready = counts.withColumn(helper, F.coalesce(F.col(value).try_cast("double"), F.lit(-math.inf)))
     return finder.transform(ready).drop(helper).withColumn(_SLAB, F.col(_SLAB).cast("int"))
 
 
@@ -155,7 +155,7 @@ def quantiles(df: DataFrame, value, probs: dict, by=(), spread: Spread | None =
     """
     by = list(by)
     if accuracy:
-        rough = F.percentile_approx(F.col(value).cast("double"), [float(p) for p in probs.values()], accuracy)
+        rough = F.percentile_approx(F.col(value).try_cast("double"), [float(p) for p in probs.values()], accuracy)
         return df.groupBy(*by).agg(rough.alias("__q")).select(
             *by, *[F.col("__q")[i].alias(name) for i, name in enumerate(probs)])
     spread = spread or spreads(df, [value], slab_rows)[value]
@@ -163,9 +163,9 @@ def quantiles(df: DataFrame, value, probs: dict, by=(), spread: Spread | None =
     if not spread.cuts and spread.rows <= slab_rows:
         all_marks = F.array(*[F.lit(p) for p in marks])
         found = df.groupBy(*by).agg(F.percentile(
-            F.col(value).cast("double"), all_marks, F.col(weight) if weight else F.lit(1)).alias("__q"))
+            F.col(value).try_cast("double"), all_marks, F.col(weight) if weight else F.lit(1)).alias("__q"))
         return found.select(*by, *[F.col("__q")[i].alias(name) for i, name in enumerate(probs)])
-    known = df.filter(F.col(value).isNotNull())
+    known = df.withColumn(value, F.col(value).try_cast("double")).filter(F.col(value).isNotNull())
     counts = known.groupBy(*by, value).agg((F.sum(weight) if weight else F.count("*")).alias("n"))
     table = cumulate(counts, value, by, spread)
     picks = []
@@ -183,7 +183,7 @@ def quantiles(df: DataFrame, value, probs: dict, by=(), spread: Spread | None =
         position = F.lit(p) * (F.col("__total") - 1)
         low, high, floor, ceil = F.col(f"__lo{i}"), F.col(f"__hi{i}"), F.floor(position), F.ceil(position)
         between = (ceil - position) * low + (position - floor) * high
-        out.append(F.when(floor == ceil, low).otherwise(between).alias(name))
+        out.append(F.when((floor == ceil) | (low == high), low).otherwise(between).alias(name))
     return found.select(*by, *out)
 
 
@@ -194,7 +194,7 @@ def _slabs_of(df, by, order, slab_rows, rows):
     """Rows range-partitioned on (by, order), written once, with their slab
     and their position inside it. The write fixes the slab of every row, so
     that totals and rows agree even if tasks are run again."""
-    parts = min(20 * MAX_SLABS, math.ceil(rows / slab_rows))
+    parts = math.ceil(rows / slab_rows)
     placed = (
         df.repartitionByRange(parts, *by, *order)
         .sortWithinPartitions(*by, *order)

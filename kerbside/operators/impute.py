@@ -1,7 +1,6 @@
 """Filling gaps, capping, and flagging outliers.
 
-All statistics come from value counts, which are small next to the rows: the
-data is read once for the counts and once to apply them.
+All statistics come from value counts, which are small next to the rows.
 """
 
 from functools import reduce
@@ -17,7 +16,7 @@ _PAIR = ["zone", "violation_type"]
 
 
 def numeric_spreads(df: DataFrame) -> dict:
-    """Spreads of the columns imputation needs; take them from the raw scan."""
+    """Spreads of the columns imputation needs; text that is no number counts as null."""
     return spreads(df, [c for c in ("fine_amount", "speed_kmh", *COORDINATES) if c in df.columns])
 
 
@@ -48,11 +47,11 @@ def most_common(df: DataFrame, column, name) -> DataFrame:
     return counts.agg(F.min_by(column, F.struct(-F.col("n"), F.col(column))).alias(name))
 
 
-def statistics(df: DataFrame, spread=None, pairs=C.MAX_ZONE_TYPE_GROUPS):
+def statistics(df: DataFrame, spread=None, pairs=None):
     """What filling needs: a table per (zone, type) and a table of one row.
 
-    ``pairs`` bounds the first; the default holds for standardised categories,
-    None stands for unknown. Either table is None if its columns are absent.
+    ``pairs`` is a proven bound of the first, such as the contract's for
+    standardised categories; None stands for unknown. Either table is None if its columns are absent.
     """
     spread = numeric_spreads(df) if spread is None else spread
     groups, singles = None, []
@@ -68,14 +67,14 @@ def statistics(df: DataFrame, spread=None, pairs=C.MAX_ZONE_TYPE_GROUPS):
     return groups, reduce(DataFrame.crossJoin, singles) if singles else None
 
 
-def impute(df: DataFrame, spread=None, keep_quartiles=False, pairs=C.MAX_ZONE_TYPE_GROUPS) -> DataFrame:
+def impute(df: DataFrame, spread=None, keep_quartiles=False, pairs=None) -> DataFrame:
     """Fill the gaps of whichever columns are present.
 
     Fine: median of the (zone, type) group, else of the filled column. Speed:
     median of the type, else 0. Officer: 'UNKNOWN'. Vehicle: most common.
-    Coordinates: median. The rows meet two broadcast tables, nothing more.
-    Categories that are not standardised need ``pairs=None``: the table per
-    (zone, type) then has no size bound and is joined by shuffle.
+    Coordinates: median. With ``pairs``, a proven bound of the (zone, type)
+    pairs, the rows meet two broadcast tables and nothing more; without it the
+    table per pair is joined by shuffle.
     """
     have = set(df.columns)
     groups, single = statistics(df, spread, pairs)

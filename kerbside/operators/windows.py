@@ -35,12 +35,12 @@ def _times(bound, factor):
     return None if bound is None else bound * factor
 
 
-def zone_windows(df: DataFrame, spread: Spread | None = None, slab_rows=SLAB_ROWS, zones=ZONE_BOUND) -> DataFrame:
+def zone_windows(df: DataFrame, spread: Spread | None = None, slab_rows=SLAB_ROWS, zones=None) -> DataFrame:
     """Per row: ranks by fine in the zone, the fine of the row before it by
     hour, and the running revenue by hour.
 
-    ``zones`` bounds the number of zones; the default holds for standardised
-    ones, None stands for unknown and rules broadcasts out.
+    ``zones`` is a proven bound of the number of zones, such as ``ZONE_BOUND``
+    for standardised ones; None stands for unknown and rules broadcasts out.
     """
     spread = spread or spreads(df, ["fine_amount"], slab_rows)["fine_amount"]
     base = df.select("violation_id", "zone", "violation_type", "fine_amount", "severity", "hour")
@@ -50,10 +50,11 @@ def zone_windows(df: DataFrame, spread: Spread | None = None, slab_rows=SLAB_ROW
 
 
 def top_per_zone(df: DataFrame, k=5, spread: Spread | None = None, slab_rows=SLAB_ROWS,
-                 zones=ZONE_BOUND) -> DataFrame:
+                 zones=None) -> DataFrame:
     """Rows whose fine ranks in the top ``k`` of their zone, ties included.
 
-    At most ``k`` distinct fines per zone qualify; they are broadcast.
+    At most ``k`` distinct fines per zone qualify; they are broadcast if
+    ``zones`` bounds the zones.
     """
     spread = spread or spreads(df, ["fine_amount"], slab_rows)["fine_amount"]
     best = zone_ranks(df, spread).filter(F.col("rank_in_zone") <= k)
@@ -64,7 +65,7 @@ def top_per_zone(df: DataFrame, k=5, spread: Spread | None = None, slab_rows=SLA
     return attach(top, running_revenue(df), ["zone", "hour"], "left", rows=_times(zones, 25))
 
 
-def zone_share(df: DataFrame, zones=ZONE_BOUND) -> DataFrame:
+def zone_share(df: DataFrame, zones=None) -> DataFrame:
     """Each fine as a percentage of its zone's total."""
     totals = df.groupBy("zone").agg(F.sum("fine_amount").alias("__zone_total"))
     return attach(df, totals, ["zone"], "left", rows=zones).select(

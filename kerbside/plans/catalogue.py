@@ -306,12 +306,12 @@ def day_hour_pivot(spark, folder):
 
 @query
 def zone_windows(spark, folder):
-    return windows.zone_windows(clean_table(spark, folder))
+    return windows.zone_windows(clean_table(spark, folder), zones=windows.ZONE_BOUND)
 
 
 @query
 def top5_per_zone(spark, folder):
-    return windows.top_per_zone(clean_table(spark, folder))
+    return windows.top_per_zone(clean_table(spark, folder), zones=windows.ZONE_BOUND)
 
 
 @query
@@ -323,7 +323,7 @@ def rolling_hourly(spark, folder):
 
 @query
 def zone_share(spark, folder):
-    return windows.zone_share(clean_table(spark, folder)).withColumn("pct_of_zone", X.rounded("pct_of_zone", 8))
+    return windows.zone_share(clean_table(spark, folder), zones=windows.ZONE_BOUND).withColumn("pct_of_zone", X.rounded("pct_of_zone", 8))
 
 
 @query

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame
 
+from kerbside import contract as C
 from kerbside.operators import conform, impute
 from kerbside.session import stage
 
@@ -36,10 +37,11 @@ def clean(raw: DataFrame, slab_spreads=None, cut=stage) -> DataFrame:
     The deduplicated rows feed five small statistics and the final pass, so
     they are written once (``cut``) instead of being shuffled six times.
     """
-    spread = impute.numeric_spreads(raw) if slab_spreads is None else slab_spreads
     rows = cut(deduplicate(raw))
+    spread = impute.numeric_spreads(rows) if slab_spreads is None else slab_spreads
+    # The categories are standardised by now, which bounds the (zone, type) pairs.
     return (
-        impute.impute(rows, spread, keep_quartiles=True)
+        impute.impute(rows, spread, keep_quartiles=True, pairs=C.MAX_ZONE_TYPE_GROUPS)
         .transform(impute.cap_values)
         .transform(impute.flag_fine_outliers)
         .transform(conform.add_time_features)

@@ -21,8 +21,9 @@ def export_csv(df: DataFrame, path, chunk_rows=None, mode="overwrite"):
     writer.csv(path)
 
 
-def export_partitioned(df: DataFrame, path, keys=("zone", "severity")):
-    """Partitioned parquet, replacing only the partitions written.
+def export_partitioned(df: DataFrame, path, keys=("zone", "severity"), only_written=False):
+    """Partitioned parquet, replacing what was there, or with ``only_written``
+    only the partitions that ``df`` has rows for.
 
     The rebalance hint brings a partition's rows together without putting a
     hot one into one task: AQE splits it into files of the advised size.
@@ -30,7 +31,7 @@ def export_partitioned(df: DataFrame, path, keys=("zone", "severity")):
     (
         df.hint("rebalance", *keys)
         .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        .option("partitionOverwriteMode", "dynamic" if only_written else "static")
         .option("compression", "snappy")
         .partitionBy(*keys)
         .parquet(path)

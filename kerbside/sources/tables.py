@@ -1,9 +1,6 @@
 """Reads of already conformed records, by format or with fallbacks."""
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, types as T
-
-from kerbside.sources.synthetic import synthetic_records
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 PROCESSED_SCHEMA = T.StructType([
     T.StructField("violation_id", T.StringType()),
@@ -25,28 +22,50 @@ PROCESSED_SCHEMA = T.StructType([
 ])
 
 
+_BAD = "__unreadable"
+
+
+def _format(path, fmt):
+    return fmt or ("csv" if str(path).rstrip("/").endswith(".csv") else "parquet")
+
+
+def _csv(spark, path, schema):
+    """Typed CSV rows; the text of a malformed one is kept in a column."""
+    schema = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return spark.read.schema(T.StructType([*schema, T.StructField(_BAD, T.StringType())])).option("header", True).option(
+        "enforceSchema", False).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _BAD).option(
+        "nullValue", "").csv(path)
+
+
 def read_records(spark: SparkSession, path, fmt=None, schema=PROCESSED_SCHEMA) -> DataFrame:
     """Processed records. The format follows the path unless given; CSV is read
-    under the declared schema and drops malformed rows."""
-    fmt = fmt or ("csv" if str(path).rstrip("/").endswith(".csv") else "parquet")
-    if fmt == "csv":
-        return spark.read.schema(schema).option("header", True).option("enforceSchema", False).option(
-            "mode", "DROPMALFORMED").option("nullValue", "").csv(path)
-    return spark.read.format(fmt).load(path)
+    under the declared schema, and its malformed rows are in
+    :func:`rejected_records`."""
+    if _format(path, fmt) == "csv":
+        return _csv(spark, path, schema).where(F.col(_BAD).isNull()).drop(_BAD)
+    return spark.read.format(_format(path, fmt)).load(path)
+
+
+def rejected_records(spark: SparkSession, path, fmt=None, schema=PROCESSED_SCHEMA) -> DataFrame:
+    """The malformed rows that :func:`read_records` leaves out, as text; none but in CSV."""
+    if _format(path, fmt) == "csv":
+        rows = _csv(spark, path, schema)
+        # Spark refuses a read of the text column alone, so the others are read along.
+        read_all = F.hash(*[c for c in rows.columns if c != _BAD]) >= F.lit(-2**31)
+        return rows.where(F.col(_BAD).isNotNull() & read_all).select(F.col(_BAD).alias("text"), F.input_file_name().alias("source_file"))
+    return spark.createDataFrame([], "text string, source_file string")
 
 
-def read_first(spark: SparkSession, table=None, path=None, rows=100_000, generate=50_000) -> DataFrame:
-    """The warehouse table, else the file, else generated records.
+def read_first(spark: SparkSession, table=None, path=None, rows=None) -> DataFrame:
+    """The warehouse table if it exists, else the file.
 
-    ``rows`` caps a preview; pass None for everything.
+    A source that is named and missing is an error when there is no other; an
+    empty one is an answer. ``rows`` caps a preview; without it all is read.
     """
-    for source, read in ((table, spark.table), (path, lambda p: read_records(spark, p))):
-        if source is None:
-            continue
-        try:
-            df = read(source)
-            if not df.isEmpty():
-                return df if rows is None else df.limit(rows)
-        except AnalysisException:
-            continue
-    return synthetic_records(spark, generate)
+    if table is not None and (path is None or spark.catalog.tableExists(table)):
+        df = spark.table(table)
+    elif path is not None:
+        df = read_records(spark, path)
+    else:
+        raise ValueError("name a table or a path")
+    return df if rows is None else df.limit(rows)

@@ -6,7 +6,7 @@ from kerbside.functions import columns as X
 from kerbside.operators.messages import with_partition
 from kerbside.session import shared_path
 from kerbside.streaming import jobs
-from kerbside.streaming.events import event_files, kafka_sink_options, parse_events, read_kafka_stream
+from kerbside.streaming.events import event_files, kafka_sink_options, parse_events, read_kafka_stream, rejected_events
 from kerbside.streaming.upsert import UpsertTable, append_sink, kafka_sink
 
 WINDOW_KEYS = ("window_start", "window_end")
@@ -70,13 +70,18 @@ def event_files_batch(spark: SparkSession, folder) -> DataFrame:
     )
 
 
-def run_kafka_job(spark: SparkSession, servers, out, every="30 seconds"):
+def run_kafka_job(spark: SparkSession, servers, out, every="30 seconds", **source):
     """The deployed job: a topic of events -> sliding totals as an upsert table
-    and alerts as another topic. Returns when either query stops.
+    and alerts as another topic; messages that hold no event go to files beside
+    them. Returns when a query stops. ``source`` are options of
+    ``kafka_source_options``, such as the topic, where to start and
+    ``per_trigger``; without the last, a trigger takes all there is.
 
     Needs the Kafka connector on the class path.
     """
-    events = parse_events(read_kafka_stream(spark, servers=servers))
+    messages = read_kafka_stream(spark, servers=servers, **({"per_trigger": None} | source))
+    events = parse_events(messages)
+    append_sink(rejected_events(messages), f"{out}/rejected", f"{out}/checkpoints/rejected", every)
     table = UpsertTable(f"{out}/sliding", [*WINDOW_KEYS, "zone", "violation_type"])
     table.start(jobs.sliding_totals(events), f"{out}/checkpoints/sliding", every, name="sliding")
     kafka_sink(jobs.alert_messages(events), kafka_sink_options(servers), f"{out}/checkpoints/alerts")

@@ -8,8 +8,6 @@ rewritten until ``compact``.
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from kerbside.session import shared_path
-
 
 class UpsertTable:
     def __init__(self, path, keys):
@@ -35,12 +33,13 @@ class UpsertTable:
         newest = rows.groupBy(*self.keys).agg(F.max_by(F.struct(*rest), "batch_id").alias("r"))
         return newest.select(*self.keys, *[F.col(f"r.{c}").alias(c) for c in rest])
 
-    def compact(self, spark: SparkSession) -> "UpsertTable":
-        """The newest rows as a new table with one batch, under a new path.
+    def compact(self, spark: SparkSession, path) -> "UpsertTable":
+        """The newest rows as a new table with one batch, at ``path``.
 
-        Run it on a stopped query; later batches may go to either table.
+        Run it on a stopped query; later batches may go to either table. The
+        path is the caller's: staged folders are deleted with the application.
         """
-        target = UpsertTable(shared_path(spark, "compacted"), self.keys)
+        target = UpsertTable(path, self.keys)
         last = spark.read.parquet(self.path).agg(F.max("batch_id")).first()[0]
         target.write_batch(self.read(spark), last)
         return target

@@ -7,6 +7,7 @@ import io
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
+from kerbside import contract as C
 from kerbside.functions.ordered import (
     Spread, cumulate, number_rows, previous_value, quantiles, spreads, value_counts)
 from kerbside.operators import conform, features, impute, messages, star, windows
@@ -43,6 +44,41 @@ def test_spread_cuts_balance(spark, folder):
     assert spread.distinct >= distinct
 
 
+def test_slabs_hold_distinct_values_however_hot_one_is(spark):
+    df = spark.range(40_000).select(F.when(F.col("id") % 1000 > 0, 5.0).otherwise(F.col("id").cast("double")).alias("v"))
+    spread = spreads(df, ["v"], slab_rows=10)["v"]
+    from kerbside.functions.ordered import _with_slab
+    sizes = [r["count"] for r in _with_slab(df.select("v").distinct(), "v", spread.cuts).groupBy("__slab").count().collect()]
+    assert max(sizes) <= 20 and len(sizes) >= 3
+
+
+def test_both_paths_agree_on_odd_numbers(spark):
+    import math
+    import numpy as np
+    odd = [math.inf, -math.inf, math.nan, None, 0.0, -3.5]
+    values = odd * 3 + [float(i % 37) for i in range(300)]
+    df = spark.createDataFrame([(v, i % 2) for i, v in enumerate(values)], "v double, g int")
+    for some in (df, df.where("NOT isnan(v) OR v IS NULL")):
+        probs = {"a": 0.05, "b": 0.5, "c": 0.99}
+        for by in ([], ["g"]):
+            small, large = (quantiles(some, "v", probs, by, slab_rows=n) for n in (10**6, 7))
+            assert sorted(map(repr, small.collect())) == sorted(map(repr, large.collect()))
+    finite = sorted(v for v in values if v is not None and math.isfinite(v))
+    row = quantiles(df.where("abs(v) < double('inf')"), "v", {"q": 0.37}, slab_rows=7).first()
+    assert math.isclose(row.q, np.quantile(finite, 0.37))
+
+
+def test_text_numbers_on_both_paths(spark, folder):
+    raw = raw_incidents(spark, folder)
+    text = raw.withColumn("fine_amount", F.when(F.col("row_seq") % 13 == 0, "n/a").otherwise(F.col("fine_amount").cast("string")))
+    from kerbside.functions import ordered
+    want = cleaning.clean(text)
+    rows = cleaning.deduplicate(text)
+    forced = cleaning.clean(text, slab_spreads=spreads(rows, ["fine_amount", "speed_kmh", "latitude", "longitude"], slab_rows=50))
+    assert same(want, forced) and ordered.SLAB_ROWS == 1_000_000
+    assert same(quantiles(text, "fine_amount", {"q": 0.5}, slab_rows=50), quantiles(text, "fine_amount", {"q": 0.5}))
+
+
 def test_cumulate_in_slabs(spark, folder):
     df = hot(spark, folder).withColumn("value", F.when(F.col("event_id") % 5 > 0, F.col("value")))
     spread = spreads(df, ["value"], slab_rows=20)["value"]
@@ -146,9 +182,11 @@ def test_partition_pruning(spark, folder, tmp_path):
     one = back.filter("zone = 'Highway' AND severity = 'High'")
     assert "PartitionFilters: [isnotnull(zone" in plan(one)
     assert one.count() == df.filter("zone = 'Highway' AND severity = 'High'").count()
-    # Overwriting one partition leaves the others.
-    export_partitioned(df.filter("zone = 'Highway'"), path)
+    # On request only the partitions that are written are replaced; else an export replaces the last one whole.
+    export_partitioned(df.filter("zone = 'Highway'"), path, only_written=True)
     assert spark.read.parquet(path).count() == df.count()
+    export_partitioned(df.filter("zone = 'Highway'"), path)
+    assert spark.read.parquet(path).count() == df.filter("zone = 'Highway'").count()
 
 
 def test_unsized_tables_are_not_broadcast(spark, folder):
@@ -161,10 +199,10 @@ def test_unsized_tables_are_not_broadcast(spark, folder):
 
 def test_unbounded_categories_take_the_shuffle_join(spark, folder):
     df = clean_table(spark, folder)
-    assert same(windows.zone_windows(df, zones=None), windows.zone_windows(df))
-    assert same(windows.zone_share(df, zones=None), windows.zone_share(df))
+    assert same(windows.zone_windows(df), windows.zone_windows(df, zones=windows.ZONE_BOUND))
+    assert same(windows.zone_share(df), windows.zone_share(df, zones=windows.ZONE_BOUND))
     raw = cleaning.prepare(raw_incidents(spark, folder))
-    assert same(impute.impute(raw, pairs=None), impute.impute(raw))
+    assert same(impute.impute(raw), impute.impute(raw, pairs=C.MAX_ZONE_TYPE_GROUPS))
 
 
 def test_stages_of_an_application_can_be_dropped(spark, folder):

@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from kerbside.operators import layout
-from kerbside.operators.snapshots import SnapshotTable, z_order
 from kerbside.plans import batch
 from kerbside.plans.catalogue import clean_table, enriched_table
 from kerbside.sinks import files, tables
@@ -14,7 +13,7 @@ from kerbside.sources.csv_files import ingest, read_csv_folder
 from kerbside.sources.logs import read_logs
 from kerbside.sources.manifest import file_manifest, list_keys
 from kerbside.sources.synthetic import synthetic_records
-from kerbside.sources.tables import read_first, read_records
+from kerbside.sources.tables import read_first, read_records, rejected_records
 
 
 @pytest.fixture
@@ -98,10 +97,25 @@ def test_read_records_by_format(spark, folder, tmp_path):
     assert [(r.violation_id, r.speed_kmh) for r in got] == [("TRF-1", 12.0), ("TRF-2", None)]
 
 
-def test_read_first_falls_back(spark, tmp_path):
-    assert read_first(spark, "no_such_table", str(tmp_path / "none"), generate=30).count() == 30
-    spark.range(20).write.mode("overwrite").saveAsTable("preview_source")
+def test_malformed_rows_are_rejected_not_lost(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("violation_id,zone,speed_kmh\nTRF-1,Highway,12\nTRF-2,Highway,fast\nTRF-3,School,1,2,3\nTRF-4,,\n")
+    schema = "violation_id string, zone string, speed_kmh double"
+    good = read_records(spark, str(tmp_path / "r.csv"), schema=schema)
+    bad = rejected_records(spark, str(tmp_path / "r.csv"), schema=schema)
+    assert sorted(r.violation_id for r in good.collect()) == ["TRF-1", "TRF-4"] and good.columns == ["violation_id", "zone", "speed_kmh"]
+    assert sorted(r.text for r in bad.collect()) == ["TRF-2,Highway,fast", "TRF-3,School,1,2,3"]
+
+
+def test_read_first_takes_what_is_there_and_nothing_else(spark, folder, tmp_path):
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_first(spark, "no_such_table", str(tmp_path / "none"))
+    with pytest.raises(Exception, match="TABLE_OR_VIEW_NOT_FOUND"):
+        read_first(spark, "no_such_table")
+    spark.range(120_000).write.mode("overwrite").saveAsTable("preview_source")
+    assert read_first(spark, "preview_source").count() == 120_000
     assert read_first(spark, "preview_source", rows=7).count() == 7
+    spark.range(3).limit(0).write.parquet(str(tmp_path / "empty.parquet"))
+    assert read_first(spark, "no_such_table", str(tmp_path / "empty.parquet")).count() == 0
 
 
 def test_load_table_modes(spark, folder):
@@ -145,74 +159,6 @@ def test_blocks_cover_files(spark):
     assert layout.block_report(sizes, 128).first().asDict() == {"files": 4, "total_bytes": 438, "blocks": 6}
 
 
-def test_snapshots(spark, tmp_path):
-    t = SnapshotTable(spark, tmp_path / "t")
-    with pytest.raises(FileNotFoundError):
-        t.read()
-    at = "2024-01-31 10:00:00"
-    assert t.write(spark.range(5).withColumn("v", F.lit("a")), at=at) == 0
-    assert t.write(spark.range(5, 8).withColumn("v", F.lit("b")), at=at) == 1
-    assert t.write(spark.range(7, 9).withColumn("v", F.lit("c")), "merge", key="id", at=at) == 2
-    assert t.optimize(1, at=at) == 3
-    assert t.read(0).count() == 5 and t.read(1).count() == 8 and t.read(2).count() == 9
-    assert dict((r.id, r.v) for r in t.read().collect())[7] == "c"
-    assert t.read(3).exceptAll(t.read(2)).isEmpty()
-    assert len(list((tmp_path / "t" / "version=3").glob("*.parquet"))) == 1
-    assert t.write(spark.range(2).withColumn("v", F.lit("z")), "overwrite", at=at) == 4
-    assert t.read().count() == 2
-    log = t.history().collect()
-    assert [r.version for r in log] == [0, 1, 2, 3, 4]
-    assert log[1].operation == "WRITE (append)" and log[1].operationParameters["mode"] == "append"
-    assert log[1].readVersion == 0 and log[1].timestamp == "2024-01-31T10:00:00"
-    with pytest.raises(ValueError):
-        t.write(spark.range(1), "upsert")
-
-
-def test_vacuum_keeps_newest_and_shared(spark, tmp_path):
-    t = SnapshotTable(spark, tmp_path / "t")
-    for i in range(11):
-        t.write(spark.range(i, i + 1), "overwrite")
-    assert t.vacuum(3) == 8
-    assert sorted(r.id for r in t.read().collect()) == [10]
-    assert t.read(8).count() == 1
-    with pytest.raises(FileNotFoundError):
-        t.read(7)
-    # The vacuum itself is a commit without data.
-    assert t.history().count() == 12 and t.read(11).count() == 1
-    # Appends share older folders: vacuum must keep them.
-    t.write(spark.range(50, 52), "append")
-    t.vacuum(1)
-    assert sorted(r.id for r in t.read().collect()) == [10, 50, 51]
-
-
-def test_two_writers_cannot_take_one_version(spark, tmp_path):
-    t = SnapshotTable(spark, tmp_path / "t")
-    t.write(spark.range(1))
-    with pytest.raises(Exception):
-        t._commit(0, "WRITE (append)", {}, ["version=0"], None)
-
-
-def test_z_order_narrows_files(spark, tmp_path):
-    df = spark.range(20000).select(
-        F.pmod(F.xxhash64("id"), F.lit(1000)).alias("a"), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1000)).alias("b"),
-        F.element_at(F.array(F.lit("x"), F.lit("y"), F.lit("zed")), (F.col("id") % 3 + 1).cast("int")).alias("s"))
-
-    def width(d):
-        per = d.groupBy(F.spark_partition_id()).agg(
-            (F.max("a") - F.min("a")).alias("a"), (F.max("b") - F.min("b")).alias("b"))
-        return per.agg(F.avg("a"), F.avg("b")).first()
-
-    clustered = z_order(df, ["a", "b"], 16)
-    assert clustered.exceptAll(df).isEmpty() and clustered.count() == df.count()
-    for before, after in zip(width(df.repartition(16)), width(clustered)):
-        assert after < before / 2
-    assert z_order(df, ["s", "a"], 4).count() == df.count()
-    t = SnapshotTable(spark, tmp_path / "t")
-    t.write(df)
-    t.z_order_by(["a", "b"], 8)
-    assert t.read().exceptAll(df).isEmpty()
-
-
 def test_batch_run(spark, tmp_path, csv_folder):
     out = batch.run(spark, None, str(tmp_path / "gen"), "2024-01-05T00:00:00", table_prefix="gen_", synthetic_rows=1000)
     assert out["passed"] and out["score"] == 100.0

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from kerbside import contract as C
 from kerbside.operators import messages
+from kerbside.session import drop_stages
 from kerbside.streaming import events as E, jobs, runs
 from kerbside.streaming.upsert import UpsertTable, append_sink, for_each_batch
 
@@ -64,7 +65,8 @@ def test_replay_and_compaction_change_nothing(spark, tmp_path):
     table.write_batch(two, 1)
     want = [(1, 10), (2, 21), (3, 30)]
     assert sorted(map(tuple, table.read(spark).collect())) == want
-    compacted = table.compact(spark)
+    compacted = table.compact(spark, str(tmp_path / "compacted"))
+    drop_stages(spark)
     assert sorted(map(tuple, compacted.read(spark).collect())) == want
     compacted.write_batch(spark.createDataFrame([(1, 11)], "k int, v int"), 2)
     assert sorted(map(tuple, compacted.read(spark).collect())) == [(1, 11), (2, 21), (3, 30)]
@@ -97,6 +99,17 @@ def test_parse_events(spark):
     assert rows[1].event_id is None and rows[1].event_time is None
 
 
+def test_unreadable_payloads_are_rejected(spark):
+    raw = spark.createDataFrame([(b'{"event_id":"E1","timestamp":"2024-01-01T08:00:00Z"}', 1), (b"not json", 2), (None, 3), (b'{"event_id":"E4"}', 4)], "value binary, offset int")
+    rows = E.rejected_events(raw).collect()
+    assert {r.offset: r.reason for r in rows} == {2: "not readable", 3: "no payload", 4: "no event time"} and bytes(rows[0].value) == b"not json"
+
+
+def test_kafka_options_pass_through():
+    assert "maxOffsetsPerTrigger" not in E.kafka_source_options(per_trigger=None)
+    assert E.kafka_source_options(per_trigger=5, starting="earliest")["maxOffsetsPerTrigger"] == "5"
+
+
 def test_envelope_round_trip(spark):
     df = E.as_events(spark.range(50).select(F.col("id").alias("value"), F.lit("2024-01-01").cast("timestamp").alias("timestamp")))
     sent = messages.with_partition(messages.envelope(df), "key")
