@@ -53,6 +53,7 @@ def dq_checks(df: DataFrame, as_of, completeness=None, ranged=None, freshness=Tr
         aggs.append(expr.alias(f"m{len(aggs)}"))
         return F.col(f"m{len(aggs) - 1}")
 
+    # The wording of the details below.
     for field, need in completeness.items():
         if field not in have:
             absent = F.lit(None).cast("double")

@@ -9,7 +9,7 @@ from kerbside.operators import (
     analytics, anomalies, conform, features, impute, layout, messages, quality, star, windows)
 from kerbside.plans import cleaning
 from kerbside.plans.enriching import enrich
-from kerbside.session import exists, write_stage
+from kerbside.session import exists, stage, write_stage
 from kerbside.sources.incidents import raw_incidents, read_table
 
 # Fixed clock: the events end on the evening before.
@@ -108,7 +108,7 @@ def dedup_exact(spark, folder):
 
 @query
 def dedup_keep_first(spark, folder):
-    """First record of each officer and second: heavy groups."""
+    """First record of each officer: heavy groups."""
     df = raw(spark, folder).select("officer_id", "row_seq", "violation_id", "zone")
     return conform.keep_first(df, "officer_id", ["row_seq", "violation_id"])
 
@@ -178,7 +178,7 @@ def exact_quantiles(spark, folder):
 
 @query
 def price_quantiles(spark, folder):
-    """Exact deciles of the line price by return flag, on the widest table."""
+    """Exact outer deciles and median of the line price by return flag, on the widest table."""
     df = read_table(spark, folder, "lineitem").select("l_returnflag", "l_extendedprice")
     found = quantiles(df, "l_extendedprice", {"p10": 0.1, "p50": 0.5, "p90": 0.9}, ["l_returnflag"])
     return found.select("l_returnflag", *[X.rounded(q, 4).alias(q) for q in ("p10", "p50", "p90")])
@@ -431,9 +431,10 @@ def temporal_spikes_neighbours(spark, folder):
 
 @query
 def dq_report_rows(spark, folder):
-    checks = quality.dq_checks(prepared(spark, folder), AS_OF)
+    # A few rows each, which several parts of the report use.
+    checks = stage(quality.dq_checks(prepared(spark, folder), AS_OF), "checks")
     found = anomalies.detect(clean_table(spark, folder).select("violation_id", "fine_amount", "speed_kmh"), "speed_kmh")
-    return quality.report_lines(checks, quality.dq_score(checks, RUN_AT), found)
+    return quality.report_lines(checks, stage(quality.dq_score(checks, RUN_AT), "score"), found)
 
 
 @query
@@ -449,7 +450,8 @@ def dq_gate_quarantine(spark, folder):
 def dq_gate_route(spark, folder):
     """Rows accepted, rows quarantined and alerts raised, on clean records."""
     df = clean_table(spark, folder)
-    accepted, quarantined, alert = quality.gate(df, quality.dq_score(quality.dq_checks(df, AS_OF), RUN_AT))
+    score = stage(quality.dq_score(quality.dq_checks(df, AS_OF), RUN_AT), "score")
+    accepted, quarantined, alert = quality.gate(df, score)
     sizes = [(accepted, "accepted"), (quarantined, "quarantined"), (alert, "alerts")]
     return conform.union_all(*[d.agg(F.count("*").alias("rows")).withColumn("route", F.lit(n)) for d, n in sizes])
 
@@ -458,7 +460,7 @@ def dq_gate_route(spark, folder):
 def run_summary(spark, folder):
     clean = clean_table(spark, folder)
     return quality.run_summary(
-        raw(spark, folder), clean, quality.dq_score(quality.dq_checks(clean, AS_OF)),
+        raw(spark, folder), clean, stage(quality.dq_score(quality.dq_checks(clean, AS_OF)), "score"),
         anomalies.detect(clean, "fine_amount"))
 
 
