@@ -14,6 +14,8 @@
 Every step is exact; a cluster is connected through its pivot, so components need no pair of one group written out.
 """
 
+import gc
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -27,7 +29,7 @@ from kerbside.llm.wordcache import mix
 from kerbside.session import stage
 
 #: Bytes of shingles that one part of the hash range answers for, shingles of a cluster, postings of one list in a task.
-PART_BYTES, CLUSTER_SHINGLES, LIST_ROWS = 16_000_000, 1_000_000, 20_000
+PART_BYTES, CLUSTER_SHINGLES, LIST_ROWS = 16_000_000, 250_000, 20_000
 BLOCK = 64
 MANY = 0xFFFF
 ASK = np.dtype([("hash", "<u8"), ("slot", "<u2")])
@@ -440,6 +442,13 @@ def _member_decider(percent):
     return run, from_arrow_schema(schema)
 
 
+def _release(spark):
+    """Let go of the shuffle files of finished steps: Spark deletes them once the driver has forgotten their plans."""
+    for _ in range(2):  # Python's references to plans reach the JVM with the call after
+        gc.collect()
+        spark._jvm.System.gc()
+
+
 def _beside(pairs, clusters, columns):
     for side in ("a", "b"):
         pairs = pairs.join(clusters.select(F.col("cluster").alias(side), *[F.col(c).alias(f"{side}_{c}") for c in columns]), side)
@@ -455,13 +464,18 @@ def similar_components(df, percent=75, id_col="doc_id", text_col="text"):
     """
     docs = pick(df, id_col, text_col)
     sets = stage(shared_sets(docs, percent), "sets")
+    _release(df.sparkSession)
     classes = sets.where("shared IS NOT NULL").groupBy("k1", "k2").agg(F.first("n").alias("n"), F.first("shared").alias("shared"), F.first("s1").alias("s1"), F.first("s2").alias("s2"))
     classes = stage(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     heavy = classes.groupBy("s1", "s2").agg(F.sum("n").alias("total"))
     parts = F.ceil(F.col("total") / F.lit(CLUSTER_SHINGLES)).cast("int")
     dealt = classes.join(heavy, ["s1", "s2"]).withColumn("part", F.pmod(F.xxhash64("cid"), parts))
     cluster, schema = _clusterer(percent)
-    clusters = stage(dealt.select("s1", "s2", "part", "cid", "n", "shared").groupBy("s1", "s2", "part").applyInArrow(cluster, schema), "clusters")
+    # Dealt by the part as well, so that a signature that many classes share does not meet in one task.
+    dealt = dealt.select("s1", "s2", "part", "cid", "n", "shared").repartition("s1", "s2", "part")
+    clusters = stage(dealt.groupBy("s1", "s2", "part").applyInArrow(cluster, schema), "clusters")
+    del dealt
+    _release(df.sparkSession)
     pairs = candidate_pairs(clusters, percent)
     decide, schema = _pivot_decider(percent)
     decided = stage(_beside(pairs, clusters, ["n", "pivot", "radius"]).mapInArrow(decide, schema), "decided")
