@@ -10,7 +10,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from kerbside.llm.graph import components
@@ -89,31 +89,36 @@ def labels_of(matrix, same):
         row, col = new_row, new_col
 
 
-def _unit(batches):
-    """Valid vectors as unit vectors in double precision; the others with a null ``v``."""
+def _vectors(batches):
+    """Valid vectors as bytes, single precision if the column is, with the width of a number first; the others as null."""
     schema = pa.schema([("vec_id", pa.int64()), ("label", pa.string()), ("v", pa.binary())])
     for batch in batches:
-        out = []
+        out, kind = [], np.float32 if batch.schema.field(2).type.value_type == pa.float32() else np.float64
         for values, label in zip(batch.column(2).to_pylist(), batch.column(1).to_pylist()):
-            unit = None
+            found = None
             if values and label is not None and None not in values:
                 v = np.asarray(values, np.float64)
                 top = np.abs(v).max()
                 if np.isfinite(top) and top > 0:
-                    v = v / top
-                    unit = (v / np.sqrt(v @ v)).tobytes()
-            out.append(unit)
+                    found = bytes([np.dtype(kind).itemsize]) + v.astype(kind).tobytes()
+            out.append(found)
         yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1), pa.array(out, pa.binary())], schema=schema)
 
 
 def _matrix(blobs):
-    return np.frombuffer(b"".join(blobs), np.float64).reshape(len(blobs), -1) if blobs else np.zeros((0, 0))
-
-
-def _split(keys, tables):
-    """Child centres of one node from a sample of its points."""
-    table = tables
-    points = _matrix(table.column("v").to_pylist())
+    """The unit vectors, in double precision, of vectors as bytes."""
+    if not blobs:
+        return np.zeros((0, 0))
+    kind = np.float32 if blobs[0][0] == 4 else np.float64
+    rows = np.frombuffer(b"".join(b[1:] for b in blobs), kind).reshape(len(blobs), -1).astype(np.float64)
+    rows /= np.abs(rows).max(axis=1, keepdims=True)
+    return rows / np.sqrt((rows * rows).sum(axis=1, keepdims=True))
+
+
+def _split(keys, table):
+    """Child centres of one node from a sample of its points: a net of half its reach, or of as small a part of it as gives some children."""
+    blobs = table.column("v").to_pylist()
+    points = _matrix(blobs)
     radius, chosen = float(distances(points[:1], points).max()) / 2, [0]
     while len(points) > 1 and radius > 1e-12:
         chosen = net(points, radius)
@@ -121,7 +126,7 @@ def _split(keys, tables):
             break
         radius /= 2
     return pa.table({"node": pa.array([keys[0].as_py()] * len(chosen)), "child": pa.array(range(len(chosen)), pa.int32()),
-                     "centre": pa.array([points[k].tobytes() for k in chosen], pa.binary())})
+                     "centre": pa.array([blobs[k] for k in chosen], pa.binary())})
 
 
 def _descend(keys, left, right):
@@ -144,7 +149,7 @@ def _grow(points, leaf):
         large = points.join(sizes, "node")
         share = F.lit(float(SAMPLE)) / F.col("size")
         drawn = F.pmod(F.xxhash64("cid"), F.lit(1 << 30)) < share * F.lit(float(1 << 30))
-        # A node of which no point was drawn is still split: its least point is drawn as well.
+        # Two different points of every node are in its sample, so each split makes progress.
         least = large.groupBy("node").agg(F.min(F.struct(F.xxhash64("cid").alias("r"), "v")).alias("m"), F.max(F.struct(F.xxhash64("cid").alias("r"), "v")).alias("x"))
         ends = least.select("node", F.explode(F.array("m.v", "x.v")).alias("v"))
         sample = large.where(drawn).select("node", "v").unionByName(ends)
@@ -156,15 +161,20 @@ def _grow(points, leaf):
         points = stage(points.join(sizes, "node", "left_anti").select("cid", "node", "v", "n").unionByName(moved), "points")
 
 
-def _pack(keys, table):
-    """A leaf as one row: its points side by side, its centre and covering radius."""
-    table = table.sort_by("cid")
+def _together(points, leaf):
+    """Small leaves below one node become one, as long as they fit; the bounds are worked out afterwards."""
+    sizes = points.groupBy("node").agg(F.count("*").alias("size"))
+    above = F.regexp_replace("node", "/[^/]*$", "")
+    siblings = Window.partitionBy(above).orderBy("size", "node").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    names = sizes.where(F.col("node").contains("/")).select("node", F.concat(above, F.lit("/g"), F.floor((F.sum("size").over(siblings) - 1) / F.lit(leaf)).cast("string")).alias("to"))
+    return points.join(names, "node", "left").select("cid", F.coalesce("to", "node").alias("node"), "v", "n")
+
+
+def _bounds(keys, table):
+    """The centre of a leaf and its covering radius."""
     points = _matrix(table.column("v").to_pylist())
-    centre = points.mean(axis=0)
-    centre = points[int((points @ centre).argmax())]
-    radius = float(distances(centre[None], points).max())
-    return pa.table({"node": [keys[0].as_py()], "centre": pa.array([centre.tobytes()], pa.binary()), "radius": [radius],
-                     "cids": [table.column("cid").to_pylist()], "ns": [table.column("n").to_pylist()], "vs": pa.array([points.tobytes()], pa.binary())})
+    centre = points[int((points @ points.mean(axis=0)).argmax())]
+    return pa.table({"node": [keys[0].as_py()], "centre": pa.array([b"\x08" + centre.tobytes()], pa.binary()), "radius": [float(distances(centre[None], points).max())]})
 
 
 def _parents(keys, table):
@@ -172,7 +182,7 @@ def _parents(keys, table):
     centres, radii = _matrix(table.column("centre").to_pylist()), np.array(table.column("radius").to_pylist())
     gaps = (distances(centres, centres) + radii[None, :]).max(axis=1) if len(centres) <= 4096 else distances(centres[:1], centres)[0].max() + radii.max() * np.ones(len(centres))
     best = int(gaps.argmin())
-    return pa.table({"node": [keys[0].as_py()], "centre": pa.array([centres[best].tobytes()], pa.binary()), "radius": [float(gaps[best])]})
+    return pa.table({"node": [keys[0].as_py()], "centre": pa.array([b"\x08" + centres[best].tobytes()], pa.binary()), "radius": [float(gaps[best])]})
 
 
 def _near(reach):
@@ -183,7 +193,7 @@ def _near(reach):
             get = lambda n: batch.column(batch.schema.get_field_index(n))
             keep = []
             for c, d, r, s in zip(*(get(n).to_pylist() for n in ("a_centre", "b_centre", "a_radius", "b_radius"))):
-                gap = math.dist(np.frombuffer(c, np.float64), np.frombuffer(d, np.float64))
+                gap = math.dist(_matrix([c])[0], _matrix([d])[0])
                 keep.append(gap <= r + s + reach + 1e-7)
             yield pa.RecordBatch.from_arrays([get("a"), get("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
@@ -213,28 +223,30 @@ def _traverse(leaves, reach):
     return pairs
 
 
+LINKS = pa.schema([("cid", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
+
+
 def _join_leaves(reach, cosine):
-    schema = pa.schema([("cid", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
+    """The links of one pair of leaves, as counts and spanning edges."""
+    def run(keys, table):
+        same = keys[0].as_py() == keys[1].as_py()
+        side = table.column("side").to_numpy()
+        cids, ns, vs = table.column("cid").to_numpy(), table.column("n").to_numpy(), table.column("v")
+        at = [np.flatnonzero(side == 0), np.flatnonzero(side == (0 if same else 1))]
+        p = _matrix(vs.take(pa.array(at[0])).to_pylist())
+        q = p if same else _matrix(vs.take(pa.array(at[1])).to_pylist())
+        found = links(p, q, reach, cosine)
+        if same:
+            np.fill_diagonal(found, False)
+        rows, cols = labels_of(found, same)
+        ids = cids[at[0]] if same else np.concatenate([cids[at[0]], cids[at[1]]])
+        sides = [(cids[at[0]], found @ ns[at[1]], rows, found.any(axis=1))]
+        if not same:
+            sides.append((cids[at[1]], ns[at[0]] @ found, cols, found.any(axis=0)))
+        return pa.table([np.concatenate([x[s] for x, s in parts]) for parts in (
+            [(c, s) for c, _, _, s in sides], [(n, s) for _, n, _, s in sides], [(ids[label], s) for _, _, label, s in sides])], schema=LINKS)
 
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                same = row["a"] == row["b"]
-                p = np.frombuffer(row["a_vs"], np.float64).reshape(len(row["a_cids"]), -1)
-                q = p if same else np.frombuffer(row["b_vs"], np.float64).reshape(len(row["b_cids"]), -1)
-                found = links(p, q, reach, cosine)
-                if same:
-                    np.fill_diagonal(found, False)
-                rows, cols = labels_of(found, same)
-                ids = np.array(row["a_cids"] if same else row["a_cids"] + row["b_cids"])
-                here = found.any(axis=1)
-                sides = [(np.array(row["a_cids"]), found @ np.array(row["b_ns"]), rows, here)]
-                if not same:
-                    sides.append((np.array(row["b_cids"]), np.array(row["a_ns"]) @ found, cols, found.any(axis=0)))
-                for cids, counts, label, some in sides:
-                    yield pa.RecordBatch.from_arrays([pa.array(cids[some], pa.int64()), pa.array(counts[some], pa.int64()), pa.array(ids[label[some]], pa.int64())], schema=schema)
-
-    return run, from_arrow_schema(schema)
+    return run, from_arrow_schema(LINKS)
 
 
 def near_duplicates(df, cosine=0.93, id_col="vec_id", vector_col="embedding", label_col="label", leaf=LEAF):
@@ -248,20 +260,20 @@ def near_duplicates(df, cosine=0.93, id_col="vec_id", vector_col="embedding", la
     """
     reach = math.sqrt(2 - 2 * cosine)
     rows = df.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), F.col(f"`{label_col}`").cast("string").alias("label"), F.col(f"`{vector_col}`").alias("embedding"))
-    rows = stage(rows.mapInArrow(_unit, "vec_id long, label string, v binary"), "vectors")
+    rows = stage(rows.mapInArrow(_vectors, "vec_id long, label string, v binary"), "vectors")
     points = rows.where("v IS NOT NULL").groupBy("label", "v").agg(F.count("*").alias("n"), F.min("vec_id").alias("first"))
     points = stage(points.withColumn("cid", F.monotonically_increasing_id()), "points")
     root = F.concat_ws(":", F.hex("label"), F.octet_length("v"))
     tree = _grow(points.select("cid", root.alias("node"), "v", "n"), leaf)
-    leaves = stage(tree.groupBy("node").applyInArrow(_pack, "node string, centre binary, radius double, cids array<long>, ns array<long>, vs binary"), "leaves")
-    pairs = _traverse(leaves, reach)
+    tree = stage(_together(tree, leaf), "leaves")
+    pairs = _traverse(tree.select("node", "v").groupBy("node").applyInArrow(_bounds, "node string, centre binary, radius double"), reach)
     alone = F.col("vec_id").alias("component_id")
     loners = rows.where("v IS NULL").select("vec_id", F.lit(0).cast("long").alias("n_links"), alone)
     if pairs is None:
         return loners.withColumn("kept", F.lit(True))
-    side = lambda s: leaves.select(F.col("node").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("cids", "ns", "vs")])
+    side = lambda at, end: pairs.join(tree.withColumnRenamed("node", end), end).select("a", "b", F.lit(at).alias("side"), "cid", "v", "n")
     run, schema = _join_leaves(reach, cosine)
-    found = stage(pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, schema), "links")
+    found = stage(side(0, "a").unionByName(side(1, "b").where("a <> b")).groupBy("a", "b").applyInArrow(run, schema), "links")
     roots = components(found, "cid", "root")
     counts = found.groupBy("cid").agg(F.sum("links").alias("links"))
     joined = points.select("cid", "label", "v", "n", "first").join(counts, "cid", "left").join(roots.withColumnRenamed("node", "cid"), "cid", "left") \
