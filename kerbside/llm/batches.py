@@ -6,7 +6,7 @@ import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 #: Bytes of text that a task works on at once; one longer text is a chunk of its own.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 
 def pick(df, id_col="doc_id", text_col="text", **more):

@@ -206,8 +206,9 @@ def shared_sets(docs, percent):
     ask, row = _asker(parts, id_type)
     answer, _ = _answerer(id_type)
     gather, out = _gatherer(id_type, percent)
-    asked = docs.mapInArrow(ask, row).repartition("part").sortWithinPartitions("part")
-    answered = asked.mapInArrow(answer, row).repartition("chunk").sortWithinPartitions("chunk")
+    # As many tasks as parts, so that what a task holds at once stays near PART_BYTES.
+    asked = docs.mapInArrow(ask, row).repartition(parts, "part").sortWithinPartitions("part")
+    answered = asked.mapInArrow(answer, row).repartition(parts, "chunk").sortWithinPartitions("chunk")
     return answered.mapInArrow(gather, out)
 
 

@@ -7,7 +7,7 @@ BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 
 #: Pieces kept before a cache starts anew, and their characters.
-CACHE_PIECES, CACHE_CHARS = 900_000, 24_000_000
+CACHE_PIECES, CACHE_CHARS = 500_000, 16_000_000
 
 
 def mix(x):
