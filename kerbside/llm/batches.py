@@ -48,7 +48,7 @@ def id_field(df):
     return pa.field("doc_id", to_arrow_type(df.schema["doc_id"].dataType))
 
 
-def map_texts(df, work, fields):
+def map_texts(df, work, fields, size=CHUNK_BYTES):
     """Apply ``work(chunk) -> dict of columns`` to chunks of a table from :func:`pick`; one row out per row in.
 
     ``doc_id`` is carried over with its type; ``fields`` are the Arrow fields of the other columns.
@@ -57,7 +57,7 @@ def map_texts(df, work, fields):
     schema = pa.schema([id_field(df), *fields])
 
     def run(batches):
-        for batch in chunks(batches):
+        for batch in chunks(batches, size):
             yield emit(schema, doc_id=batch.column(batch.schema.get_field_index("doc_id")).cast(schema.field("doc_id").type), **work(batch))
 
     return df.mapInArrow(run, from_arrow_schema(schema))

@@ -1,21 +1,24 @@
 """Language identification by interpolated Kneser-Ney character models, one per language.
 
-Counts of character n-grams are taken over all learning rows by a distributed aggregation. A model is a set of sorted
-key arrays, one per order, with the interpolated log-probability of each n-gram and the back-off weight of each
+Counts of character n-grams are taken over all learning rows by a distributed aggregation, and models are fitted from all
+of them, in pieces and as Spark tasks. A model is a set of sorted key arrays, one per order, with the interpolated log-probability of each n-gram and the back-off weight of each
 context; lookups are binary searches over the distinct n-grams of a batch. The language with the lowest cross-entropy
 per character wins. A text that even its best model finds stranger than practically every learning text is rejected;
 the limit is calibrated on learning texts and widens for short ones.
 """
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from kerbside.llm.batches import chunks, emit, map_texts, pick, texts_of
+from kerbside.functions.ordered import quantiles
+from kerbside.llm.batches import CHUNK_BYTES, chunks, emit, map_texts, pick, texts_of
 from kerbside.llm.bpe import LETTER, classes
 from kerbside.llm.wordcache import code_points
+from kerbside.session import stage
 
 ORDER = 4
 UNKNOWN = "und"
@@ -110,19 +113,30 @@ class Model:
         return out
 
 
-def kneser_ney(grams, n, alphabet=256):
-    """The interpolated model of one language from its distinct highest-order n-grams and their counts."""
+def discount_of(ones, twos):
+    """The absolute discount of one order, from how many of its n-grams have counts of one and of two."""
+    return min(0.95, max(0.1, ones / (ones + 2 * twos) if ones else 0.5))
+
+
+def kneser_ney(grams, n, alphabet=256, unigrams=None, discounts=None):
+    """The interpolated model of one language from its distinct highest-order n-grams and their counts.
+
+    With ``unigrams`` (keys and continuation counts) and ``discounts`` by order, both of the whole language, ``grams``
+    may be a part of it that holds all n-grams of some last character but one: whatever orders 2 and up need has the
+    same one, so the parts together equal the model of the whole.
+    """
     keys, counts = [None] * (ORDER + 1), [None] * (ORDER + 1)
     order = np.argsort(grams)
     keys[ORDER], counts[ORDER] = grams[order], n[order].astype(float)
     for k in range(ORDER - 1, 0, -1):  # continuation counts: distinct characters before
         keys[k], c = np.unique(keys[k + 1] & np.uint64((1 << (16 * k)) - 1), return_counts=True)
         counts[k] = c.astype(float)
+    if unigrams is not None:
+        keys[1], counts[1] = unigrams
     floor = 1.0 / (len(keys[1]) + alphabet)
     probability, logs, contexts, weights = [None] * (ORDER + 1), [None] * (ORDER + 1), [None] * (ORDER + 1), [None] * (ORDER + 1)
     for k in range(1, ORDER + 1):
-        ones, twos = (counts[k] == 1).sum(), (counts[k] == 2).sum()
-        discount = min(0.95, max(0.1, ones / (ones + 2 * twos) if ones else 0.5))
+        discount = discounts[k] if discounts else discount_of((counts[k] == 1).sum(), (counts[k] == 2).sum())
         contexts[k], first, inverse = np.unique(keys[k] >> _BITS, return_index=True, return_inverse=True)
         total, kinds = np.bincount(inverse, weights=counts[k]), np.bincount(inverse)
         weight = discount * kinds / total
@@ -136,11 +150,31 @@ def kneser_ney(grams, n, alphabet=256):
     return Model(keys, logs, contexts, weights, float(np.log(floor)))
 
 
+def _merged(models):
+    """One model from parts of the same language; all have its unigrams."""
+    if len(models) == 1:
+        return models[0]
+    out = Model([None], [None], [None], [None], models[0].floor)
+    for names in (("keys", "logs"), ("contexts", "weights")):
+        for k in range(1, ORDER + 1):
+            key, value = (np.concatenate([getattr(m, n)[k] for m in (models if k > 1 else models[:1])]) for n in names)
+            order = np.argsort(key)
+            for n, x in zip(names, (key, value)):
+                getattr(out, n).append(x[order])
+    return out
+
+
 @dataclass
 class Identifier:
-    """Models by language and the calibrated limits: usual cross-entropy and how far a text may lie above it."""
+    """Models by language and the calibrated limits: usual cross-entropy and how far a text may lie above it.
+
+    A block is a broadcast list of ``(language number, the last characters but one that the model is for, model)``;
+    of several blocks one at a time is in memory. A language without calibration rows has an infinite usual
+    cross-entropy: nothing is rejected for it.
+    """
 
-    models: dict
+    names: list
+    blocks: list
     usual: dict
     reach: float = float("inf")
 
@@ -149,11 +183,21 @@ class Identifier:
         keys, owner, letters = stream(texts)
         grams, inverse = np.unique(keys, return_inverse=True)
         size = np.bincount(owner, minlength=len(texts))
-        out = np.zeros((len(texts), len(self.models)))
-        for j, model in enumerate(self.models.values()):
-            out[:, j] = -np.bincount(owner, weights=model.log_probability(grams)[inverse], minlength=len(texts))
+        middle = (grams >> _BITS & np.uint64(0xFFFF)).astype(np.int64)
+        out = np.zeros((len(texts), len(self.names)))
+        for block in self.blocks:
+            for j, covers, model in block.value:
+                logs, own = np.zeros(len(grams)), covers[middle]
+                logs[own] = model.log_probability(grams[own])
+                out[:, j] -= np.bincount(owner, weights=logs[inverse], minlength=len(texts))
+            if len(self.blocks) > 1:
+                vars(block).pop("_value", None)
         return out / np.maximum(size, 1)[:, None], size, letters
 
+    def chunk_bytes(self):
+        """Bytes of text to score at once; more when every chunk loads the blocks anew."""
+        return CHUNK_BYTES * (4 if len(self.blocks) > 1 else 1)
+
     def excess(self, best, value, size):
         """How far the cross-entropy lies above the usual one, in units that allow more for short texts."""
         usual = np.array(list(self.usual.values()))
@@ -161,58 +205,151 @@ class Identifier:
 
     def predict(self, texts):
         """``(languages, scores, rejected)``; the score is the posterior of the winner under a root-of-length scale."""
-        if not texts or not self.models:
+        if not texts or not self.names:
             return [UNKNOWN] * len(texts), [0.0] * len(texts), [True] * len(texts)
         entropy, size, letters = self.entropies(texts)
         best = entropy.argmin(axis=1)
         value = entropy[np.arange(len(texts)), best]
         score = 1 / np.exp((value[:, None] - entropy) * np.sqrt(np.maximum(size, 1))[:, None]).sum(axis=1)
         strange = self.excess(best, value, size) > self.reach
-        names = list(self.models)
         none = letters == 0
-        return ([UNKNOWN if n else names[b] for n, b in zip(none, best)], np.where(none, 0.0, score).tolist(), (none | strange).tolist())
-
-
-def train(df, sample=3000, reject=0.0005, slack=1.5, max_grams=4_000_000, id_col="doc_id", text_col="text", lang_col="lang"):
+        return ([UNKNOWN if n else self.names[b] for n, b in zip(none, best)], np.where(none, 0.0, score).tolist(), (none | strange).tolist())
+
+
+def _levels(counts):
+    """n-grams of every order as ``lang, k, gram, n, m``: counts of the highest order, continuation counts below it."""
+    out = {ORDER: counts.select("lang", F.lit(ORDER).alias("k"), "gram", "n", "m")}
+    for k in range(ORDER - 1, 0, -1):
+        short = F.col("gram").bitwiseAND(F.lit((1 << (16 * k)) - 1)).alias("gram")
+        out[k] = stage(out[k + 1].groupBy("lang", short).agg(F.count("*").alias("n"), F.count_if(F.col("m") > 0).alias("m"))
+                       .select("lang", F.lit(k).alias("k"), "gram", "n", "m"), "grams")
+    return out
+
+
+def _fitter(unigrams, discounts):
+    """The models of a part of a language, of all rows (half -1) and of the first half (0)."""
+    def run(keys, table):
+        lang, grams = table.column("lang")[0].as_py(), table.column("gram").to_numpy().view(np.uint64)
+        halves, blobs = [], []
+        for half, name in ((-1, "n"), (0, "m")):
+            n = table.column(name).to_numpy()
+            if (n > 0).any():
+                halves.append(half)
+                blobs.append(pickle.dumps(kneser_ney(grams[n > 0], n[n > 0], unigrams=unigrams[lang, half], discounts=discounts[lang, half])))
+        return pa.table({"piece": pa.array([keys[0].as_py()] * len(halves), pa.int32()), "half": pa.array(halves, pa.int32()), "model": pa.array(blobs, pa.binary())})
+    return run
+
+
+def fit(counts, piece_grams, block_grams):
+    """Identifiers without limits, of all rows and of the first half, from ``lang, gram, n, m`` (a staged table).
+
+    Discounts and unigrams are aggregates over all counts. Everything else of a model needs only n-grams of the same
+    last character but one, so languages are cut by it into pieces of about ``piece_grams``, which are fitted as tasks
+    of their own. Pieces are packed to blocks of about ``block_grams``; one block at a time comes to the driver.
+    """
+    spark = counts.sparkSession
+    middle = F.shiftright("gram", 16).bitwiseAND(F.lit(0xFFFF)).cast("int").alias("middle")
+    cells = counts.groupBy("lang", middle).agg(F.count("*").alias("size")).toArrow().sort_by([("lang", "ascending"), ("middle", "ascending")])
+    langs, middles, sizes = cells.column("lang").to_pylist(), cells.column("middle").to_numpy(), cells.column("size").to_numpy()
+    names = list(dict.fromkeys(langs))
+    if not names:
+        return Identifier([], [], {}), Identifier([], [], {})
+    pieces, members = np.zeros(len(langs), np.int32), []  # per piece: language, size, cells
+    for i, (lang, size) in enumerate(zip(langs, sizes.tolist())):
+        if not members or members[-1][0] != lang or members[-1][1] + size > piece_grams:
+            members.append([lang, 0, []])
+        members[-1][1] += size
+        members[-1][2].append(i)
+        pieces[i] = len(members) - 1
+    blocks, room = [], 0
+    for p, (_, size, _) in enumerate(members):
+        if not blocks or size > room:
+            blocks.append([])
+            room = block_grams
+        blocks[-1].append(p)
+        room -= size
+    levels = _levels(counts)
+    kinds = [F.count_if(F.col(c) == v).alias(f"{c}{v}") for c in "nm" for v in (1, 2)]
+    several = levels[1]
+    for k in range(2, ORDER + 1):
+        several = several.unionByName(levels[k])
+    seen = {(r.lang, r.k): r for r in several.groupBy("lang", "k").agg(*kinds).collect()}
+    discounts = {(g, h): [None, *(discount_of(seen[g, k][f"{c}1"], seen[g, k][f"{c}2"]) for k in range(1, ORDER + 1))] for g in names for h, c in ((-1, "n"), (0, "m"))}
+    letters = levels[1].toArrow().sort_by("gram")
+    owner, unigrams = np.array(letters.column("lang").to_pylist(), object), {}
+    for g in names:
+        key = letters.column("gram").to_numpy()[owner == g].view(np.uint64)
+        for h, c in ((-1, "n"), (0, "m")):
+            n = letters.column(c).to_numpy()[owner == g].astype(float)
+            unigrams[g, h] = (key[n > 0], n[n > 0])
+    where = spark.createDataFrame(pa.table({"lang": cells.column("lang"), "middle": middles, "piece": pieces}))
+    placed = counts.withColumn("middle", middle).join(where, ["lang", "middle"]).select("piece", "lang", "gram", "n", "m")
+    fitted = stage(placed.groupBy("piece").applyInArrow(_fitter(unigrams, discounts), "piece int, half int, model binary"), "models")
+    made = {(r.piece, r.half) for r in fitted.select("piece", "half").collect()}
+    return tuple(_ship(spark, fitted, names, members, middles, blocks, half, made) for half in (-1, 0))
+
+
+def _ship(spark, fitted, names, members, middles, blocks, half, made):
+    """The fitted pieces of one half as an identifier; one block at a time is in the driver's memory."""
+    cover, known = {}, []
+    for p, (g, _, cells) in enumerate(members):
+        if (p, half) in made:
+            cover[p] = np.zeros(1 << 16, bool)
+            cover[p][middles[cells]] = True
+            known += [] if known[-1:] == [g] else [g]
+    for g in known:  # what a language has never seen as the last character but one falls to its unigrams, in any one piece
+        own = [cover[p] for p in cover if members[p][0] == g]
+        own[0] |= ~np.logical_or.reduce(own)
+    sent = []
+    for block in blocks:
+        rows = fitted.where((F.col("half") == half) & F.col("piece").between(block[0], block[-1])).toArrow().sort_by("piece")
+        held = {}
+        for p, blob in zip(rows.column("piece").to_pylist(), rows.column("model").to_pylist()):
+            held.setdefault(members[p][0], []).append((cover[p], pickle.loads(blob)))
+        if held:
+            sent.append(spark.sparkContext.broadcast([(known.index(g), np.logical_or.reduce([c for c, _ in own]), _merged([m for _, m in own])) for g, own in held.items()]))
+    return Identifier(known, sent, dict.fromkeys(known, float("inf")))
+
+
+def train(df, sample=3000, reject=0.0005, slack=1.5, piece_grams=500_000, block_grams=4_000_000, id_col="doc_id", text_col="text", lang_col="lang"):
     """Learn from all rows with a text and a language.
 
-    n-gram counts cover every row. A model of more than ``max_grams`` n-grams keeps the most frequent; lower orders
-    stand in for the others, so what is sent to the executors is bounded. The limit of rejection comes from models of
-    one half of the rows and at most ``sample`` rows of the other, chosen by the hash of their id: a share ``reject`` of
-    them lies beyond it, and it is then widened by ``slack``.
+    n-gram counts and models cover every row and every n-gram; see :func:`fit` for the bounds, which change what is
+    held at once and not the models. The limit of rejection comes from models of one half of the rows, by the hash of
+    their id, and at most ``sample`` rows of the other: a language's usual cross-entropy is the median of the rows that it wins, of 50
+    characters and more where there are any; a share ``reject`` of the rows lies beyond the limit, and it is then
+    widened by ``slack``. A language that wins none of these rows has no limit, so nothing is rejected for it.
     """
+    spark = df.sparkSession
     rows = pick(df, id_col, text_col, lang=lang_col).where("text IS NOT NULL AND lang IS NOT NULL")
     half = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(2)).cast("int")
     counts = rows.select("lang", half.alias("half"), "text").mapInArrow(count_rows, "lang string, half int, gram long, n long") \
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("half") == 0, F.col("n")).otherwise(0)).alias("m"))
-    table = counts.orderBy(F.desc("n"), "lang", "gram").limit(max_grams).toArrow()
-    langs, grams, n, m = (table.column(c).to_numpy(zero_copy_only=False) for c in ("lang", "gram", "n", "m"))
-    grams = grams.astype(np.int64).view(np.uint64)
-    names = [str(k) for k in sorted(set(langs))]
-    found = Identifier({k: kneser_ney(grams[langs == k], n[langs == k]) for k in names}, dict.fromkeys(names, 0.0))
-    first = {k: kneser_ney(grams[own], m[own]) for k in names if (own := (langs == k) & (m > 0)).any()}
-    if not first:
+    found, first = fit(stage(counts, "counts"), piece_grams, block_grams)
+    if not first.names:
         return found
-    other = rows.where(half == 1).where("doc_id IS NOT NULL")
-    chosen = [r[0] for r in other.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()]
-    shared = df.sparkSession.sparkContext.broadcast(Identifier(first, dict.fromkeys(first, 0.0)))
+    at = np.array([found.names.index(g) for g in first.names])
 
     def figures(batches):
-        for batch in chunks(batches):
-            entropy, size, letters = shared.value.entropies(texts_of(batch))
+        for batch in chunks(batches, first.chunk_bytes()):
+            entropy, size, letters = first.entropies(texts_of(batch))
             best = entropy.argmin(axis=1)
             use = letters > 0
-            yield pa.RecordBatch.from_pydict({"best": best[use], "value": entropy[np.arange(len(best)), best][use], "size": size[use]})
-
-    seen = other.where(F.col("doc_id").isin(chosen)).select("text").mapInArrow(figures, "best long, value double, size long").toPandas()
-    seen["best"] = [names.index(list(first)[b]) for b in seen["best"]]
-    for j, name in enumerate(names):
-        own = seen[(seen["best"] == j) & (seen["size"] >= 50)]
-        own = own if len(own) else seen[seen["best"] == j] if (seen["best"] == j).any() else seen
-        found.usual[name] = float(own["value"].median()) if len(own) else 0.0
-    if len(seen):
-        excess = found.excess(seen["best"].to_numpy(), seen["value"].to_numpy(), seen["size"].to_numpy())
-        found.reach = float(max(np.quantile(excess, 1 - reject), LEAST_REACH) * slack)
+            yield pa.RecordBatch.from_pydict({"best": at[best[use]], "value": entropy[np.arange(len(best)), best][use], "size": size[use]})
+
+    other = rows.where(half == 1).where("doc_id IS NOT NULL")
+    chosen = [r[0] for r in other.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()]
+    seen = stage(other.where(F.col("doc_id").isin(chosen)).select("text").mapInArrow(figures, "best long, value double, size long"), "entropies")
+    for block in first.blocks:
+        block.destroy()
+    for some in (seen, seen.where("size >= 50")):
+        for r in quantiles(some, "value", {"usual": 0.5}, by=["best"]).collect():
+            found.usual[found.names[r.best]] = r.usual
+    usual = spark.createDataFrame([(j, u) for j, u in enumerate(found.usual.values()) if u < float("inf")], "best long, usual double")
+    excess = seen.join(F.broadcast(usual), "best").select(((F.col("value") - F.col("usual")) / (1 + 20 / F.greatest("size", F.lit(1)))).alias("excess"))
+    limit = quantiles(excess, "excess", {"limit": 1 - reject}).first()
+    if limit is not None and limit[0] is not None:
+        found.reach = float(max(limit[0], LEAST_REACH) * slack)
     return found
 
 
@@ -222,22 +359,19 @@ def identify(df, identifier, id_col="doc_id", text_col="text"):
     Null, empty and letterless texts are ``und`` with score 0 and rejected; of equal cross-entropies the first
     language by name wins; without a learned language all is ``und``. No other column is read; no shuffle.
     """
-    shared = df.sparkSession.sparkContext.broadcast(identifier)
-
     def work(batch):
-        langs, scores, rejected = shared.value.predict(texts_of(batch))
+        langs, scores, rejected = identifier.predict(texts_of(batch))
         return {"lang_pred": langs, "score": scores, "rejected": rejected}
 
-    return map_texts(pick(df, id_col, text_col), work, [pa.field("lang_pred", pa.string()), pa.field("score", pa.float64()), pa.field("rejected", pa.bool_())])
+    fields = [pa.field("lang_pred", pa.string()), pa.field("score", pa.float64()), pa.field("rejected", pa.bool_())]
+    return map_texts(pick(df, id_col, text_col), work, fields, identifier.chunk_bytes())
 
 
 def keep_identified(df, identifier, text_col="text"):
     """All columns of the rows whose text is not rejected."""
-    shared = df.sparkSession.sparkContext.broadcast(identifier)
-
     def run(batches):
-        for batch in chunks(batches, text=text_col):
-            yield batch.filter(pa.array(~np.array(shared.value.predict(texts_of(batch, text_col))[2], bool)))
+        for batch in chunks(batches, identifier.chunk_bytes(), text=text_col):
+            yield batch.filter(pa.array(~np.array(identifier.predict(texts_of(batch, text_col))[2], bool)))
 
     return df.mapInArrow(run, df.schema)
 

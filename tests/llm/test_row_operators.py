@@ -264,6 +264,25 @@ def test_language_tables(spark):
     assert {r.lang_pred for r in langid.identify(asked, none).collect()} == {"und"}
 
 
+def test_language_models_of_all_counts(spark):
+    """A small language beside a large one, in many pieces and blocks: as the model of its own counts."""
+    draw = random.Random(2)
+    large = [(i, "".join(draw.choice(string.ascii_lowercase + " ") for _ in range(200)), "aa") for i in range(200)]
+    small = [(1000 + i, draw.choice(["žluťoučký kůň úpěl", "příliš žluťoučký"]), "zz") for i in range(8)]
+    docs = spark.createDataFrame([*large, *small], "doc_id long, text string, lang string")
+    asked = ["žluťoučký kůň", "příliš", "qqq xyz abc", "日本 unseen", "a"]
+    whole = []
+    for lang in ("aa", "zz"):
+        keys, _, _ = langid.stream([t for _, t, own in [*large, *small] if own == lang])
+        whole.append(langid.kneser_ney(*np.unique(keys, return_counts=True)))
+    want = np.array([[-m.log_probability(np.sort(k)).mean() for m in whole] for k in (langid.stream([t])[0] for t in asked)])
+    for bounds in ({}, {"piece_grams": 300, "block_grams": 1000}):
+        model = langid.train(docs, **bounds)
+        assert model.names == ["aa", "zz"] and (len(model.blocks) > 3) == bool(bounds)
+        assert np.allclose(model.entropies(asked)[0], want)
+        assert [r.lang_pred for r in langid.identify(docs.where("lang = 'zz'"), model).collect()] == ["zz"] * 8
+
+
 # --- decontamination --------------------------------------------------------
 
 
