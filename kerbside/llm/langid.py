@@ -311,12 +311,12 @@ def _ship(spark, fitted, names, members, middles, blocks, half, made):
     return Identifier(known, sent, dict.fromkeys(known, float("inf")))
 
 
-def train(df, sample=3000, reject=0.0005, slack=1.5, piece_grams=500_000, block_grams=4_000_000, id_col="doc_id", text_col="text", lang_col="lang"):
+def train(df, reject=0.0005, slack=1.5, piece_grams=500_000, block_grams=4_000_000, id_col="doc_id", text_col="text", lang_col="lang"):
     """Learn from all rows with a text and a language.
 
     n-gram counts and models cover every row and every n-gram; see :func:`fit` for the bounds, which change what is
     held at once and not the models. The limit of rejection comes from models of one half of the rows, by the hash of
-    their id, and at most ``sample`` rows of the other: a language's usual cross-entropy is the median of the rows that it wins, of 50
+    their id, and all rows of the other: a language's usual cross-entropy is the median of the rows that it wins, of 50
     characters and more where there are any; a share ``reject`` of the rows lies beyond the limit, and it is then
     widened by ``slack``. A language that wins none of these rows has no limit, so nothing is rejected for it.
     """
@@ -337,9 +337,7 @@ def train(df, sample=3000, reject=0.0005, slack=1.5, piece_grams=500_000, block_
             use = letters > 0
             yield pa.RecordBatch.from_pydict({"best": at[best[use]], "value": entropy[np.arange(len(best)), best][use], "size": size[use]})
 
-    other = rows.where(half == 1).where("doc_id IS NOT NULL")
-    chosen = [r[0] for r in other.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()]
-    seen = stage(other.where(F.col("doc_id").isin(chosen)).select("text").mapInArrow(figures, "best long, value double, size long"), "entropies")
+    seen = stage(rows.where(half == 1).select("text").mapInArrow(figures, "best long, value double, size long"), "entropies")
     for block in first.blocks:
         block.destroy()
     for some in (seen, seen.where("size >= 50")):

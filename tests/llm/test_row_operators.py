@@ -283,6 +283,27 @@ def test_language_models_of_all_counts(spark):
         assert [r.lang_pred for r in langid.identify(docs.where("lang = 'zz'"), model).collect()] == ["zz"] * 8
 
 
+def test_language_without_calibration_rejects_nothing(spark):
+    """All rows of a small language fall in the half that models learn from; none in the other."""
+    half = lambda n: [r.id for r in spark.range(4000).where("pmod(xxhash64(1, id), 2) = 0").limit(n).collect()]
+    cjk = "".join(chr(0x4E00 + 7 * i) for i in range(90))
+    rows = [(i, "the thing with that is it and so on", "en") for i in range(5000, 5060)] + [(i, cjk[5 * k:5 * k + 40], "zh") for k, i in enumerate(half(10))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    assert model.usual["zh"] == float("inf") and model.usual["en"] < 5
+    asked = spark.createDataFrame([(1, cjk[::-1])], "doc_id long, text string")
+    assert [(r.lang_pred, r.rejected) for r in langid.identify(asked, model).collect()] == [("zh", False)]
+
+
+def test_language_calibration_reads_all_rows(spark):
+    """One language has less than one row in 3,000, some of them held back."""
+    cjk = [chr(0x4E00 + 31 * i) for i in range(600)]
+    draw = random.Random(5)
+    rows = [(i, "the thing with that is it", "en") for i in range(12_000)] + [(20_000 + i, "".join(draw.choice(cjk) for _ in range(60)), "zh") for i in range(6)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.usual["en"] + 1 < model.usual["zh"] < float("inf")
+
+
 # --- decontamination --------------------------------------------------------
 
 
