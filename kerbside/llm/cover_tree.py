@@ -14,10 +14,13 @@ from pyspark.sql import Window, functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
 from kerbside.llm.graph import components
+from kerbside.llm.wordcache import mix
 from kerbside.session import stage
 
 #: Points of a leaf, points of the sample that a larger node is split by, and children of a split at least.
 LEAF, SAMPLE, CHILDREN = 1024, 256, 32
+#: Nodes of at most this radius are not split by distance: what :func:`distances` gives for equal directions is up to some 1e-7.
+NOISE = 1e-6
 
 
 def distances(a, b):
@@ -36,6 +39,7 @@ def net(points, radius, most=None):
             return None
         chosen.append(far)
         nearest = np.minimum(nearest, distances(points[far:far + 1], points)[0])
+        nearest[far] = -1.0  # never again, whatever its computed distance to itself
 
 
 class Node:
@@ -47,12 +51,14 @@ class Node:
         self.at, self.centre, self.children = at, points[at[0]], []
         gap = distances(self.centre[None], points[at])[0]
         self.radius = float(gap.max())
-        if len(at) > small and self.radius > 1e-9:
+        if len(at) > small and self.radius > NOISE:
             own = points[at]
             chosen = net(own, self.radius / 2, most=len(at) // 4)
             if chosen and len(chosen) > 1:
                 nearest = distances(own, own[chosen]).argmin(axis=1)
-                self.children = [Node(points, at[nearest == k], small) for k in range(len(chosen))]
+                parts = [at[nearest == k] for k in range(len(chosen))]
+                parts = [part for part in parts if len(part)]
+                self.children = [Node(points, part, small) for part in parts] if len(parts) > 1 else []
 
 
 def links(p, q, reach, cosine):
@@ -90,7 +96,11 @@ def labels_of(matrix, same):
 
 
 def _vectors(batches):
-    """Valid vectors as bytes, single precision if the column is, with the width of a number first; the others as null."""
+    """Valid vectors as bytes, single precision if the column is, with the width of a number first; the others as null.
+
+    Vectors are scaled by a power of two, where no digit is lost, so that copies scaled like that are equal bytes; the
+    unit vectors that are compared are the same.
+    """
     schema = pa.schema([("vec_id", pa.int64()), ("label", pa.string()), ("v", pa.binary())])
     for batch in batches:
         out, kind = [], np.float32 if batch.schema.field(2).type.value_type == pa.float32() else np.float64
@@ -100,6 +110,11 @@ def _vectors(batches):
                 v = np.asarray(values, np.float64)
                 top = np.abs(v).max()
                 if np.isfinite(top) and top > 0:
+                    power = int(np.frexp(top)[1])
+                    with np.errstate(all="ignore"):
+                        scaled = np.ldexp(v, -power).astype(kind)
+                        if (np.ldexp(scaled.astype(np.float64), power) == v).all():
+                            v = scaled
                     found = bytes([np.dtype(kind).itemsize]) + v.astype(kind).tobytes()
             out.append(found)
         yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), batch.column(1), pa.array(out, pa.binary())], schema=schema)
@@ -116,11 +131,14 @@ def _matrix(blobs):
 
 
 def _split(keys, table):
-    """Child centres of one node from a sample of its points: a net of half its reach, or of as small a part of it as gives some children."""
+    """Child centres of one node from a sample of its points: a net of half its reach, or of as small a part of it as gives some children.
+
+    A single centre says that the sample has one direction, up to noise.
+    """
     blobs = table.column("v").to_pylist()
     points = _matrix(blobs)
     radius, chosen = float(distances(points[:1], points).max()) / 2, [0]
-    while len(points) > 1 and radius > 1e-12:
+    while len(points) > 1 and radius > NOISE:
         chosen = net(points, radius)
         if len(chosen) >= min(CHILDREN, len(points)):
             break
@@ -130,12 +148,16 @@ def _split(keys, table):
 
 
 def _descend(keys, left, right):
-    """Points of a part of a node go below the nearest centre."""
+    """Points of a part of a node go below the nearest centre; of a node with a single one they are dealt to leaves by hash."""
     if not left.num_rows:
         return pa.table({"cid": pa.array([], pa.int64()), "node": pa.array([], pa.string()), "v": pa.array([], pa.binary()), "n": pa.array([], pa.int64())})
     right = right.sort_by("child")
-    nearest = distances(_matrix(left.column("v").to_pylist()), _matrix(right.column("centre").to_pylist())).argmin(axis=1)
     node = keys[0].as_py()
+    if right.num_rows == 1:
+        depth = np.uint64(node.count("/") + 1)  # another deal on every level
+        nearest = (mix(mix(left.column("cid").to_numpy().astype(np.uint64)) + depth) % np.uint64(right.column("deal")[0].as_py())).astype(np.int64)
+    else:
+        nearest = distances(_matrix(left.column("v").to_pylist()), _matrix(right.column("centre").to_pylist())).argmin(axis=1)
     return pa.table({"cid": left.column("cid"), "node": pa.array([f"{node}/{k}" for k in nearest.tolist()]), "v": left.column("v"), "n": left.column("n")})
 
 
@@ -149,14 +171,14 @@ def _grow(points, leaf):
         large = points.join(sizes, "node")
         share = F.lit(float(SAMPLE)) / F.col("size")
         drawn = F.pmod(F.xxhash64("cid"), F.lit(1 << 30)) < share * F.lit(float(1 << 30))
-        # Two different points of every node are in its sample, so each split makes progress.
+        # Two different points of every node are in its sample; with one direction only, the node is dealt out by hash.
         least = large.groupBy("node").agg(F.min(F.struct(F.xxhash64("cid").alias("r"), "v")).alias("m"), F.max(F.struct(F.xxhash64("cid").alias("r"), "v")).alias("x"))
         ends = least.select("node", F.explode(F.array("m.v", "x.v")).alias("v"))
         sample = large.where(drawn).select("node", "v").unionByName(ends)
         centres = stage(sample.groupBy("node").applyInArrow(_split, "node string, child int, centre binary"), "centres")
         parts = F.ceil(F.col("size") / F.lit(4 * leaf)).cast("int")
         moving = large.select("cid", "node", "v", "n", F.pmod(F.xxhash64("cid", F.lit(1)), parts).cast("int").alias("part"))
-        copies = centres.join(sizes, "node").select("node", "child", "centre", F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+        copies = centres.join(sizes, "node").select("node", "child", "centre", F.ceil(F.col("size") * 2 / F.lit(leaf)).cast("long").alias("deal"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
         moved = moving.groupBy("node", "part").cogroup(copies.groupBy("node", "part")).applyInArrow(_descend, "cid long, node string, v binary, n long")
         points = stage(points.join(sizes, "node", "left_anti").select("cid", "node", "v", "n").unionByName(moved), "points")
 

@@ -142,6 +142,25 @@ def test_cover_tree_like_brute_force(spark):
     assert cover_tree.near_duplicates(df.limit(0)).collect() == []
 
 
+def test_cover_tree_of_rescaled_copies(spark):
+    """More copies of a direction than a leaf holds, by powers of two and by other factors, beside a few other vectors."""
+    rows = [(k, [float(k + 1) * x for x in (0.3, -1.7, 2.9, 0.1)], 0) for k in range(150)] + [(300 + k, [2.0**k * x for x in (1.1, 0.2, -0.4, 5.0)], 0) for k in range(-60, 60)]
+    rows += [(400 + k, [1.0, 0.3 * k, -1.0, 0.0], 0) for k in range(5)]
+    unit = {i: np.asarray(v) / np.linalg.norm(v) for i, v, _ in rows}
+    links = [(i, j) for i in unit for j in unit if i != j and unit[i] @ unit[j] >= 0.93]
+    least = classes(links, list(unit))
+    found = {r.vec_id: (r.n_links, r.component_id) for r in cover_tree.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), leaf=20).collect()}
+    assert found == {i: (sum(a == i for a, _ in links), least[i]) for i in unit}
+
+
+def test_net_of_equal_directions_ends():
+    points = np.random.default_rng(3).normal(size=(1, 64)) * np.arange(1, 400)[:, None]
+    points = points / np.linalg.norm(points, axis=1, keepdims=True)
+    chosen = cover_tree.net(points, 0.0)
+    assert len(chosen) == len(set(chosen))
+    assert cover_tree.links(points, points, 0.1, 0.995).all()
+
+
 def test_dual_traversal_is_exact():
     rng = np.random.default_rng(5)
     points = np.concatenate([rng.normal(size=(1, 8)) + rng.normal(size=(60, 8)) * s for s in (0.01, 0.2, 1.0)])
