@@ -1,7 +1,7 @@
 """Personal data: exact patterns, and a linear-chain conditional random field over word shapes for other forms.
 
 The patterns give the base spans. The field is trained from a small labelled table: windows around pattern matches of a
-bounded sample of documents, the same windows with the value written in another form, and clean windows. A token
+bounded sample of the texts that have any, by kind, the same windows with the value written in another form, and clean windows. A token
 without a digit and without ``@`` can only be labelled as outside, so runs of the other tokens are sequences of their
 own, and Viterbi decodes them together in numpy batches; the labels are those of decoding whole texts.
 """
@@ -9,13 +9,15 @@ own, and Viterbi decodes them together in numpy batches; the labels are those of
 import hashlib
 import random
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from kerbside.llm.batches import map_texts, pick, texts_of
+from kerbside.llm.batches import chunks, map_texts, pick, texts_of
+from kerbside.session import stage
 
 # The kinds in their order, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -308,22 +310,51 @@ def ordinary_windows():
 
 
 def train(df, sample=2000, id_col="doc_id", text_col="text"):
-    """A field from at most ``sample`` documents, taken by the hash of their id; None when they hold no match.
+    """A field from at most ``sample`` distinct texts: as many for each kind that have a match of it, and for none.
 
-    The bound keeps what reaches the driver small whatever the table holds.
+    Matches are looked for in all documents, so a kind that the table holds anywhere is labelled however rare it is;
+    within a kind texts are taken by their hash, and so are windows, of which there are four per text at most. The
+    bounds keep what reaches the driver small whatever the table holds. A kind without any match is not learned; None
+    when there is no match at all.
     """
-    docs = pick(df, id_col, text_col).where("doc_id IS NOT NULL AND text IS NOT NULL")
-    # Ids alone are sorted; the texts of the chosen are cut to windows on the executors.
-    chosen = [r[0] for r in docs.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect()]
-    windows = docs.where(F.col("doc_id").isin(chosen)).where(F.col("text").rlike("[0-9@]")).mapInPandas(_window_rows, "tokens array<string>, labels array<int>")
-    rows = [(list(r.tokens), list(r.labels)) for r in windows.orderBy(F.xxhash64("tokens"), F.to_json("tokens"), F.to_json("labels")).limit(4 * sample).collect()]
-    return fit(rows + ordinary_windows()) if rows else None
+    docs = pick(df, id_col, text_col).where("text IS NOT NULL").select("text", F.xxhash64("text").alias("h"))
+    each = max(1, sample // (len(KINDS) + 1))
+    # A task answers with the first hashes of each kind; the texts of the chosen are cut to windows on the executors.
+    first = stage(docs.where(F.col("text").rlike("[0-9@]")).mapInArrow(_first_hashes(each), "kind int, h long").distinct(), "hashes")
+    chosen = sorted({r.h for kind in range(len(KINDS) + 1) for r in first.where(F.col("kind") == kind).orderBy("h").limit(each).collect()})
+    if first.where("kind > 0").isEmpty():
+        return None
+    windows = docs.where(F.col("h").isin(chosen)).select("text").distinct().mapInPandas(_window_rows, "tokens array<string>, labels array<int>")
+    windows = stage(windows.withColumn("wid", F.monotonically_increasing_id()), "windows")
+    order, rows = (F.xxhash64("tokens"), F.to_json("tokens"), F.to_json("labels")), {}
+    for kind in range(len(KINDS) + 1):
+        begins = LABELS.index(f"B-{KINDS[kind - 1]}") if kind else 0
+        own = F.array_contains("labels", begins) | F.array_contains("labels", begins + 1) if kind else F.array_max("labels") == 0
+        for r in windows.where(own).orderBy(*order).limit(4 * each).collect():
+            rows[r.wid] = (list(r.tokens), list(r.labels))
+    return fit(sorted(rows.values()) + ordinary_windows()) if rows else None
+
+
+def _first_hashes(each):
+    """Per task and kind (0: no match) the ``each`` least hashes of texts, each once."""
+    def run(batches):
+        held = [np.zeros(0, np.int64) for _ in range(len(KINDS) + 1)]
+        for batch in chunks(batches):
+            found = [[] for _ in held]
+            for text, h in zip(texts_of(batch), batch.column(batch.schema.get_field_index("h")).to_pylist()):
+                for kind in {KINDS.index(s[0]) + 1 for s in base_spans(text)} or {0}:
+                    found[kind].append(h)
+            held = [np.unique(np.concatenate([a, np.array(b, np.int64)]))[:each] for a, b in zip(held, found)]
+        for kind, h in enumerate(held):
+            yield pa.RecordBatch.from_pydict({"kind": pa.array([kind] * len(h), pa.int32()), "h": pa.array(h)})
+    return run
 
 
 def _window_rows(frames):
     import pandas as pd
     for frame in frames:
-        rows = labelled_windows(frame["text"])
+        # A seed of its own for every text: the same windows however rows are dealt to batches.
+        rows = [row for text in frame["text"] for row in labelled_windows([text], seed=zlib.crc32(text.encode()))]
         yield pd.DataFrame({"tokens": [t for t, _ in rows], "labels": [y for _, y in rows]})
 
 
@@ -402,8 +433,6 @@ def redact(df, model=None, text_col="text", chars_col=None):
 
     ``chars_col``, if given, becomes the length of the new text.
     """
-    from kerbside.llm.batches import chunks
-
     schema = df.schema
 
     def run(batches):

@@ -8,6 +8,7 @@ import string
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from kerbside.llm import bpe, decontaminate, langid, pii, secret_scan, token_counts
 
@@ -200,6 +201,22 @@ def test_pii_tables(spark, crf_model):
     assert pii.train(df.limit(0)) is None and pii.scan(df.limit(0)).collect() == []
 
 
+def test_pii_learns_from_rare_documents(spark):
+    """Each kind is in a few documents of thousands without any, and in many copies of one."""
+    draw = random.Random(6)
+    phone = lambda: f"+1 ({draw.randrange(200, 999)}) 555-{draw.randrange(1000, 9999)}"
+    rows = [(i, f"page {i} of 12 lines") for i in range(6000)] + [(i, "write to a.b@mail.example.com at 9") for i in range(6000, 9000)]
+    late = [r.id for r in spark.range(9000, 20_000).orderBy(F.desc(F.xxhash64("id"))).limit(12).collect()]  # ids far behind in the order of hashes
+    rows += [(i, f"so call {phone()} now") for i in late]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    model = pii.train(df)
+    ((base, every),) = pii.find(["call (319) 555-4411 today"], model)
+    assert base == [] and every == [("phone", 5, 19)]
+    again = pii.train(df.repartition(7))
+    assert again.names == model.names and np.array_equal(again.emit, model.emit)
+    assert pii.train(df.where("doc_id < 6000")) is None
+
+
 # --- secrets ----------------------------------------------------------------
 
 SECRETS = {"assign": r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
