@@ -40,7 +40,7 @@ POST = np.dtype([("hash", "<i8"), ("rest", "<i4")])
 
 def at_least(sizes, percent):
     """The least overlap of a set with any partner."""
-    return -(-np.asarray(sizes) * percent // 100)
+    return -(-np.asarray(sizes, np.int64) * percent // 100)
 
 
 def linked(overlap, n, m, percent):
@@ -280,6 +280,8 @@ def _post_rows(batches):
 
 def possible(rest_a, least_a, most_a, rest_b, least_b, most_b, percent):
     """Whether a first common shingle at these positions, and these sizes, leave room for a link (vectorised bounds)."""
+    # Sizes are stored in 32 bits; their hundredfold is not.
+    rest_a, least_a, most_a, rest_b, least_b, most_b = (np.asarray(x, np.int64) for x in (rest_a, least_a, most_a, rest_b, least_b, most_b))
     overlap = 1 + np.minimum(rest_a, rest_b)
     return ((100 + percent) * overlap >= percent * (least_a + least_b)) & (100 * most_a >= percent * least_b) & (100 * most_b >= percent * least_a)
 

@@ -101,6 +101,15 @@ def test_jaccard_odd_ids(spark):
     assert jaccard_join.similar_components(df.limit(0)).collect() == [] and jaccard_join.keep_one(df.limit(0)).collect() == []
 
 
+def test_bounds_of_very_long_texts():
+    """Sets whose hundredfold does not fit in 32 bits."""
+    for n in (13_000_000, 15_000_000, 22_000_000, 30_000_000):
+        size = np.array([n], np.int32)
+        assert jaccard_join.possible(size - 1, size, size, size - 1, size, size, 75).all()
+        assert not jaccard_join.possible(size // 2, size, size, size // 2, size, size, 75).any()
+        assert jaccard_join.at_least(size, 75).tolist() == [n * 3 // 4]
+
+
 def test_member_links_from_pivots():
     draw = random.Random(3)
     for _ in range(300):
