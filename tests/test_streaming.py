@@ -164,3 +164,17 @@ def test_listener_and_console(spark, tmp_path):
     finally:
         spark.streams.removeListener(listener)
     assert (0, 2) in seen
+
+
+def test_restart_on_several_files(spark, folder, monkeypatch):
+    """Each half of the events comes in as many files as the table has parts, and the totals are those of one run."""
+    import glob
+    from kerbside.plans import roundtrips
+    from kerbside.streaming import runs
+    plain, files = roundtrips.read_table, []
+    monkeypatch.setattr(roundtrips, "read_table", lambda *a: plain(*a).repartition(3))
+    roundtrips._in_two_parts(spark, folder, lambda path: files.append(len(glob.glob(f"{path.removeprefix('file:')}/events.parquet/*.parquet"))))
+    assert files == [3, 6]
+    found = roundtrips.stream_restart(spark, folder)
+    want = runs.sliding_totals_by_zone(spark, folder)
+    assert found.count() > 0 and sorted(map(str, found.select(want.columns).collect())) == sorted(map(str, want.collect()))
