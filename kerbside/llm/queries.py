@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from kerbside.llm import bpe, cotraining, cover_tree, decontaminate, jaccard_join, langid, pii, secret_scan, sharding, token_counts
+from kerbside.llm import (
+    bpe, cotraining, cover_tree, curriculum, decontaminate, filter_audit, jaccard_join, langid, pii, secret_scan, sharding, token_counts,
+    vector_codes)
 
 
 def table(spark, folder, name):
@@ -74,5 +76,22 @@ def op10_embedding_neighbours(spark, folder):
     return cover_tree.near_duplicates(table(spark, folder, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii_crf, op2_bpe_encoding, op3_quality_cotraining, op4_token_counts, op5_ngram_jaccard, op6_language_id, op7_hilbert_shards,
-                                     op8_benchmark_leaks, op9_secret_ownership, op10_embedding_neighbours)}
+def op11_vector_codes(spark, folder):
+    """A code of four bytes for every embedding, and what it loses."""
+    return vector_codes.compress(table(spark, folder, "embeddings"))
+
+
+def op12_source_mix(spark, folder):
+    """All documents in the order of training, with the words that the mix takes of each."""
+    mixed = curriculum.mix(table(spark, folder, "documents"))
+    return curriculum.ordered_by_due(mixed).select("doc_id", "size", "source_size", "target", "taken", "first_position")
+
+
+def op13_filter_audit(spark, folder):
+    """What five text filters remove of each source, in every order."""
+    return filter_audit.audit_texts(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_pii_crf, op2_bpe_encoding, op3_quality_cotraining, op4_token_counts, op5_ngram_jaccard, op6_language_id, op7_hilbert_shards,
+    op8_benchmark_leaks, op9_secret_ownership, op10_embedding_neighbours, op11_vector_codes, op12_source_mix, op13_filter_audit)}
