@@ -78,6 +78,12 @@ def exists(spark, path) -> bool:
     return fs.exists(target)
 
 
+def names_in(spark, path) -> list:
+    """Names of what is directly in a folder."""
+    fs, target = _file_system(spark, path)
+    return [status.getPath().getName() for status in fs.listStatus(target)]
+
+
 def drop_stages(spark) -> bool:
     """Delete all that this application staged; call it when results are out."""
     fs, target = _file_system(spark, _own_dir(spark))

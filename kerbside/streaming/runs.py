@@ -6,13 +6,15 @@ from kerbside.functions import columns as X
 from kerbside.operators.messages import with_partition
 from kerbside.session import shared_path
 from kerbside.streaming import jobs
+from kerbside.streaming.delivery import last_commit
 from kerbside.streaming.events import event_files, kafka_sink_options, parse_events, read_kafka_stream, rejected_events
 from kerbside.streaming.upsert import UpsertTable, append_sink, kafka_sink
 
 WINDOW_KEYS = ("window_start", "window_end")
 
 
-def _drain(query):
+def drained(query):
+    """The query once it has handled all there is; its failure is an error."""
     query.awaitTermination()
     if query.exception():
         raise RuntimeError(str(query.exception()))
@@ -21,7 +23,7 @@ def _drain(query):
 
 def _upserted(spark, stream, keys, label) -> DataFrame:
     table = UpsertTable(shared_path(spark, label), keys)
-    _drain(table.start(stream, shared_path(spark, f"{label}-offsets"), drain=True))
+    drained(table.start(stream, shared_path(spark, f"{label}-offsets"), drain=True))
     return table.read(spark)
 
 
@@ -37,7 +39,7 @@ def sliding_totals_by_zone(spark: SparkSession, folder) -> DataFrame:
 
 def _appended(spark, stream, label):
     path = shared_path(spark, label)
-    query = _drain(append_sink(stream, path, shared_path(spark, f"{label}-offsets"), drain=True))
+    query = drained(append_sink(stream, path, shared_path(spark, f"{label}-offsets"), drain=True))
     return spark.read.schema(stream.schema).parquet(path), query
 
 
@@ -88,6 +90,11 @@ def run_kafka_job(spark: SparkSession, servers, out, every="30 seconds", **sourc
     spark.streams.awaitAnyTermination()
 
 
+def batches(spark: SparkSession, checkpoint) -> int:
+    """Micro-batches committed in a checkpoint."""
+    return last_commit(spark, checkpoint) + 1
+
+
 def progress_lag(query) -> dict:
     """Rows still to come, from the last progress of a running Kafka query:
     latest offset minus end offset by topic and partition."""
