@@ -1,6 +1,5 @@
-"""File and block accounting, and repartitioning by later grouping keys."""
+"""File and block accounting, and tables laid out by later grouping keys."""
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F
 
 BLOCK_BYTES = 128 * 1024 * 1024
@@ -28,15 +27,15 @@ def block_report(files: DataFrame, block_bytes=BLOCK_BYTES) -> DataFrame:
     )
 
 
-def lay_out(df: DataFrame, *keys, partitions=None) -> DataFrame:
-    """Hash-partition by keys that every later grouping contains.
+def bucketed(df: DataFrame, table, keys, buckets, path) -> DataFrame:
+    """Write ``df`` as a table in ``buckets`` by ``keys``, sorted by them, and read it.
 
-    Grouping by fewer or other keys shuffles again, so choose the common
-    subset. Without a number AQE sizes the partitions.
+    Groupings and joins by columns that include the keys then need no
+    exchange, with any other table of the same keys and buckets. Each bucket
+    is one file and one task, so take keys of many values, and as many buckets
+    as the data has partitions: a value that holds a large share of the rows
+    is better grouped through a shuffle, after partial sums.
     """
-    return df.repartition(partitions, *keys) if partitions else df.repartition(*keys)
-
-
-def keep(df: DataFrame) -> DataFrame:
-    """Cache with spill, for inputs that several actions reuse."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    laid = df.repartition(buckets, *keys).sortWithinPartitions(*keys)
+    laid.write.bucketBy(buckets, *keys).sortBy(*keys).mode("errorifexists").option("path", path).format("parquet").saveAsTable(table)
+    return df.sparkSession.table(table)

@@ -1,12 +1,15 @@
 """Queries that write a projection of ``events`` to the shared folder and read it back, and stream it in parts."""
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from kerbside.functions.ordered import number_rows
-from kerbside.operators import features, impute
+from kerbside.operators import features, impute, layout
 from kerbside.session import shared_path
-from kerbside.sinks import files
-from kerbside.sources import csv_files, tables
+from kerbside.sinks import files, tables as loads
+from kerbside.sources import csv_files, logs, manifest, tables
 from kerbside.sources.incidents import read_table
 from kerbside.streaming import events, jobs, runs
 from kerbside.streaming.upsert import UpsertTable
@@ -129,3 +132,78 @@ def stream_restart(spark, folder):
 
 
 QUERIES["stream_restart"] = stream_restart
+
+
+# --- logs and manifests -------------------------------------------------------
+
+
+@query("""SELECT date_trunc('second', ts) AS ts, CASE event_id % 3 WHEN 0 THEN 'ERROR' ELSE 'INFO' END AS level, event_type AS logger,
+    'event ' || event_id || ' of ' || user_id || array_to_string(list_transform(range(event_id % 4), lambda k: chr(10) || '  at frame ' || k || ': ' || event_type), '') AS message,
+    1 + event_id % 4 AS n_lines FROM events""")
+def log_records(spark, folder):
+    """Log records of one to four lines, over files read in many splits."""
+    events_ = read_table(spark, folder, "events")
+    frames = F.transform(F.sequence(F.lit(0).cast("long"), F.col("event_id") % 4), lambda k: F.concat(
+        F.lit("\n  at frame "), (k - 1).cast("string"), F.lit(": "), "event_type"))
+    head = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lit(",000 ["), F.when(F.col("event_id") % 3 == 0, "ERROR").otherwise("INFO"),
+                    F.lit("] "), "event_type", F.lit(": event "), F.col("event_id").cast("string"), F.lit(" of "), F.col("user_id").cast("string"))
+    path = shared_path(spark, "logs")
+    lines = events_.select(F.concat(head, F.array_join(F.slice(frames, 2, 3), "")).alias("value"))
+    lines.write.text(path)
+    # About a hundred splits, whatever the size, until they have the usual one.
+    split = min(128 << 20, max(1 << 16, events_.count()))
+    return logs.read_records(spark, path, split, glob="*.txt").select("ts", "level", "logger", "message", "n_lines")
+
+
+@query("""WITH line AS (SELECT event_id // 1000 AS part, event_id, event_id || '|' || user_id || '|' || event_type || '|' || props || chr(10) AS t FROM events),
+file AS (SELECT part, string_agg(t, '' ORDER BY event_id) AS t FROM line GROUP BY part),
+leaf AS (SELECT part, length(t) AS size_bytes, i, md5(substr(t, 1024 * i + 1, 1024)) AS h FROM file, range(1000) AS r(i) WHERE 1024 * i < length(t))
+SELECT part, size_bytes, CASE WHEN count(*) = 1 THEN min(h) ELSE md5(unhex(string_agg(h, '' ORDER BY i))) END AS checksum FROM leaf GROUP BY part, size_bytes""")
+def manifest_tree(spark, folder):
+    """Tree checksums of files of a thousand events each, read in splits of 16 KB."""
+    rows = read_table(spark, folder, "events").select(
+        F.expr("event_id div 1000").alias("part"), "event_id", F.concat_ws("|", F.col("event_id").cast("string"), F.col("user_id").cast("string"), "event_type", "props").alias("value"))
+    path = shared_path(spark, "files")
+    rows.repartition("part").sortWithinPartitions("part", "event_id").drop("event_id").write.partitionBy("part").text(path)
+    found = manifest.tree_checksums(spark, path, "*.txt", split_bytes=16 << 10)
+    return found.select(F.regexp_extract("path", "part=([0-9]+)", 1).cast("long").alias("part"), "size_bytes", "checksum")
+
+
+# --- tables -------------------------------------------------------------------
+
+
+def _fresh(name):
+    return f"{name}_{uuid.uuid4().hex}"
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 3 <> 0 THEN event_type END AS event_type, CASE WHEN event_id % 3 <> 1 THEN user_id END AS user_id, 'append' AS last_mode,
+    (SELECT count(*) FROM events WHERE event_id % 3 = event_id_.event_id % 3) AS loaded FROM events AS event_id_""")
+def table_load_modes(spark, folder):
+    """A table replaced, appended to with fewer and with more columns, and left alone by a load that must not find one."""
+    events_ = read_table(spark, folder, "events")
+    part = lambda k: events_.where(F.col("event_id") % 3 == k)
+    table, path = _fresh("load"), shared_path(spark, "load")
+    load = lambda df, mode: loads.load_table(df, table, mode, path, evolve=True)
+    load(events_.select("event_id", "value"), "fail")
+    counts = {0: load(part(0).select("event_id", "user_id"), "replace")}
+    counts[1] = load(part(1).select("event_type", F.col("event_id").cast("int").alias("EVENT_ID")), "append")
+    try:
+        load(part(2), "fail")
+        raise AssertionError("a load that must not find a table has found one")
+    except AnalysisException:
+        counts[2] = load(part(2).select("user_id", "event_id", "event_type"), "append")
+    loaded = F.coalesce(*[F.when(F.col("event_id") % 3 == k, F.lit(n)) for k, n in counts.items()])
+    return spark.table(table).select("event_id", "event_type", "user_id", F.lit("append").alias("last_mode"), loaded.alias("loaded"))
+
+
+@query("""SELECT o_orderkey, o_custkey, count(*) AS n_lines, sum(CAST(l_quantity AS DECIMAL(18, 2)))::DOUBLE AS quantity, max(l_shipdate) AS last_shipped
+FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_custkey""")
+def bucketed_orders(spark, folder):
+    """Orders with their lines, from tables in buckets of the order: joined and grouped without an exchange."""
+    tables_ = {name: read_table(spark, folder, name) for name in ("orders", "lineitem")}
+    buckets = max(4, tables_["lineitem"].count() // 1_000_000)
+    orders = layout.bucketed(tables_["orders"].select("o_orderkey", "o_custkey"), _fresh("orders"), ["o_orderkey"], buckets, shared_path(spark, "orders"))
+    lines = layout.bucketed(tables_["lineitem"].select("l_orderkey", "l_quantity", "l_shipdate"), _fresh("lines"), ["l_orderkey"], buckets, shared_path(spark, "lines"))
+    joined = orders.join(lines.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"))
+    return joined.groupBy("o_orderkey", "o_custkey").agg(
+        F.count("*").alias("n_lines"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantity"), F.max("l_shipdate").alias("last_shipped"))
