@@ -6,15 +6,32 @@ from kerbside import contract as C
 
 
 def rounded(col, digits) -> Column:
-    """Half up on the decimal value.
-
-    Sums of doubles differ in the last bits with the order of the rows; that
-    noise is rounded off first, so ties do not depend on the partitioning.
-    """
+    """Half up on the decimal value: what a double misses of it is rounded off first."""
     col = F.col(col) if isinstance(col, str) else col
     return F.round(F.round(col, digits + 6), digits)
 
 
+def total(col) -> Column:
+    """The sum of a column of doubles to the millionth, the same for any order of the rows; null without values.
+
+    Whole parts and millionths are summed as whole numbers. A value of 2^53
+    and more, or one that is not finite, has no millionths and is added as it
+    is.
+    """
+    value = (F.col(col) if isinstance(col, str) else col).cast("double")
+    small = F.abs(value) < 2.0**53
+    whole = F.sum(F.when(small, F.floor(value)))
+    parts = F.sum(F.when(small, F.floor((value - F.floor(value)) * 1e6 + 0.5)))
+    exact = whole + parts / 1e6
+    large = F.sum(F.when(~small, value))
+    return F.when(large.isNull(), exact).otherwise(F.coalesce(exact, F.lit(0.0)) + large)
+
+
+def mean(col) -> Column:
+    """:func:`total` over the number of values."""
+    return F.try_divide(total(col), F.count(col))
+
+
 def padded(number: Column, width) -> Column:
     """Zero-padded digits; longer numbers keep all of theirs."""
     digits = number.cast("string")

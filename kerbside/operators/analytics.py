@@ -10,6 +10,11 @@ def _share(part, whole):
     return F.try_divide(part * 100.0, whole)
 
 
+def _fines():
+    """The money columns that reports share."""
+    return [X.rounded(X.mean("fine_amount"), 2).alias("avg_fine"), X.rounded(X.total("fine_amount"), 2).alias("total_revenue")]
+
+
 def zone_type_summary(df: DataFrame) -> DataFrame:
     """Counts, fines, speed, share of high severity and modal hour by zone and
     type. One aggregation: the high counts and modal hour need no self-join."""
@@ -17,13 +22,13 @@ def zone_type_summary(df: DataFrame) -> DataFrame:
     if need:
         raise ValueError(f"missing columns: {sorted(need)}")
     known = F.col("violation_id") if "violation_id" in df.columns else F.lit(1)
-    speed = F.avg("speed_kmh") if "speed_kmh" in df.columns else F.lit(None).cast("double")
+    speed = X.mean("speed_kmh") if "speed_kmh" in df.columns else F.lit(None).cast("double")
     aggs = [
         F.count(known).alias("total_violations"),
-        X.rounded(F.avg("fine_amount"), 2).alias("avg_fine"),
+        X.rounded(X.mean("fine_amount"), 2).alias("avg_fine"),
         X.rounded(F.max("fine_amount"), 2).alias("max_fine"),
         X.rounded(F.min("fine_amount"), 2).alias("min_fine"),
-        X.rounded(F.sum("fine_amount"), 2).alias("total_revenue"),
+        X.rounded(X.total("fine_amount"), 2).alias("total_revenue"),
         X.rounded(speed, 2).alias("avg_speed"),
         X.rounded(_share(F.count_if(F.col("severity") == "High"), F.count(known)), 1).alias("pct_high_severity"),
     ]
@@ -35,10 +40,10 @@ def zone_type_summary(df: DataFrame) -> DataFrame:
 def hourly_summary(df: DataFrame) -> DataFrame:
     if "hour" not in df.columns:
         raise ValueError("missing column: hour")
-    speed = F.avg("speed_kmh") if "speed_kmh" in df.columns else F.lit(None).cast("double")
+    speed = X.mean("speed_kmh") if "speed_kmh" in df.columns else F.lit(None).cast("double")
     return df.na.drop(subset=["hour"]).groupBy("hour").agg(
         F.count("*").alias("count"),
-        X.rounded(F.avg("fine_amount"), 2).alias("avg_fine"),
+        X.rounded(X.mean("fine_amount"), 2).alias("avg_fine"),
         X.rounded(speed, 2).alias("avg_speed"),
     )
 
@@ -49,10 +54,9 @@ def zone_type_report(df: DataFrame) -> DataFrame:
         .groupBy("zone", "violation_type")
         .agg(
             F.count("*").alias("total_violations"),
-            X.rounded(F.avg("fine_amount"), 2).alias("avg_fine"),
-            X.rounded(F.sum("fine_amount"), 2).alias("total_revenue"),
+            *_fines(),
             X.rounded(F.max("fine_amount"), 2).alias("max_fine"),
-            X.rounded(F.avg("speed_kmh"), 2).alias("avg_speed"),
+            X.rounded(X.mean("speed_kmh"), 2).alias("avg_speed"),
         )
         .orderBy(F.desc("total_revenue"), "zone", "violation_type")
     )
@@ -63,7 +67,7 @@ def hourly_trend(df: DataFrame) -> DataFrame:
         df.groupBy("hour")
         .agg(
             F.count("*").alias("violations_count"),
-            X.rounded(F.avg("fine_amount"), 2).alias("avg_fine"),
+            X.rounded(X.mean("fine_amount"), 2).alias("avg_fine"),
             F.count_if(F.col("severity") == "High").alias("high_severity_count"),
             F.count_if(F.col("is_peak")).alias("peak_hour_count"),
         )
@@ -77,7 +81,7 @@ def severity_share(df: DataFrame) -> DataFrame:
     The grand total is a window over the group counts, one row per severity,
     so the rows are read once.
     """
-    groups = df.groupBy("severity").agg(F.count("*").alias("count"), F.avg("fine_amount").alias("__avg"))
+    groups = df.groupBy("severity").agg(F.count("*").alias("count"), X.mean("fine_amount").alias("__avg"))
     return (
         groups.withColumn("__total", F.sum("count").over(Window.partitionBy()))
         .select(
@@ -94,8 +98,7 @@ def zone_type_severity_summary(df: DataFrame) -> DataFrame:
         df.groupBy("zone", "violation_type", "severity")
         .agg(
             F.count("*").alias("count"),
-            X.rounded(F.avg("fine_amount"), 2).alias("avg_fine"),
-            X.rounded(F.sum("fine_amount"), 2).alias("total_revenue"),
+            *_fines(),
         )
         .orderBy(F.desc("total_revenue"), "zone", "violation_type", "severity")
     )
@@ -111,9 +114,9 @@ def zone_revenue_recent(df: DataFrame, as_of, days=30) -> DataFrame:
         df.filter(F.col("timestamp") >= since)
         .groupBy("zone")
         .agg(
-            F.sum("fine_amount").alias("total_revenue"),
+            X.total("fine_amount").alias("total_revenue"),
             F.count("*").alias("violations"),
-            F.avg("fine_amount").alias("avg_fine"),
+            X.mean("fine_amount").alias("avg_fine"),
             F.count_if(F.col("severity") == "High").alias("high_severity"),
         )
         .orderBy(F.desc("total_revenue"), "zone")
@@ -133,8 +136,8 @@ def officer_top(df: DataFrame, k=20, more_than=10) -> DataFrame:
         df.groupBy("officer_id")
         .agg(
             F.count("*").alias("total_violations"),
-            F.sum("fine_amount").alias("revenue_generated"),
-            F.avg("fine_amount").alias("avg_fine"),
+            X.total("fine_amount").alias("revenue_generated"),
+            X.mean("fine_amount").alias("avg_fine"),
         )
         .filter(F.col("total_violations") > more_than)
         .orderBy(F.desc("revenue_generated"), "officer_id")
@@ -157,8 +160,8 @@ def kpi_cards(df: DataFrame, approximate=False) -> DataFrame:
     high = F.count_if(F.col("severity") == "High")
     return df.agg(
         F.count("*").alias("total_violations"),
-        F.sum("fine_amount").alias("total_revenue"),
-        F.avg("fine_amount").alias("avg_fine"),
+        X.total("fine_amount").alias("total_revenue"),
+        X.mean("fine_amount").alias("avg_fine"),
         high.alias("high_severity"),
         X.rounded(_share(high, F.count("*")), 1).alias("pct_high"),
         officers.alias("officers_active"),
@@ -168,7 +171,7 @@ def kpi_cards(df: DataFrame, approximate=False) -> DataFrame:
 def zone_revenue(df: DataFrame) -> DataFrame:
     return (
         df.filter(F.col("zone").isNotNull())
-        .groupBy("zone").agg(F.sum("fine_amount").alias("revenue"))
+        .groupBy("zone").agg(X.total("fine_amount").alias("revenue"))
         .orderBy("revenue", "zone")
     )
 

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, Window, functions as F
 
 from kerbside import contract as C
+from kerbside.functions import columns as X
 from kerbside.functions.ordered import (
     SLAB_ROWS, Spread, attach, cumulate, previous_value, spreads, value_counts)
 
@@ -26,7 +27,7 @@ def zone_ranks(df: DataFrame, spread: Spread) -> DataFrame:
 
 def running_revenue(df: DataFrame) -> DataFrame:
     """Fines of each zone up to and including each hour (peers share)."""
-    hours = df.groupBy("zone", "hour").agg(F.sum("fine_amount").alias("__fine"))
+    hours = df.groupBy("zone", "hour").agg(X.total("fine_amount").alias("__fine"))
     w = Window.partitionBy("zone").orderBy("hour").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     return hours.select("zone", "hour", F.sum("__fine").over(w).alias("running_revenue"))
 
@@ -67,7 +68,7 @@ def top_per_zone(df: DataFrame, k=5, spread: Spread | None = None, slab_rows=SLA
 
 def zone_share(df: DataFrame, zones=None) -> DataFrame:
     """Each fine as a percentage of its zone's total."""
-    totals = df.groupBy("zone").agg(F.sum("fine_amount").alias("__zone_total"))
+    totals = df.groupBy("zone").agg(X.total("fine_amount").alias("__zone_total"))
     return attach(df, totals, ["zone"], "left", rows=zones).select(
         "violation_id", "zone", "fine_amount",
         F.try_divide(F.col("fine_amount") * 100.0, F.col("__zone_total")).alias("pct_of_zone"),

@@ -7,35 +7,30 @@ from kerbside.functions import columns as X
 from kerbside.operators.messages import envelope
 
 
-def _measures():
-    return [
-        F.count("*").alias("violation_count"),
-        X.rounded(F.avg("fine_amount"), 2).alias("avg_fine"),
-        X.rounded(F.sum("fine_amount"), 2).alias("revenue"),
-        X.rounded(F.avg("speed_kmh"), 2).alias("avg_speed"),
-    ]
+#: What windows can measure, by the names that the contract gives them.
+MEASURES = {
+    "violation_count": lambda: F.count("*"),
+    "avg_fine": lambda: X.rounded(X.mean("fine_amount"), 2),
+    "revenue": lambda: X.rounded(X.total("fine_amount"), 2),
+    "avg_speed": lambda: X.rounded(X.mean("speed_kmh"), 2),
+}
 
 
-def sliding_totals(events: DataFrame, by=("zone", "violation_type"), measures=None,
+def sliding_totals(events: DataFrame, by=("zone", "violation_type"), measures=tuple(MEASURES),
                    late=C.WATERMARK, window=C.WINDOW, slide=C.SLIDE) -> DataFrame:
     """Measures per sliding window and key, late rows bounded by a watermark.
 
     Partial aggregation runs before the shuffle, so a hot zone adds one row
     per window and task.
     """
-    return (
-        events.withWatermark("event_time", late)
-        .groupBy(F.window("event_time", window, slide), *by)
-        .agg(*(measures or _measures()))
-        .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-                *by, *[c for c in ("violation_count", "avg_fine", "revenue", "avg_speed")
-                       if measures is None or c in ("violation_count", "avg_fine")])
-    )
+    windows = events.withWatermark("event_time", late).groupBy(F.window("event_time", window, slide), *by)
+    totals = windows.agg(*[MEASURES[name]().alias(name) for name in measures])
+    return totals.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *by, *measures)
 
 
 def sliding_totals_by_zone(events: DataFrame, **kw) -> DataFrame:
     """Count and average fine per sliding window and zone."""
-    return sliding_totals(events, by=("zone",), measures=_measures()[:2], **kw)
+    return sliding_totals(events, by=("zone",), measures=("violation_count", "avg_fine"), **kw)
 
 
 def alerts(events: DataFrame) -> DataFrame:
