@@ -1,6 +1,7 @@
 """Filling gaps, capping, and flagging outliers.
 
-All statistics come from value counts, which are small next to the rows.
+All statistics come from value counts near the wanted ranks, which are small
+next to the rows.
 """
 
 from functools import reduce
@@ -9,61 +10,74 @@ from pyspark.sql import DataFrame, functions as F
 
 from kerbside import contract as C
 from kerbside.functions import columns as X
-from kerbside.functions.ordered import attach, quantiles, spreads, value_counts
+from kerbside.functions.brackets import Wanted, bracketed
+from kerbside.functions.ordered import SLAB_ROWS, Spread, attach, quantiles
 
 COORDINATES = ("latitude", "longitude")
 _PAIR = ["zone", "violation_type"]
 
 
-def numeric_spreads(df: DataFrame) -> dict:
-    """Spreads of the columns imputation needs; text that is no number counts as null."""
-    return spreads(df, [c for c in ("fine_amount", "speed_kmh", *COORDINATES) if c in df.columns])
-
-
 def _one_row(df, row):
     return df.crossJoin(F.broadcast(row))
 
 
-def _fine_statistics(df, spread, pairs):
-    """From one set of value counts: the median per (zone, type); the overall
+def _fine_statistics(counts, spread, pairs):
+    """From folded value counts: the median per (zone, type); the overall
     median of the column so filled; its quartiles once capped."""
-    counts = value_counts(df, "fine_amount", _PAIR)
-    medians = quantiles(counts, "fine_amount", {"__fine": 0.5}, _PAIR, spread, "n")
-    filled = (
-        attach(counts, medians, _PAIR, "left", pairs)
-        .groupBy(F.coalesce("fine_amount", "__fine").alias("fine_amount")).agg(F.sum("n").alias("n"))
-    )
-    overall = quantiles(filled, "fine_amount", {"__fine_all": 0.5}, [], spread, "n")
+    medians = quantiles(_of(counts, "fine"), "value", {"__fine": 0.5}, _PAIR, spread, "n")
+    # What each pair's nulls are filled with; null where it has no value either.
+    gaps = attach(_of(counts, "fine").where("value IS NULL"), medians, _PAIR, "left", pairs).select(F.col("__fine").alias("value"), "n")
+    with_gaps = lambda name: _of(counts, name).where("value IS NOT NULL").select("value", "n").unionByName(gaps)
+    overall = quantiles(with_gaps("fine_half"), "value", {"__fine_all": 0.5}, [], spread, "n")
     low, high = C.BOUNDS["fine_amount"]
-    capped = _one_row(filled, overall).select(
-        X.clip(F.coalesce("fine_amount", "__fine_all"), low, high).alias("fine_amount"), "n")
-    quartiles = quantiles(capped, "fine_amount", {"fine_q1": 0.25, "fine_q3": 0.75}, [], spread, "n")
-    return medians, overall.crossJoin(quartiles)
+    rows = overall
+    for name, prob in (("fine_q1", 0.25), ("fine_q3", 0.75)):
+        capped = _one_row(with_gaps(name), overall).select(X.clip(F.coalesce("value", "__fine_all"), low, high).alias("value"), "n")
+        rows = rows.crossJoin(quantiles(capped, "value", {name: prob}, [], spread, "n"))
+    return medians, rows
+
 
+def _of(counts, name):
+    return counts.where(F.col("stat") == name)
 
-def most_common(df: DataFrame, column, name) -> DataFrame:
+
+def most_common(df: DataFrame, column, name, weight=None) -> DataFrame:
     """The most frequent value, the smallest on a tie, as one row."""
-    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("n"))
+    counts = df.filter(F.col(column).isNotNull()).groupBy(column).agg((F.sum(weight) if weight else F.count("*")).alias("n"))
     return counts.agg(F.min_by(column, F.struct(-F.col("n"), F.col(column))).alias(name))
 
 
 def statistics(df: DataFrame, spread=None, pairs=None):
     """What filling needs: a table per (zone, type) and a table of one row.
 
-    ``pairs`` is a proven bound of the first, such as the contract's for
-    standardised categories; None stands for unknown. Either table is None if its columns are absent.
+    Two scans: one sketches, one counts the values near the wanted ranks.
+    ``pairs`` is a proven bound of the (zone, type) pairs, such as the
+    contract's for standardised categories; None stands for unknown. Either
+    table is None if its columns are absent.
     """
-    spread = numeric_spreads(df) if spread is None else spread
+    have = set(df.columns)
+    fine, speed = {"fine_amount", *_PAIR} <= have, {"speed_kmh", "violation_type"} <= have
+    wanted = [
+        *([Wanted("fine", "fine_amount", 0.5, tuple(_PAIR)), *[Wanted(name, "fine_amount", p, filled=True) for name, p in (("fine_half", 0.5), ("fine_q1", 0.25), ("fine_q3", 0.75))]] if fine else []),
+        *([Wanted("speed", "speed_kmh", 0.5, ("violation_type",))] if speed else []),
+        *[Wanted(c, c, 0.5) for c in COORDINATES if c in have]]
+    texts = ["vehicle_type"] if "vehicle_type" in have else []
+    if not (wanted or texts):
+        return None, None
+    counts = bracketed(df, wanted, texts, pairs)
+    if spread is None:
+        rows = counts.count()
+        spread = dict.fromkeys(("fine_amount", "speed_kmh", *COORDINATES), Spread(rows, rows) if rows <= SLAB_ROWS else None)
     groups, singles = None, []
-    if {"fine_amount", *_PAIR} <= set(df.columns):
-        groups, fine_row = _fine_statistics(df, spread["fine_amount"], pairs)
+    if fine:
+        groups, fine_row = _fine_statistics(counts, spread["fine_amount"], pairs)
         singles.append(fine_row)
-    if {"speed_kmh", "violation_type"} <= set(df.columns):
-        speeds = quantiles(df, "speed_kmh", {"__speed": 0.5}, ["violation_type"], spread["speed_kmh"])
+    if speed:
+        speeds = quantiles(_of(counts, "speed"), "value", {"__speed": 0.5}, ["violation_type"], spread["speed_kmh"], "n")
         groups = speeds if groups is None else attach(groups, speeds, ["violation_type"], "left", pairs)
-    if "vehicle_type" in df.columns:
-        singles.append(most_common(df, "vehicle_type", "__vehicle"))
-    singles += [quantiles(df, c, {f"__{c}": 0.5}, [], spread[c]) for c in COORDINATES if c in df.columns]
+    if texts:
+        singles.append(most_common(_of(counts, "vehicle_type"), "text", "__vehicle", "n"))
+    singles += [quantiles(_of(counts, c), "value", {f"__{c}": 0.5}, [], spread[c], "n") for c in COORDINATES if c in have]
     return groups, reduce(DataFrame.crossJoin, singles) if singles else None
 
 

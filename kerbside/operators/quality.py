@@ -1,7 +1,7 @@
 """Data-quality checks, schema report, score, gate and report text.
 
 Every per-column measure comes from one wide aggregate over one scan; only
-the duplicate counts need a shuffle, and that carries keys alone.
+the duplicate counts need a shuffle, and that carries keys or hashes alone.
 """
 
 from functools import reduce
@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from kerbside import contract as C
 from kerbside.functions import columns as X
+from kerbside.functions.ordered import attach
 
 CHECK_FIELDS = ["dimension", "field", "status", "metric", "threshold", "detail"]
 
@@ -25,6 +26,31 @@ def duplicate_count(df: DataFrame, columns, name) -> DataFrame:
     return groups.agg(F.coalesce(F.sum(F.col("__n") - 1), F.lit(0)).alias(name))
 
 
+def row_hashes(columns):
+    """Two independent 64-bit hashes of a row; null is unlike any value."""
+    parts = [e for c in columns for e in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]
+    return F.xxhash64(F.lit(1), *parts), F.xxhash64(F.lit(2), *parts)
+
+
+def duplicate_rows(df: DataFrame, name, hashes=None) -> DataFrame:
+    """Second and later occurrences of whole rows, nulls equal, as one row.
+
+    Rows are folded by one hash, with the range of the other beside it, so 32
+    bytes per distinct row are shuffled, whatever its width. Where rows of one
+    hash differ in the other, the hash says nothing: only the rows of such
+    groups are compared as they are.
+    """
+    first, second = hashes or row_hashes(df.columns)
+    groups = df.select(first.alias("__a"), second.alias("__b")).groupBy("__a").agg(
+        F.count("*").alias("n"), F.min("__b").alias("low"), F.max("__b").alias("high"))
+    apart = F.col("low") != F.col("high")
+    found, open_groups = groups.agg(F.coalesce(F.sum(F.when(~apart, F.col("n") - 1)), F.lit(0)), F.count_if(apart)).first()
+    if not open_groups:
+        return df.sparkSession.range(1).select(F.lit(found).cast("long").alias(name))
+    colliding = attach(df.withColumn("__a", first), groups.where(apart).select("__a"), ["__a"], rows=open_groups)
+    return duplicate_count(colliding, df.columns, "__more").select((F.lit(found) + F.col("__more")).cast("long").alias(name))
+
+
 def _check(seq, dimension, field, metric, threshold, ok, detail, miss="FAIL"):
     return F.struct(
         F.lit(seq).alias("seq"),
@@ -162,7 +188,7 @@ def schema_report(df: DataFrame) -> DataFrame:
         finding("error", "null_rate", "fine_amount", pct, pct > C.MAX_FINE_NULL_PCT,
                 F.format_string("fine_amount null rate %.1f%% exceeds 5%% threshold", pct))
 
-    wide = df.agg(*aggs).crossJoin(F.broadcast(duplicate_count(df, df.columns, "dup_rows")))
+    wide = df.agg(*aggs).crossJoin(F.broadcast(duplicate_rows(df, "dup_rows")))
     fired = wide.select(F.explode(F.array_compact(F.array(*findings))).alias("f")).select("f.*")
     sets = unexpected_values(df).groupBy("field").agg(F.count("*").alias("k")).select(
         F.lit("warning").alias("level"), F.lit("allowed_set").alias("rule"), "field",
@@ -203,6 +229,15 @@ def gate(df: DataFrame, score: DataFrame, threshold=C.GATE_SCORE):
     return accepted, quarantined, alert
 
 
+def gate_counts(df: DataFrame, score: DataFrame, threshold=C.GATE_SCORE) -> DataFrame:
+    """What :func:`gate` would route where, as rows (route, rows), in one pass over the load."""
+    bad = row_faults(df).isNotNull()
+    sizes = df.agg(F.count_if(~bad).alias("good"), F.count_if(bad).alias("bad"))
+    judged = sizes.crossJoin(F.broadcast(score.select((F.col("score") >= threshold).alias("open"))))
+    routes = {"accepted": F.when(F.col("open"), F.col("good")).otherwise(0), "quarantined": F.col("bad"), "alerts": F.when(F.col("open"), 0).otherwise(1)}
+    return judged.select(F.inline(F.array(*[F.struct(F.lit(name).alias("route"), n.cast("long").alias("rows")) for name, n in routes.items()])))
+
+
 def row_faults(df: DataFrame):
     """The first row rule that a row breaks, or null."""
     rules = None
@@ -258,11 +293,9 @@ def report_lines(checks: DataFrame, score: DataFrame, anomalies: DataFrame, top=
         part.select(F.col("line_no").cast("int"), "text") for part in (head, body, middle, tail)])
 
 
-def run_summary(raw: DataFrame, clean: DataFrame, score: DataFrame, anomalies: DataFrame) -> DataFrame:
-    """Rows in and out, drop rate, score and anomaly count as one row."""
-    one = raw.agg(F.count("*").alias("raw_rows"))
-    two = clean.agg(F.count("*").alias("clean_rows"))
-    three = anomalies.agg(F.count("*").alias("anomalies"))
-    drop = (1 - F.col("clean_rows") / F.greatest(F.col("raw_rows"), F.lit(1))) * 100
-    return one.crossJoin(two).crossJoin(score.select("score")).crossJoin(three).select(
-        "raw_rows", "clean_rows", X.rounded(drop, 1).alias("drop_pct"), F.col("score").alias("dq_score"), "anomalies")
+def run_summary(score: DataFrame, raw_rows: int, clean_rows: int, anomalies: int) -> DataFrame:
+    """Rows in and out, drop rate, score and anomaly count as one row, from the row counts of the run's own writes."""
+    drop = (1 - F.lit(clean_rows) / F.greatest(F.lit(raw_rows), F.lit(1))) * 100
+    count = lambda n: F.lit(n).cast("long")
+    return score.select(count(raw_rows).alias("raw_rows"), count(clean_rows).alias("clean_rows"), X.rounded(drop, 1).alias("drop_pct"),
+                        F.col("score").alias("dq_score"), count(anomalies).alias("anomalies"))

@@ -20,11 +20,7 @@ from kerbside.sources.synthetic import synthetic_records
 
 
 def reports(records) -> dict:
-    """The standing reports over processed records, all lazy.
-
-    Persist the records (``layout.keep``) before running several of them on
-    anything but columnar files.
-    """
+    """The standing reports over processed records, all lazy."""
     tiered = features.add_tiers(records)
     return {
         "zone_type_report": analytics.zone_type_report(tiered),
@@ -55,14 +51,15 @@ def run(spark: SparkSession, source, out, run_at, as_of=None, table_prefix="", s
     paths = {name: f"{out}/{name}" for name in (
         "raw", "violations", "zone_aggregates", "zone_summary", "partitioned", "anomalies", "dq_report", "log",
         "quarantine", "rejected")}
-    files.export_parquet(raw, paths["raw"])
+    written = tables.Written()
+    files.export_parquet(written.watch("raw", raw), paths["raw"])
     raw = spark.read.parquet(paths["raw"])
     if rejected is not None:
         files.export_csv(rejected, paths["rejected"])
 
     cleaned = cleaning.clean(raw)
-    files.export_parquet(
-        enrich(cleaned, spreads(conform.cast_contract(raw), ["fine_amount"])["fine_amount"]), paths["violations"])
+    enriched = enrich(cleaned, spreads(conform.cast_contract(raw), ["fine_amount"])["fine_amount"])
+    files.export_parquet(written.watch("clean", enriched), paths["violations"])
     records = spark.read.parquet(paths["violations"])
 
     # A few rows each, used by everything that follows: worked out once.
@@ -70,13 +67,13 @@ def run(spark: SparkSession, source, out, run_at, as_of=None, table_prefix="", s
     score = stage(quality.dq_score(checks, run_at), "score")
     found = anomalies.detect(records, "fine_amount")
     files.export_parquet(analytics.zone_type_summary(records), paths["zone_aggregates"])
-    files.export_parquet(found, paths["anomalies"])
-    files.write_report(quality.report_lines(checks, score, found), paths["dq_report"])
+    files.export_parquet(written.watch("anomalies", found), paths["anomalies"])
+    files.write_report(quality.report_lines(checks, score, spark.read.parquet(paths["anomalies"])), paths["dq_report"])
 
     accepted, quarantined, alert = quality.gate(records, score)
     files.export_parquet(quarantined, paths["quarantine"])
     tables.append_record(alert, paths["log"] + "/alerts")
-    summary = quality.run_summary(raw, records, score, found).withColumns({
+    summary = quality.run_summary(score, *[written.rows(name) for name in ("raw", "clean", "anomalies")]).withColumns({
         "run_at": F.lit(run_at), "elapsed_sec": F.lit(round(time.monotonic() - started, 1))})
     tables.append_record(summary, paths["log"] + "/runs")
     verdict = score.first()

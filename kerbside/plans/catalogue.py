@@ -10,6 +10,7 @@ from kerbside.operators import (
 from kerbside.plans import cleaning
 from kerbside.plans.enriching import enrich
 from kerbside.session import exists, stage, write_stage
+from kerbside.sinks.tables import Written
 from kerbside.sources.incidents import raw_incidents, read_table
 
 # Fixed clock: the events end on the evening before.
@@ -450,18 +451,19 @@ def dq_gate_quarantine(spark, folder):
 def dq_gate_route(spark, folder):
     """Rows accepted, rows quarantined and alerts raised, on clean records."""
     df = clean_table(spark, folder)
-    score = stage(quality.dq_score(quality.dq_checks(df, AS_OF), RUN_AT), "score")
-    accepted, quarantined, alert = quality.gate(df, score)
-    sizes = [(accepted, "accepted"), (quarantined, "quarantined"), (alert, "alerts")]
-    return conform.union_all(*[d.agg(F.count("*").alias("rows")).withColumn("route", F.lit(n)) for d, n in sizes])
+    score = stage(quality.dq_score(stage(quality.dq_checks(df, AS_OF), "checks"), RUN_AT), "score")
+    return quality.gate_counts(df, score)
 
 
 @query
 def run_summary(spark, folder):
-    clean = clean_table(spark, folder)
-    return quality.run_summary(
-        raw(spark, folder), clean, stage(quality.dq_score(quality.dq_checks(clean, AS_OF)), "score"),
-        anomalies.detect(clean, "fine_amount"))
+    """A run that writes raw, clean and anomalous records, and its log, from what the writes have counted."""
+    written = Written()
+    step = lambda name, df: stage(written.watch(name, df), name)
+    clean = step("clean", cleaning.clean(step("raw", raw(spark, folder))))
+    step("anomalies", anomalies.detect(clean, "fine_amount"))
+    score = stage(quality.dq_score(stage(quality.dq_checks(clean, AS_OF), "checks")), "score")
+    return quality.run_summary(score, *[written.rows(name) for name in ("raw", "clean", "anomalies")])
 
 
 # --- warehouse, layout ----------------------------------------------------------------

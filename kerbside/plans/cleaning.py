@@ -34,14 +34,13 @@ def deduplicate(raw: DataFrame) -> DataFrame:
 def clean(raw: DataFrame, slab_spreads=None, cut=stage) -> DataFrame:
     """Deduplicate, fill, cap, flag, parse times, derive severity.
 
-    The deduplicated rows feed five small statistics and the final pass, so
-    they are written once (``cut``) instead of being shuffled six times.
+    The deduplicated rows are scanned twice for statistics and once in the
+    final pass, so they are written once (``cut``).
     """
     rows = cut(deduplicate(raw))
-    spread = impute.numeric_spreads(rows) if slab_spreads is None else slab_spreads
     # The categories are standardised by now, which bounds the (zone, type) pairs.
     return (
-        impute.impute(rows, spread, keep_quartiles=True, pairs=C.MAX_ZONE_TYPE_GROUPS)
+        impute.impute(rows, slab_spreads, keep_quartiles=True, pairs=C.MAX_ZONE_TYPE_GROUPS)
         .transform(impute.cap_values)
         .transform(impute.flag_fine_outliers)
         .transform(conform.add_time_features)
