@@ -1,5 +1,8 @@
 """Arrow batches of texts, cut into chunks of bounded size."""
 
+import ctypes
+import gc
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -9,6 +12,39 @@ from pyspark.sql import functions as F
 CHUNK_BYTES = 1 << 20
 
 
+#: What the running task of this worker process holds: tokenizers, matchers.
+_held = {}
+
+
+def held(key, build):
+    """``build()``, once per task: kept under ``key`` until the task ends."""
+    if key not in _held:
+        _held[key] = build()
+    return _held[key]
+
+
+def release():
+    """Let go of what a task held and give the memory back: Spark uses a worker process for many tasks."""
+    if _held:
+        _held.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # only some C libraries have it
+        pass
+
+
+def per_task(run):
+    """``run``, a function over Arrow batches, that releases what it held when it ends, fails or is no longer wanted."""
+    def ending(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+    return ending
+
+
 def pick(df, id_col="doc_id", text_col="text", **more):
     """Only the columns that an operator reads, under fixed names: ``doc_id``, ``text`` and ``more``.
 
@@ -60,4 +96,4 @@ def map_texts(df, work, fields, size=CHUNK_BYTES):
         for batch in chunks(batches, size):
             yield emit(schema, doc_id=batch.column(batch.schema.get_field_index("doc_id")).cast(schema.field("doc_id").type), **work(batch))
 
-    return df.mapInArrow(run, from_arrow_schema(schema))
+    return df.mapInArrow(per_task(run), from_arrow_schema(schema))

@@ -15,7 +15,7 @@ import re
 import numpy as np
 import pyarrow as pa
 
-from kerbside.llm.batches import map_texts, pick, texts_of
+from kerbside.llm.batches import held, map_texts, per_task, pick, texts_of
 from kerbside.llm.prefixdp import PrefixDP
 from kerbside.llm.wordcache import Flat, WordCache, code_points, gather
 
@@ -160,7 +160,7 @@ class Encoder:
     def __init__(self, path):
         self.vocabulary = Vocabulary(path)
         self.specials = sorted(self.vocabulary.special, key=len, reverse=True)
-        self.cache = WordCache(self._add, self._clear)
+        self.cache = WordCache(self._add, self._clear, lambda: self.ids.nbytes)
         self._clear()
 
     def _clear(self):
@@ -214,10 +214,9 @@ class Encoder:
         return self.vocabulary.decode(ids).decode("utf-8", "replace")
 
 
-@functools.lru_cache(2)
 def encoder(path):
-    """The encoder of this worker process."""
-    return Encoder(path)
+    """The encoder of the running task."""
+    return held(("encoder", path), lambda: Encoder(path))
 
 
 def default_path():
@@ -266,7 +265,7 @@ def _map_lists(df, work, fields):
                 part = batch.slice(at, 500)
                 yield emit(schema, doc_id=part.column(0), **work(part))
 
-    return df.mapInArrow(run, from_arrow_schema(schema))
+    return df.mapInArrow(per_task(run), from_arrow_schema(schema))
 
 
 def round_trip(df, path=None, id_col="doc_id", text_col="text"):

@@ -13,9 +13,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from kerbside.llm.batches import chunks, map_texts, pick, texts_of
+from kerbside.llm.batches import chunks, held, map_texts, per_task, pick, texts_of
 from kerbside.llm.bpe import LETTER, NUMBER, classes
 from kerbside.llm.wordcache import code_points
+from kerbside.session import stage
 
 #: Characters of benchmark items that are searched for at once; a larger benchmark is taken in blocks.
 BLOCK_CHARS = 8_000_000
@@ -153,22 +154,13 @@ def item_blocks(benchmark, share, id_col="item_id", text_col="text", block_chars
 
 
 class _Shared:
-    """A broadcast block of items; the automaton is built once in each worker."""
+    """A broadcast block of items; the automaton is built once in each task."""
 
     def __init__(self, spark, items, share):
         self.box, self.share = spark.sparkContext.broadcast(items), share
 
     def get(self):
-        items = self.box.value
-        held = _matchers.get(id(items))
-        if held is None or held[0] is not items:
-            _matchers.clear()
-            held = _matchers[id(items)] = (items, Matcher(items, self.share))
-        return held[1]
-
-
-#: The matcher of the block that this worker used last.
-_matchers = {}
+        return held(("matcher", id(self.box.value)), lambda: Matcher(self.box.value, self.share))
 
 
 def leaks(df, benchmark, share=0.05, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text", block_chars=BLOCK_CHARS):
@@ -181,16 +173,20 @@ def leaks(df, benchmark, share=0.05, id_col="doc_id", text_col="text", item_col=
     block is one pass without a shuffle, more blocks are united by a row key.
     """
     docs = pick(df, id_col, text_col)
-    blocks = [b for b in item_blocks(benchmark, share, item_col, item_text_col, block_chars) if b] or [[]]
-    if len(blocks) == 1:
-        return _one_block(docs, blocks[0], share)
-    from kerbside.session import stage
+    # One block at a time is on the driver; the second tells whether there is more than one.
+    blocks = (b for b in item_blocks(benchmark, share, item_col, item_text_col, block_chars) if b)
+    block, after = next(blocks, []), next(blocks, None)
+    if after is None:
+        return _one_block(docs, _Shared(docs.sparkSession, block, share))
     keyed = stage(docs.withColumn("row", F.monotonically_increasing_id()), "leaks")
     found = None
-    for block in blocks:
-        part = _one_block(keyed.select(F.col("row").alias("doc_id"), "text"), block, share)
+    while block is not None:
+        shared = _Shared(docs.sparkSession, block, share)
+        part = stage(_one_block(keyed.select(F.col("row").alias("doc_id"), "text"), shared).where("n_items > 0"), "leaks")
+        shared.box.destroy()
         found = part if found is None else found.unionByName(part)
-    each = found.where("n_items > 0").withColumn("f", F.explode(F.arrays_zip("items", "distances", "starts", "ends")))
+        block, after = after, next(blocks, None)
+    each = found.withColumn("f", F.explode(F.arrays_zip("items", "distances", "starts", "ends")))
     some = each.groupBy(F.col("doc_id").alias("row")).agg(F.array_sort(F.collect_list("f")).alias("f"))
     joined = keyed.select("row", "doc_id").join(some, "row", "left")
     empty = F.array().cast("array<long>")
@@ -202,9 +198,7 @@ def _item_type(items):
     return pa.string() if items and isinstance(items[0][0], str) else pa.int64()
 
 
-def _one_block(docs, items, share):
-    shared = _Shared(docs.sparkSession, items, share)
-
+def _one_block(docs, shared):
     def work(batch):
         out = {"n_items": [], "items": [], "distances": [], "starts": [], "ends": []}
         own = shared.get()
@@ -220,7 +214,7 @@ def _one_block(docs, items, share):
                 out[name].append([best[o][i] for o in order])
         return out
 
-    return map_texts(docs, work, [pa.field("n_items", pa.int64()), pa.field("items", pa.list_(_item_type(items))),
+    return map_texts(docs, work, [pa.field("n_items", pa.int64()), pa.field("items", pa.list_(_item_type(shared.box.value))),
                                   *(pa.field(n, pa.list_(pa.int64())) for n in ("distances", "starts", "ends"))])
 
 
@@ -238,4 +232,4 @@ def _without(df, shared, text_col):
             found = shared.get().search(texts_of(batch, text_col))
             yield batch.filter(pa.array([not f for f in found], pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(per_task(run), df.schema)

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema, to_arrow_type
 
-from kerbside.llm.batches import chunks, pick, texts_of
+from kerbside.llm.batches import chunks, per_task, pick, texts_of
 from kerbside.llm.graph import components
 from kerbside.llm.shingles import shingles
 from kerbside.llm.wordcache import mix
@@ -207,9 +207,9 @@ def shared_sets(docs, percent):
     answer, _ = _answerer(id_type)
     gather, out = _gatherer(id_type, percent)
     # As many tasks as parts, so that what a task holds at once stays near PART_BYTES.
-    asked = docs.mapInArrow(ask, row).repartition(parts, "part").sortWithinPartitions("part")
-    answered = asked.mapInArrow(answer, row).repartition(parts, "chunk").sortWithinPartitions("chunk")
-    return answered.mapInArrow(gather, out)
+    asked = docs.mapInArrow(per_task(ask), row).repartition(parts, "part").sortWithinPartitions("part")
+    answered = asked.mapInArrow(per_task(answer), row).repartition(parts, "chunk").sortWithinPartitions("chunk")
+    return answered.mapInArrow(per_task(gather), out)
 
 
 # --- 2: clusters ------------------------------------------------------------
@@ -373,14 +373,14 @@ def _with_end(batches):
 
 def candidate_pairs(clusters, percent):
     """Distinct pairs of clusters that share a posting with room for a link. Long lists are dealt to tasks by pairs of blocks."""
-    posts = stage(clusters.select("cluster", "least", "most", "posts").mapInArrow(_post_rows, from_arrow_schema(POSTED)), "posts")
+    posts = stage(clusters.select("cluster", "least", "most", "posts").mapInArrow(per_task(_post_rows), from_arrow_schema(POSTED)), "posts")
     counts = posts.groupBy("hash").agg(F.count("*").alias("rows")).where("rows > 1")
     ways = F.ceil(F.col("rows") / F.lit(LIST_ROWS)).cast("int")
     wide = posts.join(counts, "hash").withColumn("block", F.pmod(F.xxhash64("cluster"), ways).cast("int")) \
         .withColumn("other", F.explode(F.sequence(F.lit(0), ways - 1))) \
         .select("hash", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "cluster", "rest", "least", "most")
     run, schema = _pairer(percent)
-    return wide.repartition("hash", "lo", "hi").sortWithinPartitions("hash", "lo", "hi").mapInArrow(run, schema).distinct()
+    return wide.repartition("hash", "lo", "hi").sortWithinPartitions("hash", "lo", "hi").mapInArrow(per_task(run), schema).distinct()
 
 
 # --- 4: decisions -----------------------------------------------------------

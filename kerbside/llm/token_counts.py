@@ -7,13 +7,12 @@ beginning costs. Texts fall into pieces that no merge crosses; the prefix counts
 once and kept in a cache of bounded size.
 """
 
-import functools
 import re
 
 import numpy as np
 import pyarrow as pa
 
-from kerbside.llm.batches import map_texts, pick, texts_of
+from kerbside.llm.batches import held, map_texts, pick, texts_of
 from kerbside.llm.prefixdp import PrefixDP
 from kerbside.llm.wordcache import Flat, WordCache, code_points
 
@@ -89,7 +88,7 @@ class Counter:
 
     def __init__(self, path):
         self.vocabulary = Vocabulary(path)
-        self.cache = WordCache(self._add, self._clear)
+        self.cache = WordCache(self._add, self._clear, lambda: self.counts.nbytes)
         self._clear()
 
     def _clear(self):
@@ -152,9 +151,9 @@ class Counter:
             yield counts.astype(np.int32)
 
 
-@functools.lru_cache(2)
 def counter(path):
-    return Counter(path)
+    """The counter of the running task."""
+    return held(("counter", path), lambda: Counter(path))
 
 
 def default_path():

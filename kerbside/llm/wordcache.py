@@ -6,8 +6,8 @@ MASK = (1 << 64) - 1
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
 
-#: Pieces kept before a cache starts anew, and their characters.
-CACHE_PIECES, CACHE_CHARS = 500_000, 16_000_000
+#: Bytes that a cache holds before it starts anew.
+CACHE_BYTES = 40 << 20
 
 
 def mix(x):
@@ -51,29 +51,34 @@ def piece_hashes(codes, starts, ends):
 class WordCache:
     """Numbers distinct pieces. ``add(codes, starts, ends)`` gets the new ones of a chunk, once each.
 
-    ``clear()`` is called when the cache has grown past its bounds, so memory stays bounded
-    however many distinct pieces a task meets.
+    Hashes stand in a sorted array. ``clear()`` is called when they and what ``kept()`` says that the owner keeps for
+    them are past ``limit`` bytes, so memory stays bounded however many distinct pieces a task meets.
     """
 
-    def __init__(self, add, clear, pieces=CACHE_PIECES, chars=CACHE_CHARS):
-        self.add, self.clear, self.pieces, self.chars = add, clear, pieces, chars
-        self.known, self.held = {}, 0
+    def __init__(self, add, clear, kept, limit=CACHE_BYTES):
+        self.add, self.clear, self.kept, self.limit = add, clear, kept, limit
+        self._empty()
+
+    def _empty(self):
+        self.hashes, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int32)
 
     def numbers(self, codes, starts, ends):
         """The number of each piece ``codes[start:end]``, in the order of addition since the last clear."""
-        if len(self.known) > self.pieces or self.held > self.chars:
-            self.known, self.held = {}, 0
+        if self.hashes.nbytes + self.at.nbytes + self.kept() > self.limit:
+            self._empty()
             self.clear()
         hashes, first, inverse = np.unique(piece_hashes(codes, starts, ends), return_index=True, return_inverse=True)
-        known = self.known
-        numbers = np.array([known.get(h, -1) for h in hashes.tolist()], np.int64)
+        place = np.searchsorted(self.hashes, hashes)
+        numbers = np.full(len(hashes), -1, np.int64)
+        near = np.minimum(place, max(0, len(self.hashes) - 1))
+        if len(self.hashes):
+            same = self.hashes[near] == hashes
+            numbers[same] = self.at[near[same]]
         new = np.flatnonzero(numbers < 0)
         if len(new):
-            numbers[new] = np.arange(len(known), len(known) + len(new))
-            known.update(zip(hashes[new].tolist(), numbers[new].tolist()))
-            starts, ends = starts[first[new]], ends[first[new]]
-            self.held += int((ends - starts).sum())
-            self.add(codes, starts, ends)
+            numbers[new] = np.arange(len(self.hashes), len(self.hashes) + len(new))
+            self.hashes, self.at = np.insert(self.hashes, place[new], hashes[new]), np.insert(self.at, place[new], numbers[new])
+            self.add(codes, starts[first[new]], ends[first[new]])
         return numbers[inverse]
 
 
@@ -93,15 +98,19 @@ class Flat:
 
     def extend(self, values, widths):
         self.parts.append(np.asarray(values, self.kind))
-        self.widths.append(np.asarray(widths, np.int64))
+        self.widths.append(np.asarray(widths, np.int32))
+
+    @property
+    def nbytes(self):
+        return sum(a.nbytes for held in (self.parts, self.widths) for a in held)
 
     def arrays(self):
         """``(flat, offsets, widths)``"""
         for name in ("parts", "widths"):
             held = getattr(self, name)
             if len(held) != 1:
-                setattr(self, name, [np.concatenate(held)] if held else [np.zeros(0, self.kind if name == "parts" else np.int64)])
-        widths = self.widths[0]
+                setattr(self, name, [np.concatenate(held)] if held else [np.zeros(0, self.kind if name == "parts" else np.int32)])
+        widths = self.widths[0].astype(np.int64)
         return self.parts[0], np.cumsum(widths) - widths, widths
 
 
