@@ -128,3 +128,26 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("fine_amount", T.DoubleType()),
     T.StructField("vehicle_plate", T.StringType()),
 ])
+
+# The wording of the schema report, by rule. %d and %.1f are the figure of the finding.
+SCHEMA_MESSAGES = {
+    "required": "Missing required column: '{field}'",
+    "nulls": "'{field}' has %d nulls",
+    "bounds": "'{field}' has %d values outside [{low:g}, {high:g}]",
+    "duplicates": "%d duplicate rows detected",
+    "null_rate": "fine_amount null rate %.1f%% exceeds 5%% threshold",
+    "allowed_set": "'%s' contains %d unexpected values",
+}
+
+# The wording of the quality report and of its alert.
+REPORT_TITLE = "# Data Quality Report"
+REPORT_RUN_AT = "**Run at:** "
+REPORT_SCORE = "**Overall score:** %.1f%%  |  Passed: %d  |  Failed: %d"
+REPORT_CHECKS = ["", "## Check Results", "| Dimension | Field | Status | Detail |", "|-----------|-------|--------|--------|"]
+REPORT_CHECK = "| %s | %s | %s %s | %s |"
+REPORT_ANOMALIES = ["", "## Anomaly Detection"]
+REPORT_TOTAL = "**Total anomalies flagged:** %d"
+REPORT_ANOMALY_HEAD = ["", "| violation_id | fine_amount | reason |", "|---|---|---|"]
+REPORT_ICONS = {"PASS": "✓", "WARN": "⚠"}
+REPORT_OTHER_ICON = "✗"
+ALERT_MESSAGE = "DQ ALERT: score=%.1f%% - below {threshold:.0f}%% threshold"

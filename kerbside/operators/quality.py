@@ -156,8 +156,7 @@ def unexpected_values(df: DataFrame, allowed=None) -> DataFrame:
 def schema_report(df: DataFrame) -> DataFrame:
     """Contract breaches only, as rows (level, rule, field, n, message)."""
     have = set(df.columns)
-    aggs = [F.count("*").alias("rows")]
-    findings = []
+    aggs, findings, say = [F.count("*").alias("rows")], [], C.SCHEMA_MESSAGES
 
     def finding(level, rule, field, n, fired, message):
         row = F.struct(
@@ -167,33 +166,33 @@ def schema_report(df: DataFrame) -> DataFrame:
 
     for c in C.REPORT_REQUIRED:
         if c not in have:
-            finding("error", "required", c, F.lit(1), F.lit(True), F.lit(f"Missing required column: '{c}'"))
+            finding("error", "required", c, F.lit(1), F.lit(True), F.lit(say["required"].format(field=c)))
     for c in C.NON_NULLABLE:
         if c in have:
             aggs.append(F.count_if(F.col(c).isNull()).alias(f"null_{c}"))
             n = F.col(f"null_{c}")
-            finding("warning", "nulls", c, n, n > 0, F.format_string(f"'{c}' has %d nulls", n))
+            finding("warning", "nulls", c, n, n > 0, F.format_string(say["nulls"].format(field=c), n))
     for c in ("speed_kmh", "fine_amount", "latitude", "longitude"):
         if c in have:
             low, high = C.BOUNDS[c]
             aggs.append(F.coalesce(F.sum(X.outside(X.number(F.col(c)), low, high)), F.lit(0)).alias(f"out_{c}"))
             n = F.col(f"out_{c}")
             finding("error", "bounds", c, n, n > 0,
-                    F.format_string(f"'{c}' has %d values outside [{low:g}, {high:g}]", n))
+                    F.format_string(say["bounds"].format(field=c, low=low, high=high), n))
     n = F.col("dup_rows")
-    finding("warning", "duplicates", "*", n, n > 0, F.format_string("%d duplicate rows detected", n))
+    finding("warning", "duplicates", "*", n, n > 0, F.format_string(say["duplicates"], n))
     if "fine_amount" in have:
         aggs.append(_rate(F.col("fine_amount").isNull()).alias("fine_null"))
         pct = F.col("fine_null") * 100
         finding("error", "null_rate", "fine_amount", pct, pct > C.MAX_FINE_NULL_PCT,
-                F.format_string("fine_amount null rate %.1f%% exceeds 5%% threshold", pct))
+                F.format_string(say["null_rate"], pct))
 
     wide = df.agg(*aggs).crossJoin(F.broadcast(duplicate_rows(df, "dup_rows")))
     fired = wide.select(F.explode(F.array_compact(F.array(*findings))).alias("f")).select("f.*")
     sets = unexpected_values(df).groupBy("field").agg(F.count("*").alias("k")).select(
         F.lit("warning").alias("level"), F.lit("allowed_set").alias("rule"), "field",
         F.col("k").cast("double").alias("n"),
-        F.format_string("'%s' contains %d unexpected values", "field", "k").alias("message"))
+        F.format_string(say["allowed_set"], "field", "k").alias("message"))
     return fired.unionByName(sets)
 
 
@@ -224,7 +223,7 @@ def gate(df: DataFrame, score: DataFrame, threshold=C.GATE_SCORE):
         "__score", "gate_reason")
     quarantined = judged.filter(F.col("gate_reason").isNotNull()).drop("__score")
     alert = score.filter(F.col("score") < threshold).select(
-        F.format_string(f"DQ ALERT: score=%.1f%% - below {threshold:.0f}%% threshold", "score").alias("message"),
+        F.format_string(C.ALERT_MESSAGE.format(threshold=threshold), "score").alias("message"),
         "score")
     return accepted, quarantined, alert
 
@@ -259,28 +258,18 @@ def report_lines(checks: DataFrame, score: DataFrame, anomalies: DataFrame, top=
 
     The first ``top`` anomalies in id order are listed; the count covers all.
     """
-    icon = F.when(F.col("status") == "PASS", "✓").when(F.col("status") == "WARN", "⚠").otherwise("✗")
+    lines = lambda texts: [F.lit(t) for t in texts]
+    icon = X.lookup(F.col("status"), C.REPORT_ICONS, C.REPORT_OTHER_ICON)
     head = score.select(F.posexplode(F.array(
-        F.lit("# Data Quality Report"),
-        F.concat(F.lit("**Run at:** "), F.col("run_at")),
-        F.format_string("**Overall score:** %.1f%%  |  Passed: %d  |  Failed: %d", "score", "n_pass", "n_fail"),
-        F.lit(""),
-        F.lit("## Check Results"),
-        F.lit("| Dimension | Field | Status | Detail |"),
-        F.lit("|-----------|-------|--------|--------|"),
-    )).alias("line_no", "text"))
+        F.lit(C.REPORT_TITLE), F.concat(F.lit(C.REPORT_RUN_AT), F.col("run_at")),
+        F.format_string(C.REPORT_SCORE, "score", "n_pass", "n_fail"), *lines(C.REPORT_CHECKS))).alias("line_no", "text"))
     body = checks.select(
         (F.lit(100) + F.col("seq")).alias("line_no"),
-        F.format_string("| %s | %s | %s %s | %s |", "dimension", "field", icon, "status", "detail").alias("text"))
+        F.format_string(C.REPORT_CHECK, "dimension", "field", icon, "status", "detail").alias("text"))
     total = anomalies.agg(F.count("*").alias("n"))
-    middle = total.select(F.posexplode(F.concat(
-        F.array(
-            F.lit(""), F.lit("## Anomaly Detection"),
-            F.format_string("**Total anomalies flagged:** %d", "n")),
-        F.when(F.col("n") > 0, F.array(
-            F.lit(""), F.lit("| violation_id | fine_amount | reason |"), F.lit("|---|---|---|")))
-        .otherwise(F.array().cast("array<string>")),
-    )).alias("at", "text")).select((F.lit(1000) + F.col("at")).alias("line_no"), "text")
+    listed = F.when(F.col("n") > 0, F.array(*lines(C.REPORT_ANOMALY_HEAD))).otherwise(F.array().cast("array<string>"))
+    found = F.array(*lines(C.REPORT_ANOMALIES), F.format_string(C.REPORT_TOTAL, "n"))
+    middle = total.select(F.posexplode(F.concat(found, listed)).alias("at", "text")).select((F.lit(1000) + F.col("at")).alias("line_no"), "text")
     first = anomalies.orderBy("violation_id").limit(top)
     numbered = first.agg(F.sort_array(F.collect_list(F.struct("violation_id", "fine_amount", "anomaly_reason"))).alias("a"))
     tail = numbered.select(F.posexplode("a").alias("at", "r")).select(
