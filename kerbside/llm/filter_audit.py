@@ -13,6 +13,7 @@ there is no row. Other columns are not read.
 
 import itertools
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -22,6 +23,9 @@ from kerbside.session import shared_path, stage
 #: Failing rows per bucket, and the size from which a group of equal texts is joined by broadcast, not by shuffle.
 BUCKET_ROWS, HOT_ROWS = 1_000_000, 100_000
 
+#: Prefixes that one job counts: plans of all of them at once are too much for a driver of a few hundred MB.
+JOB_PREFIXES = 4
+
 
 def text_filters(text):
     """Fixed rules on whole texts, true where a text fails: ``A`` short, ``B`` repetitive, ``C`` shouting, ``D`` symbols."""
@@ -109,20 +113,21 @@ class FailingIds:
 
     def counts(self) -> DataFrame:
         """Per prefix (the bits of its filters), filter and part: removed, good and toxic among them, redundant."""
-        out = None
-        for size in range(len(self.names)):
-            for before in itertools.combinations(self.names, size):
-                number = lambda c: F.sum(c.cast("long"))
-                now = self.removed(before).groupBy("part", "filter").agg(
-                    F.count("*").alias("removed"), number(F.col("good")).alias("good_lost"), number(F.col("toxic")).alias("toxic_lost"))
-                now = now.withColumn("redundant", F.lit(0).cast("long"))
-                if before:
-                    gone = self.redundant(before).groupBy("part", "filter").agg(F.count("*").alias("redundant"))
-                    zero = [F.lit(0).cast("long").alias(c) for c in ("removed", "good_lost", "toxic_lost")]
-                    now = now.unionByName(gone.select("part", "filter", *zero, "redundant"))
-                now = now.withColumn("prefix", F.lit(self.bits(before)))
-                out = now if out is None else out.unionByName(now)
-        return stage(out.groupBy("prefix", "filter", "part").agg(*[F.sum(c).alias(c) for c in ("removed", "good_lost", "toxic_lost", "redundant")]), "prefix-counts")
+        prefixes = [p for size in range(len(self.names)) for p in itertools.combinations(self.names, size)]
+        jobs = [prefixes[i:i + JOB_PREFIXES] for i in range(0, len(prefixes), JOB_PREFIXES)]
+        return reduce(DataFrame.unionByName, [stage(self._counted(job), "prefix-counts") for job in jobs])
+
+    def _counted(self, prefixes):
+        """The counts of some prefixes; what a prefix leaves and what it has made redundant are rows until they are summed."""
+        rows = []
+        for before in prefixes:
+            rows.append(self.removed(before).withColumns({"gone": F.lit(False), "prefix": F.lit(self.bits(before))}))
+            if before:
+                rows.append(self.redundant(before).withColumns({"gone": F.lit(True), "prefix": F.lit(self.bits(before))}))
+        now = ~F.col("gone")
+        return reduce(DataFrame.unionByName, rows).groupBy("prefix", "part", "filter").agg(
+            F.count_if(now).alias("removed"), F.count_if(F.col("good") & now).alias("good_lost"), F.count_if(F.col("toxic") & now).alias("toxic_lost"),
+            F.count_if(F.col("gone")).alias("redundant"))
 
     def bits(self, names) -> int:
         return sum(1 << self.names.index(n) for n in names)
