@@ -1,9 +1,13 @@
 """Personal data: exact patterns, and a linear-chain conditional random field over word shapes for other forms.
 
 The patterns give the base spans. The field is trained from a small labelled table: windows around pattern matches of a
-bounded sample of the texts that have any, by kind, the same windows with the value written in another form, and clean windows. A token
-without a digit and without ``@`` can only be labelled as outside, so runs of the other tokens are sequences of their
-own, and Viterbi decodes them together in numpy batches; the labels are those of decoding whole texts.
+bounded sample of the texts that have any, by kind, the same windows with the values written in another form, and clean
+windows. A sequence is a stretch of a line: every token that holds a digit, an ``@`` or a spelled-out dot, and the
+``REACH`` tokens to either side, stretches that touch being one. What lies further from any such token is outside. A
+token is known by its own shape and by the words around it. Viterbi decodes sequences together in numpy batches.
+
+What the field adds must still be what its kind says: a card number passes its check sum, an address keeps to its
+ranges, a phone number to its digits.
 """
 
 import hashlib
@@ -11,12 +15,13 @@ import random
 import re
 import zlib
 from dataclasses import dataclass
+from itertools import takewhile
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from kerbside.llm.batches import chunks, map_texts, pick, texts_of
+from kerbside.llm.batches import chunks, map_texts, per_task, pick, texts_of
 from kerbside.session import stage
 
 # The kinds in their order, and their patterns.
@@ -28,7 +33,12 @@ IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 MARK = re.compile(r"[0-9@]")
-TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+")
+TOKEN = re.compile(r"\S+")
+#: A dot that is written out, alone or in brackets, between other tokens.
+SPELLED = re.compile(r"(?<!\S)[\[({]?(?:dot|DOT|Dot)[\])}]?(?!\S)")
+
+#: Tokens to either side of a marked one that belong to its sequence.
+REACH = 4
 
 LABELS = ["O", *(f"{p}-{k}" for k in KINDS for p in "BI")]
 
@@ -82,7 +92,7 @@ def shape(token):
     """Runs of digits become their length, letters collapse, other characters stay."""
     out = re.sub(r"[0-9]+", lambda m: f"9{min(m.end() - m.start(), 20)}", token)
     out = re.sub(r"[A-Z]*[a-z]+", "a", out)
-    return re.sub(r"[A-Z]+", "A", out)[:60]
+    return re.sub(r"[A-Z]+", "A", out)
 
 
 def features(token):
@@ -98,17 +108,48 @@ def features(token):
     return out
 
 
-def runs_of(text):
-    """Maximal runs of neighbouring tokens that hold a digit or ``@``: ``[[(start, end), ...], ...]``."""
-    out = []
-    for m in TOKEN.finditer(text):
-        if out and text[out[-1][-1][1]:m.start()].strip() == "" and m.start() - out[-1][-1][1] == 1:
-            out[-1].append(m.span())
-        else:
-            out.append([m.span()])
+def word(token):
+    """What a token is to its neighbours: its letters in lower case, or its shape if it has none."""
+    letters = re.sub(r"[^a-z]+", "", token.lower())
+    return letters or shape(token)
+
+
+def marked(text):
+    return bool(MARK.search(text) or SPELLED.search(text))
+
+
+def stretches(text):
+    """The sequences of a text: ``[[(start, end), ...], ...]``."""
+    out, at = [], 0
+    for line in text.split("\n"):
+        if marked(line):
+            tokens = [m.span() for m in TOKEN.finditer(line)]
+            last = -1
+            for i, (a, b) in enumerate(tokens):
+                token = line[a:b]
+                if not (MARK.search(token) or SPELLED.fullmatch(token)):
+                    continue
+                first, end = max(0, i - REACH), min(len(tokens), i + REACH + 1)
+                if first > last:
+                    out.append([])
+                    last = first
+                out[-1] += [(at + x, at + y) for x, y in tokens[last:end]]
+                last = max(last, end)
+        at += len(line) + 1
     return out
 
 
+#: The neighbours that a token is known by.
+AROUND = (("before", -1), ("before2", -2), ("after", 1))
+
+
+def all_features(tokens):
+    """The features of every token of a sequence, its neighbours among them."""
+    words = [word(t) for t in tokens]
+    near = lambda j: words[j] if 0 <= j < len(words) else ""
+    return [features(t) + [f"{name}={near(j + step)}" for name, step in AROUND] for j, t in enumerate(tokens)]
+
+
 @dataclass(frozen=True)
 class Crf:
     """Weights of a trained field: ``emit[feature, label]``, ``move[label, label]``, ``begin[label]``."""
@@ -121,15 +162,22 @@ class Crf:
     def scores(self, sequences):
         """Padded emission scores ``[sequence, position, label]`` and the lengths."""
         lengths = np.array([len(s) for s in sequences])
-        out = np.zeros((len(sequences), lengths.max(), len(LABELS)))
-        cache = {}
+        numbers, distinct = np.full((len(sequences), lengths.max()), -1, np.int64), {}
         for i, s in enumerate(sequences):
-            for j, token in enumerate(s):
-                row = cache.get(token)
-                if row is None:
-                    known = [self.names[f] for f in features(token) if f in self.names]
-                    row = cache[token] = self.emit[known].sum(axis=0)
-                out[i, j] = row
+            numbers[i, :len(s)] = [distinct.setdefault(t, len(distinct)) for t in s]
+        weigh = lambda names: self.emit[[self.names[f] for f in names if f in self.names]].sum(axis=0)
+        own = np.array([weigh(features(t)) for t in distinct])
+        out = np.where((numbers >= 0)[:, :, None], own[numbers], 0.0)
+        words = [word(t) for t in distinct]
+        for name, step in AROUND:
+            # The last row stands for the end of a sequence.
+            beside = np.array([weigh([f"{name}={w}"]) for w in (*words, "")])
+            shifted = np.full_like(numbers, -1)
+            if step < 0:
+                shifted[:, -step:] = numbers[:, :step]
+            else:
+                shifted[:, :-step] = numbers[:, step:]
+            out += np.where((numbers >= 0)[:, :, None], beside[shifted], 0.0)
         return out, lengths
 
     def viterbi(self, sequences):
@@ -176,10 +224,10 @@ def fit(labelled, rounds=120, rate=0.15, decay=1e-3, least=2):
     labelled = [(t, y) for t, y in labelled if t]
     if not any(any(y) for _, y in labelled):
         return None
-    seen = {}
-    for tokens, _ in labelled:
-        for t in tokens:
-            for f in features(t):
+    seen, described = {}, [all_features(tokens) for tokens, _ in labelled]
+    for own in described:
+        for names in own:
+            for f in names:
                 seen[f] = seen.get(f, 0) + 1
     names = {f: i for i, f in enumerate(sorted(f for f, n in seen.items() if n >= least))}
     n, width, k = len(labelled), max(len(t) for t, _ in labelled), len(LABELS)
@@ -189,14 +237,17 @@ def fit(labelled, rounds=120, rate=0.15, decay=1e-3, least=2):
     for i, (tokens, y) in enumerate(labelled):
         mask[i, :len(tokens)] = True
         gold[i, :len(y)] = y
-        for j, t in enumerate(tokens):
-            for f in features(t):
+        for j, own in enumerate(described[i]):
+            for f in own:
                 if f in names:
                     rows.append(i * width + j)
                     cols.append(names[f])
     rows, cols = np.array(rows), np.array(cols)
     order = np.argsort(rows, kind="stable")
     rows, cols = rows[order], cols[order]
+    filled, begins = np.unique(rows, return_index=True)
+    turned = np.argsort(cols, kind="stable")
+    by_name, name_begins = rows[turned], np.unique(cols[turned], return_index=True)[1]
     theta = [np.zeros((len(names), k)), np.zeros((k, k)), np.zeros(k)]
     for p in range(1, k):  # an inside label follows only its own kind
         if LABELS[p][0] == "I":
@@ -207,7 +258,7 @@ def fit(labelled, rounds=120, rate=0.15, decay=1e-3, least=2):
     one_hot = np.eye(k)[gold] * mask[:, :, None]
     for step in range(1, rounds + 1):
         emit = np.zeros((n * width, k))
-        np.add.at(emit, rows, theta[0][cols])
+        emit[filled] = np.add.reduceat(theta[0][cols], begins, axis=0)
         emit = emit.reshape(n, width, k)
         forward = np.zeros((n, width, k))
         forward[:, 0] = theta[2] + emit[:, 0]
@@ -224,8 +275,7 @@ def fit(labelled, rounds=120, rate=0.15, decay=1e-3, least=2):
             pairs += joint.sum(axis=0)
         marginal = np.exp(forward + backward - norm[:, None, None]) * mask[:, :, None]
         miss = (one_hot - marginal).reshape(n * width, k)
-        g_emit = np.zeros_like(theta[0])
-        np.add.at(g_emit, cols, miss[rows])
+        g_emit = np.add.reduceat(miss[by_name], name_begins, axis=0)
         g_move = -pairs
         both = mask[:, 1:]
         np.add.at(g_move, (gold[:, :-1][both], gold[:, 1:][both]), 1)
@@ -259,44 +309,66 @@ def _labels(text, spans, tokens):
 
 def _variants(kind, value, pick_one):
     """The same value in forms that the patterns do not know."""
-    if kind == "phone":
-        digits = re.sub("[^0-9]", "", value)
-        if len(digits) >= 10:
-            country, area, mid, end = digits[:-10], digits[-10:-7], digits[-7:-4], digits[-4:]
-            return pick_one([f"({area}) {mid}-{end}", f"{area}-{mid}-{end}", f"{area}.{mid}.{end}", f"{country or 1}-{area}-{mid}-{end}", f"00{country or 1} {area} {mid} {end}"])
+    digits = re.sub("[^0-9]", "", value)
+    if kind == "phone" and len(digits) >= 10:
+        country, area, mid, end = digits[:-10], digits[-10:-7], digits[-7:-4], digits[-4:]
+        return pick_one([f"({area}) {mid}-{end}", f"{area}-{mid}-{end}", f"{area}.{mid}.{end}", f"{country or 1}-{area}-{mid}-{end}", f"00{country or 1} {area} {mid} {end}"])
     if kind == "card":
-        digits = re.sub("[^0-9]", "", value)
-        return pick_one([".".join(digits[i:i + 4] for i in range(0, len(digits), 4)), "/".join(digits[i:i + 4] for i in range(0, len(digits), 4))])
+        mark = pick_one("./")
+        return mark.join(digits[i:i + 4] for i in range(0, len(digits), 4))
     if kind == "email":
         local, _, host = value.partition("@")
-        return pick_one([f"{local}[@]{host}", f"{local}(@){host}", f"{local}@{host.split('.')[0]}", f"{local}@[{host}]"])
+        return pick_one([f"{local}[@]{host}", f"{local}(@){host}", f"{local}@{host.split('.')[0]}", f"{local}@[{host}]", f"{local} at {host.replace('.', ' dot ')}", f"{local} [at] {host.replace('.', ' [dot] ')}"])
     return pick_one([value.replace(".", "[.]"), value.replace(".", "-")]) if kind == "ip" else value
 
 
+def _plain(token):
+    return not marked(token[0])
+
+
+def _window(text, spans):
+    """``(tokens, labels)`` of the stretches of a piece of text."""
+    for found in stretches(text):
+        yield [text[i:j] for i, j in found], _labels(text, spans, found)
+
+
 def labelled_windows(texts, seed=7, clean=3):
     """The labelled table from sample texts: ``[(tokens, labels), ...]``.
 
-    Each run of marked tokens is a window; one that holds a match is given once as it is and once with the value in
-    another form; of a text's runs without one up to ``clean`` are taken.
+    Every match is a window with the ``REACH`` tokens of its line to either side, once as it is and once with all values in it
+    written in other forms; of a text's stretches without a match up to ``clean`` are taken.
     """
     draw, out = random.Random(seed), []
     for text in texts:
-        spans, others = base_spans(text), []
-        for tokens in runs_of(text):
-            tokens = tokens[:40]
-            a, b = tokens[0][0], tokens[-1][1]
-            own = [s for s in spans if s[1] >= a and s[2] <= b]
-            if not own:
-                others.append(([text[i:j] for i, j in tokens], [0] * len(tokens)))
-                continue
-            out.append(([text[i:j] for i, j in tokens], _labels(text, own, tokens)))
-            kind, s, e = own[0]
-            other = _variants(kind, text[s:e], draw.choice)
-            changed = text[a:s] + other + text[e:b]
-            moved = [(kind, s - a, s - a + len(other))]
-            for found in runs_of(changed):
-                out.append(([changed[i:j] for i, j in found], _labels(changed, moved, found)))
-        out += draw.sample(others, min(clean, len(others)))
+        spans = sorted(base_spans(text), key=lambda s: (s[1], s[2]))
+        # Matches that touch are one window, so that no window cuts through a value.
+        joined = []
+        for kind, a, b in spans:
+            if joined and a <= joined[-1][1]:
+                joined[-1][1] = max(joined[-1][1], b)
+                joined[-1][2].append((kind, a, b))
+            else:
+                joined.append([a, b, [(kind, a, b)]])
+        for k, (a, b, own) in enumerate(joined):
+            low = max(text.rfind("\n", 0, a) + 1, joined[k - 1][1] if k else 0)
+            high = min(end if (end := text.find("\n", b)) >= 0 else len(text), joined[k + 1][0] if k + 1 < len(joined) else len(text))
+            before, after = list(TOKEN.finditer(text, max(low, a - 400), a)), list(TOKEN.finditer(text, b, min(high, b + 400)))
+            # Only plain words: what else is marked nearby may be a value in a form that no pattern knows.
+            start = min([a, *(m.start() for m in takewhile(_plain, before[:-REACH - 1:-1]))])
+            stop = max([b, *(m.end() for m in takewhile(_plain, after[:REACH]))])
+            piece = text[start:stop]
+            out += _window(piece, [(kind, x - start, y - start) for kind, x, y in own])
+            changed, moved, at = "", [], start
+            for kind, x, y in own:
+                if x < at:
+                    continue
+                other = _variants(kind, text[x:y], draw.choice)
+                changed += text[at:x]
+                moved.append((kind, len(changed), len(changed) + len(other)))
+                changed, at = changed + other, y
+            out += _window(changed + text[at:stop], moved)
+        others = [found for found in stretches(text) if not any(x < found[-1][1] and found[0][0] < y for _, x, y in spans)]
+        out += [([text[i:j] for i, j in found], [0] * len(found)) for found in draw.sample(others, min(clean, len(others)))]
     return out
 
 
@@ -313,24 +385,26 @@ def train(df, sample=2000, id_col="doc_id", text_col="text"):
     """A field from at most ``sample`` distinct texts: as many for each kind that have a match of it, and for none.
 
     Matches are looked for in all documents, so a kind that the table holds anywhere is labelled however rare it is;
-    within a kind texts are taken by their hash, and so are windows, of which there are four per text at most. The
+    within a kind texts are taken by their hash, and so are windows, of which there are as many as texts at most. The
     bounds keep what reaches the driver small whatever the table holds. A kind without any match is not learned; None
     when there is no match at all.
     """
     docs = pick(df, id_col, text_col).where("text IS NOT NULL").select("text", F.xxhash64("text").alias("h"))
     each = max(1, sample // (len(KINDS) + 1))
     # A task answers with the first hashes of each kind; the texts of the chosen are cut to windows on the executors.
-    first = stage(docs.where(F.col("text").rlike("[0-9@]")).mapInArrow(_first_hashes(each), "kind int, h long").distinct(), "hashes")
+    first = stage(docs.where(F.col("text").rlike("[0-9@]")).mapInArrow(per_task(_first_hashes(each)), "kind int, h long").distinct(), "hashes")
     chosen = sorted({r.h for kind in range(len(KINDS) + 1) for r in first.where(F.col("kind") == kind).orderBy("h").limit(each).collect()})
     if first.where("kind > 0").isEmpty():
         return None
-    windows = docs.where(F.col("h").isin(chosen)).select("text").distinct().mapInPandas(_window_rows, "tokens array<string>, labels array<int>")
+    # At most as many as the sample: a broadcast, not a list in the plan.
+    wanted = df.sparkSession.createDataFrame([(h,) for h in chosen], "h long")
+    windows = docs.join(F.broadcast(wanted), "h", "left_semi").select("text").distinct().mapInPandas(_window_rows, "tokens array<string>, labels array<int>")
     windows = stage(windows.withColumn("wid", F.monotonically_increasing_id()), "windows")
     order, rows = (F.xxhash64("tokens"), F.to_json("tokens"), F.to_json("labels")), {}
     for kind in range(len(KINDS) + 1):
         begins = LABELS.index(f"B-{KINDS[kind - 1]}") if kind else 0
         own = F.array_contains("labels", begins) | F.array_contains("labels", begins + 1) if kind else F.array_max("labels") == 0
-        for r in windows.where(own).orderBy(*order).limit(4 * each).collect():
+        for r in windows.where(own).orderBy(*order).limit(each).collect():
             rows[r.wid] = (list(r.tokens), list(r.labels))
     return fit(sorted(rows.values()) + ordinary_windows()) if rows else None
 
@@ -365,8 +439,8 @@ def crf_spans(texts, model):
     """For each text the spans that the field finds."""
     where, sequences = [], []
     for i, text in enumerate(texts):
-        if MARK.search(text):
-            for tokens in runs_of(text):
+        if marked(text):
+            for tokens in stretches(text):
                 where.append((i, tokens))
                 sequences.append([text[a:b] for a, b in tokens])
     out = [[] for _ in texts]
@@ -387,12 +461,25 @@ def crf_spans(texts, model):
     return out
 
 
+def plausible(kind, value):
+    """Whether a value that the field has found is what its kind says, however it is written."""
+    digits = re.sub("[^0-9]", "", value)
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and luhn(digits)
+    if kind == "ip":
+        parts = re.findall("[0-9]+", value)
+        return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
+    if kind == "phone":
+        return 9 <= len(digits) <= 15
+    return "@" in value.strip("@") or bool(re.search(r"[\[({ ](?:at|AT|At)[\])} ]", value) and SPELLED.search(value))
+
+
 def find(texts, model=None):
-    """For each text ``(base, all spans)``; spans of the field that touch a base span are left out."""
+    """For each text ``(base, all spans)``; spans of the field that touch a base span, or are not plausible, are left out."""
     base = [base_spans(t) for t in texts]
     added = crf_spans(texts, model) if model else [[]] * len(texts)
-    for own, more in zip(base, added):
-        fresh = [s for s in more if not any(s[1] < e and b < s[2] for _, b, e in own)]
+    for text, own, more in zip(texts, base, added):
+        fresh = [s for s in more if plausible(s[0], text[s[1]:s[2]]) and not any(s[1] < e and b < s[2] for _, b, e in own)]
         yield own, sorted([*own, *fresh], key=lambda s: (KINDS.index(s[0]), s[1], s[2]))
 
 
@@ -446,4 +533,4 @@ def redact(df, model=None, text_col="text", chars_col=None):
                 arrays[chars_col] = pa.array([None if t is None else len(t) for t in arrays[text_col].to_pylist()], batch.schema.field(chars_col).type)
             yield pa.RecordBatch.from_arrays(list(arrays.values()), names=list(arrays))
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(per_task(run), schema)
