@@ -7,15 +7,17 @@ per character wins. A text that even its best model finds stranger than practica
 the limit is calibrated on learning texts and widens for short ones.
 """
 
+import functools
 import pickle
-from dataclasses import dataclass
+from collections import Counter
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from kerbside.functions.ordered import quantiles
-from kerbside.llm.batches import CHUNK_BYTES, chunks, emit, map_texts, pick, texts_of
+from kerbside.llm.batches import CHUNK_BYTES, chunks, emit, map_texts, per_task, pick, texts_of
 from kerbside.llm.bpe import LETTER, classes
 from kerbside.llm.wordcache import code_points
 from kerbside.session import stage
@@ -27,11 +29,60 @@ LEAST_REACH = 0.5
 _BITS = np.uint64(16)
 
 
-def stream(texts):
+#: The code of a letter beyond the basic plane that no learning row holds.
+STRANGE = 0xFFFF
+
+
+@functools.cache
+def spare_codes():
+    """The 16-bit codes that stand for no letter of the basic plane."""
+    free = np.flatnonzero(classes()[:STRANGE] != LETTER)
+    return free[~np.isin(free, (0, 1, 32))]
+
+
+def narrow(codes, planes):
+    """16-bit codes of code points: letters beyond the basic plane get the spare codes, in the order of ``planes``.
+
+    A letter that was never learned from is unlike any learned one, so all of these may share a code.
+    """
+    far = codes > STRANGE
+    if not far.any():
+        return codes
+    out = np.where(far, STRANGE, codes)
+    if len(planes):
+        letters = codes[far]
+        order = np.argsort(planes)
+        at = order[np.minimum(np.searchsorted(planes, letters, sorter=order), len(planes) - 1)]
+        out[far] = np.where(planes[at] == letters, spare_codes()[at], STRANGE)
+    return out
+
+
+def far_letters(df, most=None):
+    """The letters beyond the basic plane in a table from ``pick``, the most frequent first.
+
+    There are as many spare codes as the basic plane has characters that are no letters, some 16,000. Texts of more
+    such letters, which only ideographs are many enough for, have one code for the rarest of them.
+    """
+    def letters(batches):
+        seen = Counter()
+        for batch in chunks(batches):
+            for text in texts_of(batch):
+                codes = code_points(text.lower())
+                codes = codes[codes > STRANGE]
+                found, n = np.unique(codes[classes()[codes] == LETTER], return_counts=True)
+                seen.update(dict(zip(found.tolist(), n.tolist())))
+        yield pa.RecordBatch.from_pydict({"letter": pa.array(list(seen), pa.int32()), "n": pa.array(list(seen.values()), pa.int64())})
+
+    rows = df.where(F.col("text").rlike(r"[\x{10000}-\x{10FFFF}]")).select("text").mapInArrow(per_task(letters), "letter int, n long")
+    found = rows.groupBy("letter").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "letter").limit(most or len(spare_codes()))
+    return np.array([r.letter for r in found.collect()], np.int64)
+
+
+def stream(texts, planes=()):
     """Letters in lower case with one blank for whatever lies between, each text after ``ORDER - 1`` blanks.
 
     Returns the n-gram key at every character of a text, the number of the text it belongs to, and the letters of
-    each text. A key holds the last ``ORDER`` characters, 16 bits each; rarer planes share one code.
+    each text. A key holds the last ``ORDER`` characters, 16 bits each; see :func:`narrow` for letters that have more.
     """
     mark = np.array([1], np.uint32)
     codes = np.concatenate([x for t in texts for x in (mark, code_points(t.lower()))])
@@ -43,7 +94,7 @@ def stream(texts):
     border[begins] = True
     keep = letter | border
     keep[1:] |= letter[:-1]
-    kept = np.where(letter, np.minimum(codes, 0xFFFF), 32)[keep].astype(np.uint64)
+    kept = narrow(np.where(letter, codes, 32)[keep], planes).astype(np.uint64)
     border, letter = border[keep], letter[keep]
     kept = np.repeat(kept, np.where(border, ORDER - 1, 1))
     owner = np.repeat(np.cumsum(border) - 1, np.where(border, ORDER - 1, 1))
@@ -55,7 +106,7 @@ def stream(texts):
     return keys[~blank], owner[~blank], letters
 
 
-def count_rows(batches):
+def count_rows(batches, planes=()):
     """Arrow batches with ``lang, half, text`` to rows ``lang, half, gram, n``, folded within the task."""
     schema = pa.schema([("lang", pa.string()), ("half", pa.int32()), ("gram", pa.int64()), ("n", pa.int64())])
     held = {}
@@ -72,7 +123,7 @@ def count_rows(batches):
         kinds = list(zip(*(batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("lang", "half"))))
         texts = texts_of(batch)
         for kind in dict.fromkeys(kinds):
-            keys, _, _ = stream([t for t, own in zip(texts, kinds) if own == kind])
+            keys, _, _ = stream([t for t, own in zip(texts, kinds) if own == kind], planes)
             grams, n = np.unique(keys, return_counts=True)
             held.setdefault(kind, []).append((grams, n))
             size += len(grams)
@@ -177,10 +228,11 @@ class Identifier:
     blocks: list
     usual: dict
     reach: float = float("inf")
+    planes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
     def entropies(self, texts):
         """Cross-entropies ``[text, language]`` in nats a character, characters and letters of each text."""
-        keys, owner, letters = stream(texts)
+        keys, owner, letters = stream(texts, self.planes)
         grams, inverse = np.unique(keys, return_inverse=True)
         size = np.bincount(owner, minlength=len(texts))
         middle = (grams >> _BITS & np.uint64(0xFFFF)).astype(np.int64)
@@ -323,9 +375,11 @@ def train(df, reject=0.0005, slack=1.5, piece_grams=500_000, block_grams=4_000_0
     spark = df.sparkSession
     rows = pick(df, id_col, text_col, lang=lang_col).where("text IS NOT NULL AND lang IS NOT NULL")
     half = F.pmod(F.xxhash64(F.lit(1), "doc_id"), F.lit(2)).cast("int")
-    counts = rows.select("lang", half.alias("half"), "text").mapInArrow(count_rows, "lang string, half int, gram long, n long") \
+    planes = far_letters(rows)
+    counts = rows.select("lang", half.alias("half"), "text").mapInArrow(per_task(functools.partial(count_rows, planes=planes)), "lang string, half int, gram long, n long") \
         .groupBy("lang", "gram").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("half") == 0, F.col("n")).otherwise(0)).alias("m"))
     found, first = fit(stage(counts, "counts"), piece_grams, block_grams)
+    found.planes = first.planes = planes
     if not first.names:
         return found
     at = np.array([found.names.index(g) for g in first.names])
@@ -337,7 +391,7 @@ def train(df, reject=0.0005, slack=1.5, piece_grams=500_000, block_grams=4_000_0
             use = letters > 0
             yield pa.RecordBatch.from_pydict({"best": at[best[use]], "value": entropy[np.arange(len(best)), best][use], "size": size[use]})
 
-    seen = stage(rows.where(half == 1).select("text").mapInArrow(figures, "best long, value double, size long"), "entropies")
+    seen = stage(rows.where(half == 1).select("text").mapInArrow(per_task(figures), "best long, value double, size long"), "entropies")
     for block in first.blocks:
         block.destroy()
     for some in (seen, seen.where("size >= 50")):
@@ -371,7 +425,7 @@ def keep_identified(df, identifier, text_col="text"):
         for batch in chunks(batches, identifier.chunk_bytes(), text=text_col):
             yield batch.filter(pa.array(~np.array(identifier.predict(texts_of(batch, text_col))[2], bool)))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(per_task(run), df.schema)
 
 
 def learning_rows(df, id_col="doc_id"):
