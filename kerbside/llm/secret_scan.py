@@ -11,7 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from kerbside.llm.batches import chunks, emit, id_field, pick, texts_of
+from kerbside.llm.batches import chunks, emit, id_field, per_task, pick, texts_of
 from kerbside.session import stage
 
 # The kinds in their order, and their patterns.
@@ -26,8 +26,8 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")
 MIXED = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
 DIGIT = re.compile(r"[0-9]")
 
-#: Values that stand for a secret in examples.
-PLACEHOLDERS = ("example", "changeme", "your", "xxxx", "test", "dummy", "sample", "placeholder", "1234567", "abcdef")
+#: What a credential has at least: bits in all, and of the bits a character that its length allows.
+LEAST_BITS, LEAST_DENSITY = 40, 0.78
 
 
 def base_spans(text):
@@ -62,9 +62,9 @@ def mixed_spans(text, base, least=3.6):
 
 
 def looks_real(secret):
-    """Not a placeholder, and not a few characters over and over."""
-    lower = secret.lower()
-    return not any(p in lower for p in PLACEHOLDERS) and entropy(secret) >= 2.5
+    """As varied as a credential: neither short and plain nor a few characters over and over."""
+    bits = entropy(secret)
+    return bits * len(secret) >= LEAST_BITS and bits >= LEAST_DENSITY * min(4.0, np.log2(len(secret)))
 
 
 def written(spans):
@@ -98,21 +98,28 @@ def findings(df, id_col="doc_id", text_col="text", owner_col="source", repositor
             kept |= {n: kept[n].cast(pa.string()) for n in ("owner", "repository")}
             yield emit(schema, **kept, **out)
 
-    return docs.mapInArrow(run, from_arrow_schema(schema))
+    return docs.mapInArrow(per_task(run), from_arrow_schema(schema))
 
 
 def ownership(candidates, copied_owners=3):
     """For each candidate hash its distinct owners and repositories, and a verdict.
 
-    ``copied``: at least ``copied_owners`` owners hold it; ``live``: fewer do and it looks real; else ``weak``.
-    Equal (hash, owner, repository) rows fold first, spread over all three, and owners next, so no task ever holds
+    Owners count by how evenly its repositories are spread over them: with ``r`` repositories of each, it has
+    ``sum(r)^2 / sum(r^2)`` owners in effect. A credential of one owner that a fork or two has taken along still has
+    little more than one; an example that everybody pastes has as many as hold it. ``copied``: at least
+    ``copied_owners`` in effect; ``live``: fewer, and it is as varied as a credential; else ``weak``. Equal (hash, owner, repository) rows fold first, spread over all three, and owners next, so no task ever holds
     the rows of a candidate that a third of all rows have. Null owners and repositories count as none.
     """
     real = F.max("real").alias("real")
     triples = candidates.groupBy("hash", "owner", "repository").agg(real)
     pairs = triples.groupBy("hash", "owner").agg(F.count("repository").alias("repositories"), real)
-    folded = pairs.groupBy("hash").agg(F.count("owner").alias("owners"), F.sum("repositories").alias("repositories"), real)
-    verdict = F.when(F.col("owners") >= copied_owners, "copied").when(F.col("real"), "live").otherwise("weak")
+    known = F.when(F.col("owner").isNotNull(), F.col("repositories").cast("decimal(19,0)"))
+    folded = pairs.groupBy("hash").agg(
+        F.count("owner").alias("owners"), F.sum("repositories").alias("repositories"), real,
+        F.sum(known).alias("held"), F.sum(known * known).alias("squares"))
+    # Whole numbers, so that an even spread over just so many owners counts.
+    spread = (F.col("held").cast("double") * F.col("held").cast("double") >= F.lit(float(copied_owners)) * F.col("squares").cast("double")) & (F.col("held") > 0)
+    verdict = F.when(spread, "copied").when(F.col("real"), "live").otherwise("weak")
     return folded.select("hash", "owners", "repositories", verdict.alias("verdict"))
 
 
