@@ -213,10 +213,13 @@ def _near(reach):
             if not batch.num_rows:
                 continue
             get = lambda n: batch.column(batch.schema.get_field_index(n))
-            keep = []
-            for c, d, r, s in zip(*(get(n).to_pylist() for n in ("a_centre", "b_centre", "a_radius", "b_radius"))):
-                gap = math.dist(_matrix([c])[0], _matrix([d])[0])
-                keep.append(gap <= r + s + reach + 1e-7)
+            centres = [get(n).to_pylist() for n in ("a_centre", "b_centre")]
+            sizes, gaps = np.array([len(c) for c in centres[0]]), np.zeros(batch.num_rows)
+            for size in np.unique(sizes):  # vectors of one length at a time
+                at = np.flatnonzero(sizes == size)
+                apart = _matrix([centres[0][i] for i in at]) - _matrix([centres[1][i] for i in at])
+                gaps[at] = np.sqrt((apart * apart).sum(axis=1))
+            keep = gaps <= get("a_radius").to_numpy() + get("b_radius").to_numpy() + reach + 1e-7
             yield pa.RecordBatch.from_arrays([get("a"), get("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
     return run
 
