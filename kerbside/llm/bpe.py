@@ -28,11 +28,14 @@ SENTINEL = 0x10FFFF + 1
 def classes():
     """The class of each code point, as the splitting pattern sees it; one more entry for the end of a text."""
     import regex
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, SENTINEL)]))
     out = np.full(SENTINEL + 1, OTHER, np.uint8)
-    for kind, pattern in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\p{White_Space}+")):
-        for m in regex.finditer(pattern, every):
-            out[code_points(m[0])] = kind
+    kinds = [(kind, regex.compile(p)) for kind, p in ((LETTER, r"\p{L}+"), (NUMBER, r"\p{N}+"), (SPACE, r"\p{White_Space}+"))]
+    # Piece by piece: a string of all characters costs a worker 120 MB.
+    for low in range(0, SENTINEL, 1 << 12):
+        some = "" if 0xD800 <= low < 0xE000 else "".join(map(chr, range(low, low + (1 << 12))))  # surrogates are none
+        for kind, pattern in kinds:
+            for m in pattern.finditer(some):
+                out[low + m.start():low + m.end()] = kind
     out[SENTINEL] = END
     return out
 

@@ -6,6 +6,7 @@ import re
 import compare
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from kerbside.llm import bpe, cotraining, cover_tree, decontaminate, graph, jaccard_join, langid, pii, sharding
@@ -204,10 +205,29 @@ def test_shards(spark, tmp_path):
         assert ordered["curve"].is_monotonic_increasing
     few = sharding.place(df.limit(3), 8, ["a"], keep=["doc_id"])
     assert few.count() == 3 and few.select("shard").distinct().count() == 3 and sharding.place(df.limit(0), 8, ["a"]).collect() == []
-    sharding.write(df, str(tmp_path / "out"), 4, ["a", "b", "c"], ["doc_id"])
-    back = spark.read.parquet(str(tmp_path / "out"))
-    assert compare.rows_of(df.columns, back.select(df.columns).collect()) == compare.rows_of(df.columns, df.collect())
     assert sharding.ranges(sharding.place(df, 4, ["a", "c"]), ["c"]).count() == 4
+    # Whatever the columns are called: nothing is lost, and the folders' column is none of them.
+    for i, names in enumerate((["doc_id", "a", "b", "c"], ["doc_id", "shard", "slot", "curve"], ["_shard", "Shard", "key0", "first"])):
+        named = df.toDF(*names)
+        out = sharding.write(named, str(tmp_path / f"out{i}"), 4, names[1:], names[:1])
+        back = spark.read.parquet(str(tmp_path / f"out{i}"))
+        assert set(back.columns) - set(names) == {out} and back.select(out).distinct().count() == 4
+        assert compare.rows_of(names, back.select(names).collect()) == compare.rows_of(names, named.collect())
+
+
+def test_filters_skip_shards(spark, tmp_path):
+    """A narrow range of any one dimension lies in a part of the shards, and of the files, only."""
+    rows = [(i, i * 7919 % 1024, i * 104729 % 1024, f"s{i * 31 % 16:02d}") for i in range(4096)]
+    df = spark.createDataFrame(rows, "id int, x int, y int, s string")
+    sharding.write(df, str(tmp_path / "out"), 16, ["x", "y", "s"], ["id"])
+    back = spark.read.parquet(str(tmp_path / "out"))
+    for column, low, high in (("x", 100, 130), ("y", 900, 930), ("s", "s03", "s03")):
+        files = back.groupBy(F.col("_metadata.file_path")).agg(F.min(column).alias("lo"), F.max(column).alias("hi"), F.first("shard").alias("shard"))
+        hit = [r for r in files.collect() if r.lo <= high and low <= r.hi]
+        assert len({r.shard for r in hit}) <= 10 and len(hit) <= 0.65 * files.count()
+        inside = back.where(F.col(column).between(low, high))
+        assert {r.shard for r in inside.select("shard").distinct().collect()} <= {r.shard for r in hit}
+        assert inside.count() == df.where(F.col(column).between(low, high)).count()
 
 
 def test_shard_query_is_complete(spark, folder, con):
@@ -229,13 +249,48 @@ def test_cotraining_held_out(spark, folder):
     assert {r.score for r in cotraining.score(docs, model).collect()} == {0.5}
 
 
+def random_bags(rng, y, size, per, kinds):
+    """Features of which a class has a half of its own, each document ``per`` of them."""
+    at = np.array([rng.choice(kinds // 2, per, replace=False) + (kinds // 2) * (rng.random(per) < (0.2 if c else 0.8)) for c in y])
+    return cotraining.Bags(np.repeat(np.arange(len(y)), per), at.ravel(), len(y), size)
+
+
 def test_cotraining_views_teach_each_other():
     rng = np.random.default_rng(0)
-    y = rng.integers(0, 2, 900)
-    text = (y[:, None] * 2 + rng.normal(size=(900, 4))).astype(float)
-    meta = (y[:, None] * 2 + rng.normal(size=(900, 3))).astype(float)
-    model = cotraining.co_train(text[:60], meta[:60], y[:60], text[60:600], meta[60:600], sure=0.9)
-    assert sum(model.given) > 20 and ((model.score(text[600:], meta[600:]) > 0.5) == y[600:]).mean() > 0.93
+    y = rng.integers(0, 2, 3000)
+    text, meta = random_bags(rng, y, cotraining.TEXT, 12, 400), random_bags(rng, y, cotraining.VALUES, 9, 60)
+    some = lambda a, b: ((np.arange(3000) >= a) & (np.arange(3000) < b))
+    free = [v.of(some(80, 2000)) for v in (text, meta)]
+    gather = lambda views, sure: cotraining.summed(views, free, sure)
+    model = cotraining.co_train(text.of(some(0, 80)), meta.of(some(0, 80)), y[:80], gather, sure=0.9)
+    alone = cotraining.co_train(text.of(some(0, 80)), meta.of(some(0, 80)), y[:80], lambda views, sure: [(np.zeros((2, cotraining.TEXT)), 0), (np.zeros((2, cotraining.VALUES)), 0)])
+    right = lambda m: ((m.score(text.of(some(2000, 3000)), meta.of(some(2000, 3000))) > 0.5) == y[2000:]).mean()
+    assert all(min(n) > 100 for n in model.given) and len(model.given) == 3 and right(model) > 0.95 and right(model) >= right(alone)
+    # Sums over parts are the sums of the whole.
+    views, parts = (model.text, model.meta), [[v.of(some(a, b)) for v in (text, meta)] for a, b in ((80, 700), (700, 2000))]
+    whole, added = cotraining.summed(views, free, 0.9), [cotraining.summed(views, p, 0.9) for p in parts]
+    for k in range(2):
+        assert np.array_equal(whole[k][0], added[0][k][0] + added[1][k][0]) and whole[k][1] == added[0][k][1] + added[1][k][1]
+
+
+def test_cotraining_learns_what_no_label_shows(spark):
+    """Junk of a kind that no labelled document has, one document in 4,500, is known by its source alone; its words are learned from that."""
+    draw = random.Random(4)
+    good, bad = [f"word{i}" for i in range(60)], [f"spam{i}" for i in range(60)]
+    text = lambda words: " ".join(draw.choice(words) for _ in range(30))
+    rows = [(i, text(good if i % 2 else bad), f"{'clean' if i % 2 else 'dirty'}{i % 5}", "en", 150) for i in range(8994)]
+    odd = [f"odd{i}" for i in range(8)]
+    rows += [(9000 + i, " ".join(odd), f"dirty{2 * i}", "en", 150) for i in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    model = cotraining.train(docs, labels)
+    assert model.given and all(min(n) > 8000 for n in model.given)
+    asked = spark.createDataFrame([(1, " ".join(odd), "new", "en", 150), (2, text(good), "new", "en", 150)], docs.schema)
+    found = {r.doc_id: r.score for r in cotraining.score(asked, model).collect()}
+    unlearned = {r.doc_id: r.score for r in cotraining.score(asked, cotraining.train(docs.where("doc_id < 9000"), labels)).collect()}
+    assert found[1] < 0.45 and found[1] < unlearned[1] - 0.05 and found[2] > 0.8, (found, unlearned)
+    again = cotraining.train(docs.repartition(7), labels)
+    assert again.given == model.given and np.allclose(again.join, model.join)
 
 
 def test_cotraining_tables(spark):
