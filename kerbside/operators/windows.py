@@ -81,6 +81,13 @@ def hourly_counts(df: DataFrame, timeline=False) -> DataFrame:
     return df.select(at).na.drop().groupBy("hour").agg(F.count("*").alias("count"))
 
 
+def filled_hours(hourly: DataFrame) -> DataFrame:
+    """A series at a fixed step: every hour from the first to the last, those without rows with 0."""
+    ends = hourly.agg(F.min("hour").alias("first"), F.max("hour").alias("last")).where("first IS NOT NULL")
+    grid = ends.select(F.explode(F.sequence("first", "last", F.expr("INTERVAL 1 HOUR"))).alias("hour"))
+    return grid.join(hourly, "hour", "left").select("hour", F.coalesce("count", F.lit(0)).alias("count"))
+
+
 def centred(window):
     """Frame of ``window`` rows around the current one."""
     return Window.orderBy("hour").rowsBetween(-(window // 2), (window - 1) // 2)

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from kerbside.functions.ordered import number_rows
-from kerbside.operators import features, impute, layout
+from kerbside.operators import features, impute, layout, windows
 from kerbside.session import shared_path
 from kerbside.sinks import files, tables as loads
 from kerbside.sources import csv_files, logs, manifest, tables
@@ -207,3 +207,50 @@ def bucketed_orders(spark, folder):
     joined = orders.join(lines.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"))
     return joined.groupBy("o_orderkey", "o_custkey").agg(
         F.count("*").alias("n_lines"), F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("double").alias("quantity"), F.max("l_shipdate").alias("last_shipped"))
+
+
+@query("SELECT count(*) AS n_rows, true AS named, 1::BIGINT AS kinds FROM events WHERE event_id % 10 <> 7")
+def csv_source_files(spark, folder):
+    """Every row names the file it came from: under each name there is one kind of file only."""
+    good, _ = csv_files.read_csv_folder(spark, _mixed_folder(spark, folder))
+    files_ = good.groupBy("source_file").agg(F.count("*").alias("n"), F.count_distinct(F.col("violation_id").cast("long") % 2).alias("kinds"))
+    return files_.agg(F.sum("n").alias("n_rows"), F.min(F.col("source_file").endswith(".csv")).alias("named"), F.max("kinds").alias("kinds"))
+
+
+@query("""SELECT event_id, 'file' AS origin FROM events WHERE event_id % 2 = 0 UNION ALL SELECT event_id, 'table' FROM events WHERE event_id % 2 = 1""")
+def read_chain(spark, folder):
+    """The file as long as there is no table, then the table."""
+    rows = read_table(spark, folder, "events").select("event_id")
+    table, path = _fresh("chain"), shared_path(spark, "chain") + ".parquet"
+    files.export_parquet(rows.where("event_id % 2 = 0"), path)
+    first = tables.read_first(spark, table, path).withColumn("origin", F.lit("file"))
+    loads.load_table(rows.where("event_id % 2 = 1"), table, path=shared_path(spark, "chain-table"))
+    return first.unionByName(tables.read_first(spark, table, path).withColumn("origin", F.lit("table")))
+
+
+@query("SELECT event_id, event_type, value FROM events WHERE event_id % 3 = 1")
+def parquet_exported(spark, folder):
+    """Exported twice: the second export, in folders of a column, replaces the first."""
+    rows, path = read_table(spark, folder, "events").select("event_id", "event_type", "value"), shared_path(spark, "exported")
+    files.export_parquet(rows, path)
+    files.export_parquet(rows.where("event_id % 3 = 1"), path, partition_by=["event_type"])
+    return spark.read.parquet(path).select("event_id", "event_type", "value")
+
+
+@query("SELECT event_id % 4 AS run, count(*) AS n_rows, max(value) AS most FROM events GROUP BY ALL")
+def run_log(spark, folder):
+    """A log that four runs have appended a record to."""
+    rows, path = read_table(spark, folder, "events"), shared_path(spark, "log")
+    for run in range(4):
+        own = rows.where(F.col("event_id") % 4 == run)
+        loads.append_record(own.agg(F.lit(run).cast("long").alias("run"), F.count("*").alias("n_rows"), F.max("value").alias("most")), path)
+    return spark.read.schema("run long, n_rows long, most double").json(path)
+
+
+@query("""WITH h AS (SELECT date_trunc('hour', ts) AS hour, count(*) AS n FROM events WHERE event_id % 97 = 0 GROUP BY ALL),
+grid AS (SELECT unnest(generate_series((SELECT min(hour) FROM h), (SELECT max(hour) FROM h), INTERVAL 1 HOUR)) AS hour)
+SELECT g.hour, coalesce(h.n, 0) AS count FROM grid g LEFT JOIN h ON h.hour = g.hour""")
+def hour_series(spark, folder):
+    """Rows per hour of a thin series, hours without any among them."""
+    rows = read_table(spark, folder, "events").where("event_id % 97 = 0").select(F.col("ts").cast("timestamp").alias("timestamp"))
+    return windows.filled_hours(windows.hourly_counts(rows, timeline=True))
