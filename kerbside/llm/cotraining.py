@@ -80,7 +80,7 @@ def text_bags(texts):
 
 
 def meta_bags(columns, n):
-    """Hashed values of the metadata; ``columns`` maps names to lists of ``n`` values."""
+    """Hashed values of the metadata, in a range of their own for each; ``columns`` maps names to lists of ``n`` values."""
     at = np.zeros((n, len(columns)), np.int64)
     for k, (name, values) in enumerate(columns.items()):
         seen = {}
@@ -90,22 +90,30 @@ def meta_bags(columns, n):
                 kind = f"#{int(abs(value)).bit_length()}" if isinstance(value, (int, float)) and not isinstance(value, bool) and value == value and abs(value) < 2.0**62 else str(value)
                 code = np.frombuffer(f"{name}={kind}".encode(), np.uint8)
                 known = seen[value] = int(piece_hashes(code, np.array([0]), np.array([len(code)]))[0] % np.uint64(VALUES))
-            at[i, k] = known
-    return Bags(np.repeat(np.arange(n), len(columns)), at.ravel(), n, VALUES)
+            at[i, k] = k * VALUES + known
+    return Bags(np.repeat(np.arange(n), len(columns)), at.ravel(), n, VALUES * len(columns))
 
 
-def logistic(x, y, decay=1e-2, rounds=40):
-    """Weights of a logistic regression on a few columns by Newton's method; the last weight is the bias."""
-    z = np.c_[x, np.ones(len(x))]
-    w = np.zeros(z.shape[1])
-    hold = decay * len(z) * np.r_[np.ones(len(w) - 1), 0]
+def logistic(x, y, prior=0.1, rounds=60):
+    """Weights of a logistic regression on a few columns; the last weight is the bias.
+
+    Newton's method with halved steps under a normal prior on the weights of the standardised columns, so that few or
+    separable rows give moderate weights.
+    """
+    mean, spread = x.mean(axis=0), x.std(axis=0) + 1e-9
+    z = np.c_[(x - mean) / spread, np.ones(len(x))]
+    w, hold = np.zeros(z.shape[1]), prior * np.r_[np.ones(z.shape[1] - 1), 1e-3]
+    loss = lambda w: np.logaddexp(0, np.where(y > 0, -1, 1) * (z @ w)).sum() + (hold * w * w).sum() / 2
     for _ in range(rounds):
         p = sigmoid(z @ w)
-        step = np.linalg.solve((z * (p * (1 - p) + 1e-9)[:, None]).T @ z + np.diag(hold + 1e-9), z.T @ (y - p) - hold * w)
-        w = w + np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-9:
+        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + np.diag(hold), z.T @ (y - p) - hold * w)
+        size = 1.0
+        while size > 1e-6 and loss(w + size * step) > loss(w):
+            size /= 2
+        w = w + size * step
+        if np.abs(size * step).max() < 1e-9:
             break
-    return w
+    return np.r_[w[:-1] / spread, w[-1] - mean @ (w[:-1] / spread)]
 
 
 def logit(x, w):
@@ -121,7 +129,8 @@ class View:
     """Feature counts per class, and how their evidence becomes a probability."""
 
     counts: np.ndarray  # class x feature
-    words: int  # features below this number are averaged over a document, the others added up
+    words: int  # features below this number are a document's words, the others its single features
+    span: int  # features of one kind among the single ones
     calibration: np.ndarray = None
     weights: np.ndarray = None
 
@@ -134,12 +143,18 @@ class View:
         self.weights = odds[1] - odds[0]
 
     def evidence(self, bags):
-        """The log odds of a document: added up over single features, averaged over words; a column of each."""
+        """The log odds of a document, a column for each kind of single feature and one for the mean of its words.
+
+        Kinds hang together, so the calibration weighs them instead of adding them up.
+        """
         own, word = self.weights[bags.at], bags.at < self.words
-        added = np.bincount(bags.rows[~word], weights=own[~word], minlength=bags.n)
+        kinds = (bags.size - self.words) // self.span
+        cell = bags.rows[~word] * kinds + (bags.at[~word] - self.words) // self.span
+        single = np.bincount(cell, weights=own[~word], minlength=bags.n * kinds).reshape(bags.n, kinds)
         if not self.words:
-            return added[:, None]
-        return np.c_[added, np.bincount(bags.rows[word], weights=own[word], minlength=bags.n) / np.maximum(1, np.bincount(bags.rows[word], minlength=bags.n))]
+            return single
+        mean = np.bincount(bags.rows[word], weights=own[word], minlength=bags.n) / np.maximum(1, np.bincount(bags.rows[word], minlength=bags.n))
+        return np.c_[single, mean]
 
     def calibrate(self, bags, y):
         self.learn()
@@ -190,7 +205,7 @@ def co_train(text, meta, y, gather, rounds=3, sure=0.97, pseudo=0.5):
         return CoTrained(base=base)
     own = (text, meta)
     known = [np.stack([b.of(use[0] & (y == c)).counts() for c in (0, 1)]).astype(float) for b in own]
-    views, given = [View(known[0], WORDS), View(known[1], 0)], []
+    views, given = [View(known[0], WORDS, STEPS), View(known[1], 0, VALUES)], []
     for step in range(rounds + 1):
         for view, b in zip(views, own):
             view.calibrate(b.of(use[1]), y[use[1]])
@@ -276,13 +291,13 @@ def train(df, labels, meta=("source", "lang", "n_chars"), sample=4000, rounds=3,
         table = sums.toArrow()  # as many rows as features at most
         view, kind, at, n = (table.column(c).to_numpy() for c in ("view", "class", "feature", "n"))
         out = []
-        for k, size in enumerate((TEXT, VALUES)):
+        for k, size in enumerate((TEXT, VALUES * len(meta))):
             counts, use = np.zeros((2, size)), (view == k) & (kind >= 0)
             counts[kind[use], at[use]] = n[use]
             out.append((counts, int(n[(view == k) & (kind < 0)].sum())))
         return out
 
-    return co_train(bags("text", TEXT), bags("meta", VALUES), y, gather, rounds, sure)
+    return co_train(bags("text", TEXT), bags("meta", VALUES * len(meta)), y, gather, rounds, sure)
 
 
 def score(df, model, meta=("source", "lang", "n_chars"), least=0.5, id_col="doc_id", text_col="text"):
