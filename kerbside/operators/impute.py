@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, functions as F
 from kerbside import contract as C
 from kerbside.functions import columns as X
 from kerbside.functions.brackets import Wanted, bracketed
-from kerbside.functions.ordered import SLAB_ROWS, Spread, attach, quantiles
+from kerbside.functions.ordered import SLAB_ROWS, Spread, attach, quantiles, value_counts
+from kerbside.session import stage
 
 COORDINATES = ("latitude", "longitude")
 _PAIR = ["zone", "violation_type"]
@@ -21,24 +22,32 @@ def _one_row(df, row):
     return df.crossJoin(F.broadcast(row))
 
 
-def _fine_statistics(counts, spread, pairs):
-    """From folded value counts: the median per (zone, type); the overall
-    median of the column so filled; its quartiles once capped."""
-    medians = quantiles(_of(counts, "fine"), "value", {"__fine": 0.5}, _PAIR, spread, "n")
+def _fine_statistics(of, spread, pairs):
+    """From value counts (zone, type, value, n): the median per (zone, type);
+    the overall median of the column so filled; its quartiles once capped.
+
+    ``of`` has the counts for each of these; outside their brackets they may
+    be folded.
+    """
+    medians = quantiles(of["fine"], "value", {"__fine": 0.5}, _PAIR, spread, "n")
     # What each pair's nulls are filled with; null where it has no value either.
-    gaps = attach(_of(counts, "fine").where("value IS NULL"), medians, _PAIR, "left", pairs).select(F.col("__fine").alias("value"), "n")
-    with_gaps = lambda name: _of(counts, name).where("value IS NOT NULL").select("value", "n").unionByName(gaps)
+    gaps = attach(of["fine"].where("value IS NULL").select(*_PAIR, "n"), medians, _PAIR, "left", pairs).select(F.col("__fine").alias("value"), "n")
+
+    def with_gaps(name):
+        known = of[name].where("value IS NOT NULL").select("value", "n").unionByName(gaps)
+        return known.groupBy("value").agg(F.sum("n").alias("n"))
+
     overall = quantiles(with_gaps("fine_half"), "value", {"__fine_all": 0.5}, [], spread, "n")
     low, high = C.BOUNDS["fine_amount"]
-    rows = overall
-    for name, prob in (("fine_q1", 0.25), ("fine_q3", 0.75)):
-        capped = _one_row(with_gaps(name), overall).select(X.clip(F.coalesce("value", "__fine_all"), low, high).alias("value"), "n")
-        rows = rows.crossJoin(quantiles(capped, "value", {name: prob}, [], spread, "n"))
-    return medians, rows
 
+    def capped(name, *probs):
+        values = _one_row(with_gaps(name), overall).select(X.clip(F.coalesce("value", "__fine_all"), low, high).alias("value"), "n")
+        return quantiles(values, "value", dict(probs), [], spread, "n")
 
-def _of(counts, name):
-    return counts.where(F.col("stat") == name)
+    first, third = ("fine_q1", 0.25), ("fine_q3", 0.75)
+    if of["fine_q1"] is of["fine_q3"]:
+        return medians, overall.crossJoin(capped("fine_q1", first, third))
+    return medians, overall.crossJoin(capped("fine_q1", first)).crossJoin(capped("fine_q3", third))
 
 
 def most_common(df: DataFrame, column, name, weight=None) -> DataFrame:
@@ -50,34 +59,49 @@ def most_common(df: DataFrame, column, name, weight=None) -> DataFrame:
 def statistics(df: DataFrame, spread=None, pairs=None):
     """What filling needs: a table per (zone, type) and a table of one row.
 
-    Two scans: one sketches, one counts the values near the wanted ranks.
-    ``pairs`` is a proven bound of the (zone, type) pairs, such as the
-    contract's for standardised categories; None stands for unknown. Either
-    table is None if its columns are absent.
+    A count settles small inputs, whose value counts are small whatever they
+    hold. Larger ones take two scans: one sketches, one counts the values near
+    the wanted ranks. Both give the same statistics. ``spread`` (by column)
+    forces the second with those cuts. ``pairs`` is a proven bound of the
+    (zone, type) pairs, such as the contract's for standardised categories;
+    None stands for unknown. Either table is None if its columns are absent.
     """
     have = set(df.columns)
     fine, speed = {"fine_amount", *_PAIR} <= have, {"speed_kmh", "violation_type"} <= have
-    wanted = [
-        *([Wanted("fine", "fine_amount", 0.5, tuple(_PAIR)), *[Wanted(name, "fine_amount", p, filled=True) for name, p in (("fine_half", 0.5), ("fine_q1", 0.25), ("fine_q3", 0.75))]] if fine else []),
-        *([Wanted("speed", "speed_kmh", 0.5, ("violation_type",))] if speed else []),
-        *[Wanted(c, c, 0.5) for c in COORDINATES if c in have]]
-    texts = ["vehicle_type"] if "vehicle_type" in have else []
-    if not (wanted or texts):
+    coordinates = [c for c in COORDINATES if c in have]
+    if not (fine or speed or coordinates or "vehicle_type" in have):
         return None, None
-    counts = bracketed(df, wanted, texts, pairs)
-    if spread is None:
-        rows = counts.count()
-        spread = dict.fromkeys(("fine_amount", "speed_kmh", *COORDINATES), Spread(rows, rows) if rows <= SLAB_ROWS else None)
+    rows = df.count() if spread is None else None
+    if rows is not None and rows <= SLAB_ROWS:
+        whole = Spread(rows, rows)
+        # Written once, because five statistics come from them.
+        counted = stage(value_counts(df, "fine_amount", _PAIR).withColumnRenamed("fine_amount", "value"), "fines") if fine else None
+        of = {name: counted for name in ("fine", "fine_half", "fine_q1", "fine_q3")}
+        of |= {"speed": df.select("violation_type", F.col("speed_kmh").alias("value")) if speed else None}
+        of |= {c: df.select(F.col(c).alias("value")) for c in coordinates}
+        vehicles, weight, text = df, None, "vehicle_type"
+        spread = dict.fromkeys(("fine_amount", "speed_kmh", *COORDINATES), whole)
+    else:
+        wanted = [
+            *([Wanted("fine", "fine_amount", 0.5, tuple(_PAIR)), *[Wanted(name, "fine_amount", p, filled=True) for name, p in (("fine_half", 0.5), ("fine_q1", 0.25), ("fine_q3", 0.75))]] if fine else []),
+            *([Wanted("speed", "speed_kmh", 0.5, ("violation_type",))] if speed else []),
+            *[Wanted(c, c, 0.5) for c in coordinates]]
+        counts = bracketed(df, wanted, ["vehicle_type"] if "vehicle_type" in have else [], pairs)
+        of = {w.name: counts.where(F.col("stat") == w.name) for w in wanted}
+        vehicles, weight, text = counts.where("stat = 'vehicle_type'"), "n", "text"
+        if spread is None:
+            held = counts.count()
+            spread = dict.fromkeys(("fine_amount", "speed_kmh", *COORDINATES), Spread(held, held) if held <= SLAB_ROWS else None)
     groups, singles = None, []
     if fine:
-        groups, fine_row = _fine_statistics(counts, spread["fine_amount"], pairs)
+        groups, fine_row = _fine_statistics(of, spread["fine_amount"], pairs)
         singles.append(fine_row)
     if speed:
-        speeds = quantiles(_of(counts, "speed"), "value", {"__speed": 0.5}, ["violation_type"], spread["speed_kmh"], "n")
+        speeds = quantiles(of["speed"], "value", {"__speed": 0.5}, ["violation_type"], spread["speed_kmh"], weight)
         groups = speeds if groups is None else attach(groups, speeds, ["violation_type"], "left", pairs)
-    if texts:
-        singles.append(most_common(_of(counts, "vehicle_type"), "text", "__vehicle", "n"))
-    singles += [quantiles(_of(counts, c), "value", {f"__{c}": 0.5}, [], spread[c], "n") for c in COORDINATES if c in have]
+    if "vehicle_type" in have:
+        singles.append(most_common(vehicles, text, "__vehicle", weight))
+    singles += [quantiles(of[c], "value", {f"__{c}": 0.5}, [], spread[c], weight) for c in coordinates]
     return groups, reduce(DataFrame.crossJoin, singles) if singles else None
 
 
