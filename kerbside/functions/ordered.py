@@ -187,6 +187,32 @@ def quantiles(df: DataFrame, value, probs: dict, by=(), spread: Spread | None =
     return found.select(*by, *out)
 
 
+def values_at(df: DataFrame, value, parts, slab_rows=SLAB_ROWS) -> list:
+    """The values at positions ``rows * k // parts``, ``k`` from 1 to ``parts - 1``, of a column of any type in its order.
+
+    Exact, from the counts of all values; nulls are ignored. Each value once and ascending, none for no rows. Value
+    counts are cut into slabs by the value itself, of which no task holds more than one.
+    """
+    counts = stage(value_counts(df.select(F.col(value).alias("value")).where(F.col("value").isNotNull()), "value"), "value-counts")
+    distinct, rows = counts.agg(F.count("*"), F.sum("n")).first()
+    if not distinct:
+        return []
+    up_to = lambda *slab: F.sum("n").over(Window.partitionBy(*slab).orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    if distinct <= slab_rows:
+        placed = counts.withColumn("__up_to", up_to())
+    else:
+        slabbed = _slabs_of(counts, [], ["value"], slab_rows, distinct)
+        before = Window.orderBy(_SLAB).rowsBetween(Window.unboundedPreceding, -1)
+        # One row per slab.
+        carried = slabbed.groupBy(_SLAB).agg(F.sum("n").alias("__n")).select(
+            _SLAB, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__carry"))
+        placed = _carry_over(slabbed, carried, [_SLAB]).withColumn("__up_to", up_to(_SLAB) + F.col("__carry"))
+    hit = F.lit(False)
+    for at in sorted({rows * k // parts for k in range(1, parts)}):
+        hit = hit | ((F.col("__up_to") > at) & (F.col("__up_to") - F.col("n") <= at))
+    return [r[0] for r in placed.where(hit).select("value").orderBy("value").collect()]
+
+
 # --- by row -----------------------------------------------------------------
 
 

@@ -1,28 +1,22 @@
 """Shards along a Hilbert curve over several metadata columns.
 
-Each column is quantised by cut points from a bounded sample (any cut points give valid shards; these balance the
-cells). Rows are sorted by the index of their cell on the curve, numbered, and cut into runs of equal length, so that
+Each column is quantised by cut points that split all its rows evenly, found from the counts of its values. Rows are sorted by the index of their cell on the curve, numbered, and cut into runs of equal length, so that
 every shard covers a compact box of all columns at once and a filter on any of them skips shards. Built-in functions
 only: the transform of the coordinates is a fold over arrays.
 """
 
 from pyspark.sql import functions as F
 
-from kerbside.functions.ordered import number_rows
+from kerbside.functions.ordered import number_rows, values_at
 from kerbside.session import stage
 
-#: Rows of the sample that cut points come from, and rows that one sort task numbers.
-SAMPLE_ROWS, RUN_ROWS = 4096, 20_000
+#: Rows that one sort task numbers, and values that one task counts up.
+RUN_ROWS = 20_000
 
 
-def cut_points(df, columns, cells, sample=SAMPLE_ROWS):
-    """For each column up to ``cells - 1`` increasing values that split a sample of at most ``sample`` rows evenly."""
-    rows = df.select(*columns).orderBy(F.xxhash64(*df.columns), *columns).limit(sample).collect()
-    out = {}
-    for c in columns:
-        values = sorted(r[c] for r in rows if r[c] is not None)
-        out[c] = sorted({values[len(values) * k // cells] for k in range(1, cells)}) if values else []
-    return out
+def cut_points(df, columns, cells, slab_rows=RUN_ROWS):
+    """For each column up to ``cells - 1`` increasing values that split all its rows evenly; nulls do not count."""
+    return {c: values_at(df, c, cells, slab_rows) for c in columns}
 
 
 def cell(column, cuts):
@@ -60,7 +54,7 @@ def place(df, shards, columns, bits=5, keep=(), run_rows=RUN_ROWS):
     """
     names = list(dict.fromkeys([*columns, *keep]))
     narrow = stage(df.select(*names), "shard-keys")
-    cuts = cut_points(narrow, columns, 1 << bits)
+    cuts = cut_points(narrow, columns, 1 << bits, run_rows)
     rows = narrow.count()
     placed = narrow.withColumn("__cells", F.array(*[cell(c, cuts[c]) for c in columns])) \
         .withColumn("curve", hilbert_index("__cells", bits)).drop("__cells")

@@ -230,6 +230,22 @@ def test_filters_skip_shards(spark, tmp_path):
         assert inside.count() == df.where(F.col(column).between(low, high)).count()
 
 
+def test_cut_points_count_all_rows(spark):
+    """Exact positions of every type, whatever the slabs; values that a sample of a few thousand rows would miss."""
+    draw = random.Random(7)
+    rows = [(i * 7919 % 9001, f"s{min(draw.randrange(3000), 400):04d}", [None, float("nan"), -0.0, 0.0, draw.random()][i % 5], None) for i in range(9001)]
+    df = spark.createDataFrame(rows, "n int, s string, x double, none date").repartition(5)
+    for slab_rows in (500, 20_000):
+        found = sharding.cut_points(df, df.columns, 32, slab_rows)
+        for at, c in enumerate(("n", "s")):
+            values = sorted(r[at] for r in rows)
+            assert found[c] == sorted({values[9001 * k // 32] for k in range(1, 32)}), c
+        known = sorted((r[2] for r in rows if r[2] is not None), key=lambda v: (v != v, v))
+        want = list(dict.fromkeys(repr(known[len(known) * k // 32] + 0.0) for k in range(1, 32)))
+        assert [repr(v) for v in found["x"]] == want and found["none"] == []
+        assert sharding.cut_points(df.limit(0), ["s"], 32, slab_rows) == {"s": []}
+
+
 def test_shard_query_is_complete(spark, folder, con):
     found = QUERIES["op7_hilbert_shards"](spark, folder).toPandas()
     sizes = found.groupby("shard").size()
