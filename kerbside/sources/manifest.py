@@ -12,6 +12,9 @@ from kerbside.sources.logs import split_size
 #: Bytes under one leaf of a file's tree of checksums, and checksums under one node. They are part of the checksum.
 LEAF_BYTES, FANOUT = 1024, 1024
 
+#: Bytes that one task of a scan in small splits takes, and what opening a split counts for among them.
+TASK_BYTES, OPEN_BYTES = 128 << 20, 1 << 20
+
 _MARK = b"\xef\xbb\xbf"
 
 
@@ -57,17 +60,22 @@ def tree_checksums(spark: SparkSession, folder, glob="*", split_bytes=None, leaf
 
     A leaf is the md5 of its bytes, a node the md5 of up to ``fanout`` sums
     below it in order; the root is the single sum left. Files are read in
-    splits of ``split_bytes`` (None: the session's), a piece at a time. A
-    split hands on its whole leaves as sums and only the odd bytes at its two
-    ends as they are, so the result does not depend on the splits, and a task
-    holds no more than a leaf and the lines of an Arrow batch. Spark's
-    listings leave out empty files, so those have no row.
+    splits of ``split_bytes`` (None: the session's), a piece at a time; a task
+    takes as many given splits, one after the other, as count for
+    ``TASK_BYTES``. A split hands on its whole leaves as sums and only the odd
+    bytes at its two ends as they are, so the result does not depend on the
+    splits, and a task holds no more than a leaf and the lines of an Arrow
+    batch. Spark's listings leave out empty files, so those have no row.
     """
+    files = stage(_listing(spark, folder, glob).select("path", F.col("length").alias("size_bytes")), "files")
     # Line by line, because only line readers open a file part by part; bytes are kept as they are.
     reader = spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).option("lineSep", "\n")
     parts = reader.text(folder).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"),
         F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"), F.col("value").cast("binary").alias("value"))
+    if split_bytes:  # Spark gives each a task of its own
+        count = files.agg(F.sum(F.col("size_bytes") + F.ceil(F.col("size_bytes") / split_bytes) * OPEN_BYTES)).first()[0] or 0
+        parts = parts.coalesce(max(spark.sparkContext.defaultParallelism, -(-count // TASK_BYTES)))
     with split_size(spark, split_bytes):
         # A split's first byte follows from the bytes of the lines before it.
         sizes = stage(parts.groupBy("path", "size", "split").agg(F.sum(F.octet_length("value") + 1).alias("n")), "split-sizes")
@@ -95,7 +103,6 @@ def tree_checksums(spark: SparkSession, folder, glob="*", split_bytes=None, leaf
         root = (F.size("held") == 1) & (F.col("held")[0]["leaf"] == 0)
         level = stage(grouped.select("path", F.col("node").alias("leaf"), F.when(root, F.col("held")[0]["sum"]).otherwise(
             F.unhex(F.md5(chained("sum")))).alias("sum")), "sums")
-    files = _listing(spark, folder, glob).select("path", F.col("length").alias("size_bytes"))
     found = level.select(F.col("path").alias("__path"), F.lower(F.hex("sum")).alias("sum"))
     # No line is read from a file that is nothing but a mark.
     bare = F.lit(hashlib.md5(_MARK).hexdigest())

@@ -67,6 +67,23 @@ def test_checksums_do_not_depend_on_splits(spark, tmp_path):
         assert {r.path.rsplit("/", 1)[1]: (r.size_bytes, r.checksum) for r in found} == want, split
 
 
+def test_tree_checksums_of_many_splits_take_few_tasks(spark, tmp_path):
+    """Tasks follow the bytes, not the splits."""
+    data = b"".join(b"line %d\n" % i for i in range(6000))
+    for name in "abc":
+        (tmp_path / name).write_bytes(data)
+    spark.sparkContext.setJobGroup("tree", "tree")
+    try:
+        found = manifest.tree_checksums(spark, str(tmp_path), split_bytes=256).collect()
+    finally:
+        spark.sparkContext.setJobGroup("rest", "rest")
+    status = spark.sparkContext.statusTracker()
+    stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup("tree") for s in status.getJobInfo(j).stageIds]
+    splits = 3 * (len(data) // 256)
+    assert splits > 600 and 0 < max(s.numTasks for s in stages if s) < splits // 10
+    assert {r.checksum for r in found} == {plain_tree(data, manifest.LEAF_BYTES, manifest.FANOUT)} and len(found) == 3
+
+
 def test_large_manifest(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes(b"x" * 5000)
     row = manifest.large_manifest(spark, str(tmp_path), "b", as_of="2024-02-03").first()
