@@ -16,6 +16,14 @@ from kerbside.streaming.upsert import UpsertTable
 QUERIES, ORACLES = {}, {}
 
 FILES = 2
+#: Rows that make one more file of an arrival where the number of files is free, and rows that the smallest arrival has for each.
+FILE_ROWS, LEAST_ROWS = 50_000, 1000
+
+
+def _files(rows, arrival):
+    """Files of each arrival: micro-batches have as many tasks, so they grow with the rows."""
+    sizes = [r[1] for r in rows.groupBy(arrival).count().collect()] or [0]
+    return max(FILES, min(max(sizes) // FILE_ROWS, min(sizes) // LEAST_ROWS))
 
 
 def query(sql):
@@ -47,18 +55,20 @@ def _late_sql(rest):
     return _with(_EVENTS).rstrip().rstrip(",") + ",\n" + _LATE + rest
 
 
-def _late_arrivals(spark: SparkSession, folder) -> str:
+def _late_arrivals(spark: SparkSession, folder):
     rows = runs.event_files_batch(spark, folder)
     low, high = rows.agg(F.min(F.unix_micros("event_time")), F.max(F.unix_micros("event_time"))).first()
     stretch = F.expr(f"4 * (unix_micros(event_time) - {low}L) div {high - low + 1}L")
     late = F.substring("event_id", 5, 20).cast("long") % 13 == 0
-    path = shared_path(spark, "late-arrivals")
-    deliver(rows, (stretch + F.when(late, 2).otherwise(0)).cast("int"), path, FILES)
-    return path
+    arrival, path = (stretch + F.when(late, 2).otherwise(0)).cast("int"), shared_path(spark, "late-arrivals")
+    files = _files(rows, arrival)
+    deliver(rows, arrival, path, files)
+    return path, files
 
 
 def _late_stream(spark, folder):
-    return arriving(spark, _late_arrivals(spark, folder), runs.event_files_batch(spark, folder).schema, FILES)
+    path, files = _late_arrivals(spark, folder)
+    return arriving(spark, path, runs.event_files_batch(spark, folder).schema, files)
 
 
 @query(_late_sql("""SELECT batch_id, window_start, window_end, zone, count(*) AS late_rows FROM dropped GROUP BY ALL"""))
@@ -122,11 +132,12 @@ FROM events GROUP BY ALL""")
 def stream_crash(spark: SparkSession, folder) -> DataFrame:
     """Five arrivals, each of whose deliveries fails once between write and commit: every row is there once."""
     rows = read_table(spark, folder, "events").select("event_id", "user_id")
-    path, offsets = shared_path(spark, "crash-arrivals"), shared_path(spark, "crash-offsets")
-    deliver(rows, (F.col("event_id") % 5).cast("int"), path, FILES)
+    path, offsets, arrival = shared_path(spark, "crash-arrivals"), shared_path(spark, "crash-offsets"), (F.col("event_id") % 5).cast("int")
+    files = _files(rows, arrival)
+    deliver(rows, arrival, path, files)
     table, calls = BatchTable(shared_path(spark, "crash")), []
     handle = _crashing(table.write_batch, calls)
-    start = lambda: arriving(spark, path, rows.schema, FILES).writeStream.foreachBatch(handle).option(
+    start = lambda: arriving(spark, path, rows.schema, files).writeStream.foreachBatch(handle).option(
         "checkpointLocation", offsets).trigger(availableNow=True).start()
     run_to_end(start, spark, offsets)
     # One literal per arrival.

@@ -3,6 +3,7 @@
 import functools
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,6 +41,19 @@ def session(app="kerbside", master=None, shuffle_partitions=None, **extra):
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings(spark, values):
+    """Settings of the session while the block runs."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    try:
+        for key, value in values.items():
+            spark.conf.set(key, value)
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def shared_dir(spark):
     """The folder every executor can reach, from ``spark.checkpoint.dir``.
 

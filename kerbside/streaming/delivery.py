@@ -3,7 +3,10 @@
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 
-from kerbside.session import exists, names_in
+from kerbside.session import exists, names_in, settings
+
+#: For a query that starts again and again: a RocksDB store is loaded as it was, without every change since it began made again.
+STATE = {"spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "false"}
 
 
 class BatchTable:
@@ -33,11 +36,13 @@ def run_to_end(start, spark: SparkSession, checkpoint, attempts=3) -> int:
     fail at any point. Between its write and the commit of its batch the batch
     comes again with the same rows, whatever else has arrived, so a sink that
     keys by batch id ends with every row once. A batch that fails ``attempts``
-    times is an error; other batches have attempts of their own.
+    times is an error; other batches have attempts of their own. Every restart
+    loads the state, so ``STATE`` holds for the query.
     """
     restarts, failed, at = 0, 0, None
     while True:
-        query = start()
+        with settings(spark, STATE):
+            query = start()
         try:
             query.awaitTermination()
             return restarts

@@ -159,3 +159,31 @@ def test_progress_has_one_row_per_batch(spark, tmp_path):
     assert len({r.run_id for r in found}) == 4 and all(r.millis >= 0 for r in found)
     with pytest.raises(TimeoutError):
         progress.wait_for("numbered", 5, seconds=1)
+
+
+def test_files_of_arrivals_grow_with_their_rows(spark, folder, monkeypatch):
+    """As many as the largest arrival asks for, unless the smallest cannot fill them; the progress is the same."""
+    monkeypatch.setattr(streams, "FILE_ROWS", 40)
+    monkeypatch.setattr(streams, "LEAST_ROWS", 4)
+    path, files = streams._late_arrivals(spark, folder)
+    written = spark.read.parquet(path).select("_metadata.file_path").distinct().count()
+    assert files > streams.FILES and written == 6 * files
+    rows = spark.range(1000)
+    assert streams._files(rows, F.col("id") % 5) == 5 and streams._files(rows, F.when(F.col("id") == 7, 1).otherwise(0)) == streams.FILES
+    got = {tuple(r) for r in streams.QUERIES["stream_progress"](spark, folder).collect()}
+    monkeypatch.undo()
+    assert got == {tuple(r) for r in streams.QUERIES["stream_progress"](spark, folder).collect()} and len(got) == 6
+
+
+def test_restarts_load_the_state_as_it_was(spark, tmp_path):
+    """The query runs without a changelog; the session keeps its setting."""
+    key, seen = "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", []
+    before = spark.conf.get(key)
+
+    def start():
+        seen.append(spark.conf.get(key))
+        spark.range(5).write.mode("overwrite").parquet(str(tmp_path / "in"))
+        return spark.readStream.schema("id long").parquet(str(tmp_path / "in")).writeStream.foreachBatch(lambda rows, n: rows.count()).option(
+            "checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start()
+
+    assert run_to_end(start, spark, str(tmp_path / "ck")) == 0 and seen == ["false"] and before == "true" == spark.conf.get(key)
