@@ -91,7 +91,9 @@ class FailingIds:
         self.table = f"failing_{uuid.uuid4().hex}"
         held = stage(relation, "failing")
         buckets = max(4, -(-held.count() // bucket_rows))
-        held.repartition(buckets, "row").write.partitionBy("filter").bucketBy(buckets, "row").sortBy("row").option(
+        # Every join opens the files of a bucket anew, one per task that wrote it. A session may deal a key to more partitions than asked for;
+        # as these need not line up with the buckets, no more tasks than buckets write.
+        held.repartition(buckets, "row").coalesce(buckets).write.partitionBy("filter").bucketBy(buckets, "row").sortBy("row").option(
             "path", shared_path(self.spark, "failing-ids")).format("parquet").saveAsTable(self.table)
 
     def of(self, names) -> DataFrame:

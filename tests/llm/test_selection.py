@@ -277,3 +277,20 @@ def test_audit_joins_move_nothing(spark):
         assert {kept for order, kept in want if set(order) == set("ABE")} == {left}
     finally:
         ids.drop()
+
+
+def test_audit_files_follow_the_buckets(spark, monkeypatch):
+    """Where a session deals keys to more partitions than asked for, the stored relations have no more files for it, and the counts are the same."""
+    frame = type(spark.range(0))
+    monkeypatch.setattr(frame, "repartition", lambda self, n, *cols, f=frame.repartition: f(self, max(n, 61) if cols else n, *cols))
+    made = [(i, "W#", f"s{i % 3}") for i in range(400)]
+    docs, labels = audited(spark, made)
+    rows = filter_audit.flagged(docs, filter_audit.text_filters)
+    ids = filter_audit.FailingIds(filter_audit.failing(rows, "ABCD", {"E": filter_audit.later_copies(rows)}, labels), "ABCDE")
+    try:
+        assert 0 < len(spark.table(ids.table).inputFiles()) <= 4 * 4 * 5
+    finally:
+        ids.drop()
+    found = filter_audit.audit_texts(docs, labels).collect()
+    want = plain_audit(made, LABELS)
+    assert {(r.part, r.filter_order, r.step): (r.kept, r.removed, r.redundant, r.unique_fails, r.good_lost, r.toxic_lost, r.shapley) for r in found} == want
